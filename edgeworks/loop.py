@@ -47,17 +47,40 @@ class Workspace:
         ``rows`` is always among the metrics.
         """
         path = self.path(name)
+        seen = self._write(df, path, metrics)
+        return self._table(path, df), seen
+
+    def keep_split(
+        self, df: DataFrame, flag: str, name: str = "step"
+    ) -> tuple[DataFrame | None, DataFrame | None, int]:
+        """Write ``df`` once, as one table where ``flag`` is true and one
+        where it is false; both without the flag.
+
+        Returns the two tables, None in place of one without rows, and the
+        number of rows in the second.
+        """
+        path = self.path(name)
+        counts = {"flagged": F.count_if(F.col(flag))}
+        seen = self._write(df, path, counts, split=flag)
+        plain = df.drop(flag)
+        yes, no = seen.get("flagged", 0), seen.get("rows", 0) - seen.get("flagged", 0)
+        return (
+            self._table(f"{path}/{flag}=true", plain) if yes else None,
+            self._table(f"{path}/{flag}=false", plain) if no else None,
+            no,
+        )
+
+    def _write(self, df: DataFrame, path: str, metrics: dict[str, Column], split: str | None = None) -> dict:
         seen = Observation()
         exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in metrics.items()]
-        df.observe(seen, *exprs).write.parquet(path)
-        table = self.spark.read.schema(df.schema).parquet(path)
-        self._written[id(table)] = (table, path)
-        return table, seen.get
+        writer = df.observe(seen, *exprs).write
+        (writer if split is None else writer.partitionBy(split)).parquet(path)
+        return seen.get
 
-    def together(self, tables: list[DataFrame]) -> DataFrame:
-        """Written tables of one schema as a single scan."""
-        paths = [self._written[id(table)][1] for table in tables]
-        return self.spark.read.schema(tables[0].schema).parquet(*paths)
+    def _table(self, path: str, like: DataFrame) -> DataFrame:
+        table = self.spark.read.schema(like.schema).parquet(path)
+        self._written[id(table)] = (table, path)
+        return table
 
     def drop(self, table: DataFrame | None) -> None:
         """Delete a table of this workspace that no later round reads.

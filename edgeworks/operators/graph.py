@@ -23,10 +23,15 @@ def vertices_of(edges: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Graph:
-    """``vertices`` has ``id``; ``edges`` has ``src, dst`` and is directed."""
+    """``vertices`` has ``id``; ``edges`` has ``src, dst`` and is directed.
+
+    ``derived`` says that the vertices are just the endpoints of the edges, so
+    that an operator may take them from its own, smaller copy of the edges.
+    """
 
     vertices: DataFrame
     edges: DataFrame
+    derived: bool = False
 
     @classmethod
     def from_edges(cls, edges: DataFrame, default: int | None = None) -> Graph:
@@ -34,7 +39,7 @@ class Graph:
         vertices = vertices_of(edges)
         if default is not None:
             vertices = vertices.withColumn("value", F.lit(default))
-        return cls(vertices, edges)
+        return cls(vertices, edges, derived=True)
 
 
 def valid_edges(edges: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ aggregations and two anti joins however the edges are distributed.
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import DataFrame
@@ -104,26 +105,42 @@ class _Job:
         self.hot: DataFrame | None = None
         self.chosen: list[DataFrame] = []
 
-    def greedy(self, left: DataFrame, label: int | None = None) -> list[DataFrame]:
-        """Match the written table ``left`` until no edge is left.
+    def greedy(self, left: DataFrame, n_left: int, label: int | None = None) -> list[DataFrame]:
+        """Match the ``n_left`` edges of the written table ``left`` until none
+        is left.
 
         ``label`` is the round number of the choices; without it each greedy
-        round has its own.
+        round has its own. A round is one job: it writes the chosen edges and
+        the edges that go on side by side.
         """
-        new, n_left, done = [], 1, 0
+        new, done = [], 0
         while n_left:
             done += 1
             number = F.lit(done if label is None else label)
-            picked, _ = self.work.keep(mutual_edges(left).withColumn("round", number), "chosen")
-            new.append(picked)
-            rest, seen = self.work.keep(residual_edges(left, endpoints(picked), self.hot), "left")
+            chosen, rest, n_left = self.work.keep_split(_decided(left, self.hot), "chosen", "greedy")
+            new.append(chosen.select("src", "dst", number.alias("round")))
             self.work.drop(left)
-            left, n_left = rest, seen.get("rows")
-        self.work.drop(left)
+            left = rest
         self.chosen += new
         return new
 
 
+def _decided(left: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Edges of one greedy round that are ``chosen`` or go on; edges that
+    only touch a chosen one are gone."""
+    picked = mutual_edges(left)
+    mates = picked.select(F.inline(F.array(
+        F.struct(F.col("src").alias("id"), F.col("dst").alias("mate")),
+        F.struct(F.col("dst").alias("id"), F.col("src").alias("mate")))))
+    marked = left
+    for side in ("src", "dst"):
+        mate = mates.select(F.col("id").alias(side), F.col("mate").alias(f"{side}_mate"))
+        marked = spread_join(marked, mate, side, hot, by=["src", "dst"], how="left")
+    chosen = F.coalesce(F.col("src_mate") == F.col("dst"), F.lit(False))
+    free = F.col("src_mate").isNull() & F.col("dst_mate").isNull()
+    return marked.withColumn("chosen", chosen).filter(F.col("chosen") | free).select(*left.columns, "chosen")
+
+
 def greedy_matching(edges: DataFrame, seed: int = 0, min_hot_rows: int | None = None) -> DataFrame:
     """``src, dst, round``: the greedy matching in the seeded random order."""
     return maximal_matching(edges, method="greedy", seed=seed, min_hot_rows=min_hot_rows)
@@ -174,8 +191,8 @@ def maximal_matching(
     job.hot = hot_vertices(left, min_rows=min_hot_rows)
 
     if method == "greedy":
-        job.greedy(left)
-        return work.together(job.chosen)
+        job.greedy(left, n_left)
+        return _union(job.chosen)
 
     row = matching_params(edges, k_rounding).first()
     p = row["p"] if p is None else p
@@ -186,7 +203,7 @@ def maximal_matching(
         before = n_left
         sampled, seen = work.keep(same_part(sample_edges(left, p, seed, done), k, seed), "sample")
         if seen.get("rows"):
-            matched = endpoints(work.together(job.greedy(sampled, done)))
+            matched = endpoints(_union(job.greedy(sampled, seen["rows"], done)))
             rest, seen = work.keep(residual_edges(left, matched, job.hot), "left")
             work.drop(left)
             left, n_left = rest, seen.get("rows")
@@ -197,8 +214,13 @@ def maximal_matching(
         if stop == "degree_one" and n_left and _largest_degree(left) <= 1:
             break
     if sweep and n_left:
-        job.greedy(left, done + 1)
-    return work.together(job.chosen) if job.chosen else left.limit(0).select("src", "dst", F.lit(0).alias("round"))
+        job.greedy(left, n_left, done + 1)
+    return _union(job.chosen) if job.chosen else left.limit(0).select("src", "dst", F.lit(0).alias("round"))
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    """The choices of several rounds; they are disjoint already."""
+    return functools.reduce(DataFrame.unionAll, tables)
 
 
 def _largest_degree(edges: DataFrame) -> int:

@@ -52,12 +52,13 @@ def head_cells(matrix: DataFrame, n: int) -> DataFrame:
 
 def cells(matrix: DataFrame) -> DataFrame:
     """``index, col, value``: one row per cell."""
-    return matrix.select("index", F.posexplode("vector").alias("col", "value"))
+    long = matrix.select("index", F.posexplode("vector").alias("col", "value"))
+    return long.select("index", F.col("col").cast("bigint"), "value")
 
 
 def from_cells(cells: DataFrame, cols: int) -> DataFrame:
     """A dense matrix from ``index, col, value``; missing cells are 0."""
-    at = F.map_from_entries(F.collect_list(F.struct("col", "value")))
+    at = F.map_from_entries(F.collect_list(F.struct(F.col("col").cast("int").alias("col"), "value")))
     grouped = cells.groupBy("index").agg(at.alias("at"))
     vector = F.transform(
         F.sequence(F.lit(0), F.lit(cols - 1)), lambda j: F.coalesce(F.try_element_at("at", j), F.lit(0.0)))

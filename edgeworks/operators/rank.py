@@ -28,9 +28,7 @@ def _routes(graph: Graph, min_hot_rows: int | None) -> Routes:
         hot = hot_keys(sent, "src", min_rows=min_hot_rows, count="targets")
         weighted = spread_join(links, sent.drop("targets"), "src", hot, by=["dst"]).withColumn(
             "weight", F.col("copies") / F.col("out_degree"))
-        routes = Routes(weighted, graph.vertices, hot, "weight")
-        routes.table.count()
-        return routes
+        return Routes(weighted, graph, hot, "weight")
     finally:
         links.unpersist()
 
@@ -52,17 +50,17 @@ def pagerank(
     routes = _routes(graph, min_hot_rows)
     try:
         if tol is None:
-            state, seen = _fixed(graph, routes, work, reset, max_iter, cut_every)
+            state, seen = _fixed(routes, work, reset, max_iter, cut_every)
         else:
-            state, seen = _until(graph, routes, work, reset, tol, cut_every)
+            state, seen = _until(routes, work, reset, tol, cut_every)
     finally:
         routes.release()
     factor = seen["rows"] / seen["total"] if seen.get("total") else 1.0
     return state.select("id", (F.col("rank") * F.lit(factor)).alias("pagerank"))
 
 
-def _fixed(graph, routes, work, reset, max_iter, cut_every):
-    start = graph.vertices.select("id", F.lit(1.0).alias("rank"))
+def _fixed(routes, work, reset, max_iter, cut_every):
+    start = routes.vertices().select("id", F.lit(1.0).alias("rank"))
 
     def step(state: DataFrame, _: int) -> DataFrame:
         inflow = F.sum(F.col("weight") * F.col("rank"))
@@ -76,9 +74,9 @@ def _fixed(graph, routes, work, reset, max_iter, cut_every):
     return state, seen
 
 
-def _until(graph, routes, work, reset, tol, cut_every):
+def _until(routes, work, reset, tol, cut_every):
     first = F.lit(float(reset))
-    start = graph.vertices.select("id", first.alias("rank"), first.alias("growth"))
+    start = routes.vertices().select("id", first.alias("rank"), first.alias("growth"))
     growing = F.col("growth") > F.lit(tol)
 
     def step(state: DataFrame, _: int) -> DataFrame:

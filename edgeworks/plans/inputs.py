@@ -118,7 +118,7 @@ TRADE_CELLS = """sold AS (
   JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey
   GROUP BY ALL),
 trade_cells AS (
-  SELECT a.n_nationkey::BIGINT AS index, b.n_nationkey AS col, coalesce(value, 0.0) AS value
+  SELECT a.n_nationkey::BIGINT AS index, b.n_nationkey::BIGINT AS col, coalesce(value, 0.0) AS value
   FROM nation a CROSS JOIN nation b
   LEFT JOIN sold ON sold.index = a.n_nationkey AND sold.col = b.n_nationkey)"""
 
@@ -135,7 +135,7 @@ def label_weights(spark: SparkSession, d: str) -> DataFrame:
 
 
 LABEL_CELLS = """label_cells AS (
-  SELECT col::BIGINT AS index, label AS col, avg(value) AS value
+  SELECT col::BIGINT AS index, label::BIGINT AS col, avg(value) AS value
   FROM embedding_cells JOIN embeddings ON index = vec_id GROUP BY 1, 2)"""
 
 

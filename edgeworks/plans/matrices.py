@@ -56,7 +56,7 @@ def _(spark, d):
     squared = matrix.square(trade_matrix(spark, d))
     both = squared.select("index", F.posexplode(F.arrays_zip("vector", "squared_vector")).alias("col", "pair"))
     return both.select(
-        "index", "col", F.round("pair.vector", 3).alias("value"), F.round("pair.squared_vector", 3).alias("squared"))
+        "index", F.col("col").cast("bigint"), F.round("pair.vector", 3).alias("value"), F.round("pair.squared_vector", 3).alias("squared"))
 
 
 @query("matrix_conform", f"""WITH {EMBEDDING_CELLS}, {TRADE_CELLS}

@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 TABLES = """region nation customer supplier part orders lineitem events documents embeddings pages
 benchmark labels conversations""".split()
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 
 
 def connect(d: str) -> duckdb.DuckDBPyConnection:
@@ -45,11 +46,14 @@ def compare(spark, con, name: str, query, sql: str | None, d: str) -> str:
     sql_took = time.time() - started
     if sorted(columns) != sorted(df.columns):
         return f"FAIL columns {df.columns} {columns}"
+    for column, kind in df.dtypes:
+        if kind != TYPES.get(kinds[column], kinds[column]):
+            return f"FAIL column {column}: {kind}, SQL {kinds[column]}"
     if len(got) != len(want):
         return f"FAIL {len(got)} rows, SQL {len(want)}"
     for a, b in zip(got, want):
         if repr(a) != repr(b):
-            return f"FAIL {a} {b} ({dict(df.dtypes)} {kinds})"
+            return f"FAIL {a} {b}"
     return f"ok ({len(got)}) {took:.2f}s, SQL {sql_took:.2f}s"
 
 
