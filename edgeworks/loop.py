@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,27 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+ROWS_PER_PART = 1_000_000
+SHUFFLE_PARTS = "spark.sql.shuffle.partitions"
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, rows: int) -> Iterator[int]:
+    """Fewer shuffle partitions for the rounds over a small table.
+
+    Rounds are short, and cutting little data into the many parts a cluster is
+    set up for makes them much longer. The setting of the session is never
+    raised, and is back when the loop is done.
+    """
+    usual = spark.conf.get(SHUFFLE_PARTS)
+    parts = min(int(usual), max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_PART)))
+    spark.conf.set(SHUFFLE_PARTS, str(parts))
+    try:
+        yield parts
+    finally:
+        spark.conf.set(SHUFFLE_PARTS, usual)
+
+
 class Workspace:
     """The tables that one job writes for itself in the shared folder."""
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeworks.functions import hash60, uniform, vertex_part
-from edgeworks.loop import Workspace
+from edgeworks.loop import Workspace, sized_shuffles
 from edgeworks.operators.graph import canonical_edges, degrees, endpoints, hot_vertices, vertices_of
 from edgeworks.operators.skew import spread_join
 
@@ -89,7 +89,7 @@ def sample_edges(edges: DataFrame, p: float, seed: int = 0, round: int = 0) -> D
     return edges.filter(uniform(f"edge-{seed}-{round}", "src", "dst") < F.lit(p))
 
 
-def same_part(edges: DataFrame, k: int, seed: int = 0) -> DataFrame:
+def same_part(edges: DataFrame, k: int, seed: int | str = 0) -> DataFrame:
     """Edges with both ends in one of ``k`` vertex parts."""
     if k <= 1:
         return edges
@@ -124,6 +124,26 @@ class _Job:
         self.chosen += new
         return new
 
+    def sampled(self, left: DataFrame, n_left: int, p: float, k: int, seed, done: int, last: float, stop: str):
+        """Sampled rounds; what they leave, its size and the last round."""
+        while n_left and done < last:
+            done += 1
+            before = n_left
+            sample = same_part(sample_edges(left, p, seed, done), k, f"{seed}-{done}")
+            sample, seen = self.work.keep(sample, "sample")
+            if seen.get("rows"):
+                matched = endpoints(_union(self.greedy(sample, seen["rows"], done)))
+                rest, seen = self.work.keep(residual_edges(left, matched, self.hot), "left")
+                self.work.drop(left)
+                left, n_left = rest, seen.get("rows")
+            else:
+                self.work.drop(sample)
+            if stop == "unchanged" and n_left == before:
+                break
+            if stop == "degree_one" and n_left and _largest_degree(left) <= 1:
+                break
+        return left, n_left, done
+
 
 def _decided(left: DataFrame, hot: DataFrame | None) -> DataFrame:
     """Edges of one greedy round that are ``chosen`` or go on; edges that
@@ -169,7 +189,7 @@ def maximal_matching(
 
     ``method="greedy"`` runs greedy rounds until no edge is left. ``"mpc"``
     samples edges with probability ``p``, keeps those with both ends in one of
-    ``k`` vertex parts, matches them, removes the edges they touch, and
+    ``k`` vertex parts, drawn anew each round, matches them, removes the edges they touch, and
     repeats; ``p`` and ``k`` follow from the largest degree when not given.
     ``rounds`` is a number, a limit by name, or None for no limit; ``stop``
     ends the rounds early when no edge is left, when a round removed none, or
@@ -183,39 +203,28 @@ def maximal_matching(
     if stop not in STOPS:
         raise ValueError(f"stop must be one of {STOPS}, not {stop!r}")
     job = _Job(edges.sparkSession)
-    work = job.work
-    left, seen = work.keep(with_priority(canonical_edges(edges), seed), "edges")
+    left, seen = job.work.keep(with_priority(canonical_edges(edges), seed), "edges")
     n_left = seen.get("rows")
     if not n_left:
         return left.select("src", "dst", F.lit(0).alias("round"))
     job.hot = hot_vertices(left, min_rows=min_hot_rows)
-
-    if method == "greedy":
-        job.greedy(left, n_left)
-        return _union(job.chosen)
-
-    row = matching_params(edges, k_rounding).first()
-    p = row["p"] if p is None else p
-    k = row["k"] if k is None else k
-    done, last = first_round - 1, first_round - 1 + _round_limit(rounds, row, n_left, p)
-    while n_left and done < last:
-        done += 1
-        before = n_left
-        sampled, seen = work.keep(same_part(sample_edges(left, p, seed, done), k, seed), "sample")
-        if seen.get("rows"):
-            matched = endpoints(_union(job.greedy(sampled, seen["rows"], done)))
-            rest, seen = work.keep(residual_edges(left, matched, job.hot), "left")
-            work.drop(left)
-            left, n_left = rest, seen.get("rows")
+    with sized_shuffles(edges.sparkSession, n_left):
+        if method == "greedy":
+            job.greedy(left, n_left)
         else:
-            work.drop(sampled)
-        if stop == "unchanged" and n_left == before:
-            break
-        if stop == "degree_one" and n_left and _largest_degree(left) <= 1:
-            break
-    if sweep and n_left:
-        job.greedy(left, n_left, done + 1)
-    return _union(job.chosen) if job.chosen else left.limit(0).select("src", "dst", F.lit(0).alias("round"))
+            row = matching_params(edges, k_rounding).first()
+            p = row["p"] if p is None else p
+            k = row["k"] if k is None else k
+            if rounds is None and p <= 0:
+                raise ValueError("without a round limit p must be above 0")
+            limit = _round_limit(rounds, row, n_left, p)
+            done = first_round - 1
+            left, n_left, done = job.sampled(left, n_left, p, k, seed, done, done + limit, stop)
+            if sweep and n_left:
+                job.greedy(left, n_left, done + 1)
+    if not job.chosen:
+        return left.limit(0).select("src", "dst", F.lit(0).alias("round"))
+    return _union(job.chosen)
 
 
 def _union(tables: list[DataFrame]) -> DataFrame:

@@ -7,30 +7,18 @@ the ranks are scaled to sum to the number of vertices.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeworks.loop import Workspace, iterate
 from edgeworks.operators.graph import Graph
-from edgeworks.operators.routes import Routes
-from edgeworks.operators.skew import hot_keys, spread_join
-
-
-def _routes(graph: Graph, min_hot_rows: int | None) -> Routes:
-    # Copies of an edge become one row before anything is joined, so that
-    # repeated edges do not make a key hot.
-    links = graph.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
-    links = links.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        sent = links.groupBy("src").agg(
-            F.sum("copies").alias("out_degree"), F.count(F.lit(1)).alias("targets"))
-        hot = hot_keys(sent, "src", min_rows=min_hot_rows, count="targets")
-        weighted = spread_join(links, sent.drop("targets"), "src", hot, by=["dst"]).withColumn(
-            "weight", F.col("copies") / F.col("out_degree"))
-        return Routes(weighted, graph, hot, "weight")
-    finally:
-        links.unpersist()
+from edgeworks.operators.routes import routes_over
+
+
+def links_of(graph: Graph) -> DataFrame:
+    """One row per linked pair with its number of ``copies``, so that repeated
+    edges do not make a key hot."""
+    return graph.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def pagerank(
@@ -47,25 +35,28 @@ def pagerank(
     growth on, until there are none; ``max_iter`` is not used then.
     """
     work = Workspace(graph.edges.sparkSession)
-    routes = _routes(graph, min_hot_rows)
-    try:
+    with routes_over(links_of(graph), graph, min_hot_rows) as routes:
         if tol is None:
             state, seen = _fixed(routes, work, reset, max_iter, cut_every)
         else:
             state, seen = _until(routes, work, reset, tol, cut_every)
-    finally:
-        routes.release()
     factor = seen["rows"] / seen["total"] if seen.get("total") else 1.0
     return state.select("id", (F.col("rank") * F.lit(factor)).alias("pagerank"))
 
 
+def _kept(column: str):
+    """What the own link says about the vertex itself."""
+    return F.max(F.when(F.col("own"), F.col(column))).alias(column)
+
+
 def _fixed(routes, work, reset, max_iter, cut_every):
-    start = routes.vertices().select("id", F.lit(1.0).alias("rank"))
+    start = routes.vertices().select("id", "out", F.lit(1.0).alias("rank"))
 
     def step(state: DataFrame, _: int) -> DataFrame:
-        inflow = F.sum(F.col("weight") * F.col("rank"))
+        # A sink has only its own link, and that has no copies to carry.
+        share = F.when(F.col("out") > 0, F.col("copies") * (F.col("rank") / F.col("out"))).otherwise(F.lit(0.0))
         return routes.deliver(state).groupBy(F.col("dst").alias("id")).agg(
-            (F.lit(reset) + F.lit(1 - reset) * inflow).alias("rank"))
+            _kept("out"), (F.lit(reset) + F.lit(1 - reset) * F.sum(share)).alias("rank"))
 
     total = F.sum("rank")
     if max_iter == 0:
@@ -76,18 +67,18 @@ def _fixed(routes, work, reset, max_iter, cut_every):
 
 def _until(routes, work, reset, tol, cut_every):
     first = F.lit(float(reset))
-    start = routes.vertices().select("id", first.alias("rank"), first.alias("growth"))
+    start = routes.vertices().select("id", "out", first.alias("rank"), first.alias("growth"))
     growing = F.col("growth") > F.lit(tol)
 
     def step(state: DataFrame, _: int) -> DataFrame:
         # Links of vertices that stopped growing carry nothing; only the own
         # link keeps their rank.
-        sent = routes.deliver(state).filter(F.col("own") | growing)
-        arrived = F.when(growing, F.col("weight") * F.col("growth")).otherwise(F.lit(0.0))
+        sends = growing & (F.col("out") > 0)
+        sent = routes.deliver(state).filter(F.col("own") | sends)
+        share = F.when(sends, F.col("copies") * (F.col("growth") / F.col("out"))).otherwise(F.lit(0.0))
         gained = sent.groupBy(F.col("dst").alias("id")).agg(
-            F.max(F.when(F.col("own"), F.col("rank"))).alias("rank"),
-            (F.lit(1 - reset) * F.sum(arrived)).alias("growth"))
-        return gained.select("id", (F.col("rank") + F.col("growth")).alias("rank"), "growth")
+            _kept("out"), _kept("rank"), (F.lit(1 - reset) * F.sum(share)).alias("growth"))
+        return gained.select("id", "out", (F.col("rank") + F.col("growth")).alias("rank"), "growth")
 
     state, seen, _ = iterate(
         work, start, step, None,

@@ -117,7 +117,7 @@ def params(source: str, k_rounding: str = "floor") -> str:
 
 def sample(left: str, name: str, seed: object, number: int) -> str:
     """Sampled edges of one round whose ends share a vertex part."""
-    part = [f"{hash60(f'part-{seed}', side)} % (SELECT k FROM params)" for side in ("src", "dst")]
+    part = [f"{hash60(f'part-{seed}-{number}', side)} % (SELECT k FROM params)" for side in ("src", "dst")]
     return f"""{name} AS MATERIALIZED (
   SELECT * FROM {left}
   WHERE {uniform(f"edge-{seed}-{number}", "src", "dst")} < (SELECT p FROM params)

@@ -65,7 +65,7 @@ def main() -> None:
     d, names = sys.argv[1], sys.argv[2:] or list(QUERIES)
     spark = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", os.environ.get("CHECK_PARTITIONS", "8"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
