@@ -42,14 +42,15 @@ def dot(a: Column | str, b: Column | str) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
-def hash60(seed: int | str, *cols: Column | str) -> Column:
-    """A repeatable number in [0, 2^60) from a seed and columns.
+def hash60(seed: int | str | None, *cols: Column | str) -> Column:
+    """A repeatable number in [0, 2^60) from a seed, if any, and columns.
 
     It depends only on the values, never on partitions or on the run, so a
     task that is run again gets the same answer. Taken from md5, which has the
     same hex digits in every engine.
     """
-    text = F.concat_ws("|", F.lit(str(seed)), *[_col(c).cast("string") for c in cols])
+    prefix = [] if seed is None else [F.lit(str(seed))]
+    text = F.concat_ws("|", *prefix, *[_col(c).cast("string") for c in cols])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 

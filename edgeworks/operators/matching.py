@@ -43,7 +43,7 @@ def matching_params(edges: DataFrame, k_rounding: str = "floor") -> DataFrame:
     )
 
 
-def with_priority(edges: DataFrame, seed: int = 0) -> DataFrame:
+def with_priority(edges: DataFrame, seed: int | None = 0) -> DataFrame:
     """Edges with their place ``priority`` in the random order."""
     return edges.withColumn("priority", hash60(seed, "src", "dst"))
 
@@ -84,7 +84,7 @@ def unmatched_edges(edges: DataFrame, matching: DataFrame) -> DataFrame:
     return edges.join(matching.select("src", "dst"), ["src", "dst"], "left_anti")
 
 
-def sample_edges(edges: DataFrame, p: float, seed: int = 0, round: int = 0) -> DataFrame:
+def sample_edges(edges: DataFrame, p: float, seed: int | None = 0, round: int = 0) -> DataFrame:
     """A Bernoulli sample, the same for the same seed and round."""
     return edges.filter(uniform(f"edge-{seed}-{round}", "src", "dst") < F.lit(p))
 
@@ -161,12 +161,12 @@ def _decided(left: DataFrame, hot: DataFrame | None) -> DataFrame:
     return marked.withColumn("chosen", chosen).filter(F.col("chosen") | free).select(*left.columns, "chosen")
 
 
-def greedy_matching(edges: DataFrame, seed: int = 0, min_hot_rows: int | None = None) -> DataFrame:
+def greedy_matching(edges: DataFrame, seed: int | None = 0, min_hot_rows: int | None = None) -> DataFrame:
     """``src, dst, round``: the greedy matching in the seeded random order."""
     return maximal_matching(edges, method="greedy", seed=seed, min_hot_rows=min_hot_rows)
 
 
-def mpc_round(edges: DataFrame, p: float, k: int, round: int = 1, seed: int = 0) -> DataFrame:
+def mpc_round(edges: DataFrame, p: float, k: int, round: int = 1, seed: int | None = 0) -> DataFrame:
     """``src, dst, round``: greedy matching of a sample of the edges whose
     ends share a vertex part."""
     return maximal_matching(edges, p=p, k=k, rounds=1, first_round=round, seed=seed, sweep=False)
@@ -179,7 +179,7 @@ def maximal_matching(
     k: int | None = None,
     rounds: int | str | None = "log_delta",
     stop: str = "empty",
-    seed: int = 0,
+    seed: int | None = 0,
     k_rounding: str = "floor",
     first_round: int = 1,
     sweep: bool = True,
