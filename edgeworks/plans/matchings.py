@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from edgeworks.functions import vertex_part
 from edgeworks.operators import matching, scores
-from edgeworks.operators.graph import canonical_edges, endpoints, hot_vertices
+from edgeworks.operators.graph import canonical_edges, endpoints, hot_vertices, max_degree, vertices_of
 from edgeworks.plans import rounds
 from edgeworks.plans.inputs import (
     PART_LINKS,
@@ -116,8 +117,6 @@ def _(spark, d):
 @query("residual_max_degree", f"""WITH {FIRST} SELECT max(n) AS delta FROM (
   SELECT count(*) AS n FROM (SELECT src AS id FROM g_left UNION ALL SELECT dst FROM g_left) GROUP BY id)""")
 def _(spark, d):
-    from edgeworks.operators.graph import max_degree
-
     queue = _queue(spark, d)
     gone = endpoints(matching.mutual_edges(queue))
     return max_degree(matching.residual_edges(queue, gone, hot_vertices(queue)))
@@ -179,6 +178,19 @@ def _(spark, d):
     return matching.maximal_matching(sales_edges(spark, d), rounds=3, seed=SEED)
 
 
+@query("maximal_matching_half", f"""WITH {SALES}, {rounds.mpc('sales', SEED, 3, 14, 10, fixed='0.5 AS p, 1 AS k')}
+SELECT src, dst, round FROM matching""")
+def _(spark, d):
+    return matching.maximal_matching(sales_edges(spark, d), p=0.5, k=1, rounds=3, seed=SEED)
+
+
+@query("vertex_parts", f"""WITH {SALES}, ids AS (SELECT src AS id FROM sales UNION SELECT dst FROM sales)
+SELECT ({rounds.hash60('part', 'id')} % 8)::INT AS part, count(*) AS vertices FROM ids GROUP BY 1""")
+def _(spark, d):
+    part = vertex_part("id", 8).alias("part")
+    return vertices_of(sales_edges(spark, d)).groupBy(part).agg(F.count(F.lit(1)).alias("vertices"))
+
+
 def _scored(links, seed, how):
     return f"""{how}, {rounds.prioritised(links, seed)}, {rounds.greedy('queue', 'g', 16)}
 SELECT src, dst, score, round FROM g_chosen JOIN {links} USING (src, dst)"""
@@ -202,3 +214,10 @@ def _(spark, d):
   SELECT * FROM scored_pairs WHERE score >= 40)"""))
 def _(spark, d):
     return matching.scored_matching(scored_pairs(spark, d), ("min", 40), method="greedy", seed=SEED)
+
+
+@query("scored_matching_mpc", f"""WITH {MEANS}, {ABOVE.format(links='scored_pairs')},
+{rounds.mpc('above', SEED, 3, 8, 16)}
+SELECT src, dst, score, round FROM matching JOIN above USING (src, dst)""")
+def _(spark, d):
+    return matching.scored_matching(scored_pairs(spark, d), "endpoint_mean", rounds=3, seed=SEED)

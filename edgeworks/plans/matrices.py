@@ -102,3 +102,16 @@ def _(spark, d):
 def _(spark, d):
     named = embedding_matrix(spark, d).withColumnRenamed("vector", "_c1")
     return _cells(matrix.normalize_matrix(named))
+
+
+@query("product_column", PRODUCT.replace("6) AS value", "6) AS product"))
+def _(spark, d):
+    product = matrix.matmul(embedding_matrix(spark, d), label_weights(spark, d))
+    return _cells(product.withColumnRenamed("vector", "multiplied_vector").select(
+        "index", F.col("multiplied_vector").alias("vector"))).withColumnRenamed("value", "product")
+
+
+@query("matrix_listing", """SELECT vec_id AS index, len(embedding)::INT AS cells FROM embeddings ORDER BY vec_id LIMIT 10""")
+def _(spark, d):
+    rows = embedding_matrix(spark, d).orderBy("index").limit(10)
+    return rows.select("index", F.size("vector").alias("cells"))

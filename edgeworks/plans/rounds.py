@@ -124,9 +124,10 @@ def sample(left: str, name: str, seed: object, number: int) -> str:
     AND {part[0]} = {part[1]})"""
 
 
-def mpc(source: str, seed: object, rounds: int, inner: int, sweep: int) -> str:
-    """CTEs up to ``matching(src, dst, round)``."""
-    parts, left, chosen = [params(source), prioritised(source, seed)], "queue", []
+def mpc(source: str, seed: object, rounds: int, inner: int, sweep: int, fixed: str | None = None) -> str:
+    """CTEs up to ``matching(src, dst, round)``; ``fixed`` gives p and k."""
+    given = params(source) if fixed is None else f"params AS (SELECT {fixed})"
+    parts, left, chosen = [given, prioritised(source, seed)], "queue", []
     for i in range(1, rounds + 1):
         parts.append(sample(left, f"s{i}", seed, i))
         parts.append(greedy(f"s{i}", f"m{i}", inner, label=i))
