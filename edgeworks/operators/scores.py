@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeworks.functions import greatest_mean
+from edgeworks.loop import Workspace
 from edgeworks.operators.graph import endpoints, hot_vertices
-from edgeworks.operators.skew import spread_join
+from edgeworks.operators.skew import hot_keys, spread_join
 
 
 def vertex_mean_score(links: DataFrame) -> DataFrame:
@@ -38,8 +39,14 @@ def filter_above_endpoint_means(
     The means are looked up by two joins; links of a hub are divided over
     tasks. A vertex without a mean counts as 0.
     """
-    means = vertex_mean_score(links) if means is None else means
-    hot = hot_vertices(links, min_rows=min_hot_rows)
+    if means is None:
+        # One pass over the links tells the means and which vertices are hot.
+        per_vertex = endpoints(links, "score").groupBy("id").agg(
+            F.avg("score").alias("avg_score"), F.count(F.lit(1)).alias("degree"))
+        means, _ = Workspace(links.sparkSession).keep(per_vertex, "means")
+        hot = hot_keys(means, "id", min_rows=min_hot_rows, count="degree")
+    else:
+        hot = hot_vertices(links, min_rows=min_hot_rows)
     rated = links
     for side in ("src", "dst"):
         mean = means.select(F.col("id").alias(side), F.col("avg_score").alias(f"{side}_mean"))
