@@ -10,6 +10,7 @@ sys.path.insert(0, ROOT)
 
 import __spark_entry__ as contract  # noqa: E402
 import bench  # noqa: E402
+from edgeworks.plans import ORACLES, QUERIES  # noqa: E402
 
 # One of each family; tests/oracle_check.py runs them all.
 CHECKED = [
@@ -20,7 +21,7 @@ CHECKED = [
 
 
 def test_every_query_but_one_has_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"rows_per_partition"}
+    assert set(QUERIES) - set(ORACLES) == {"rows_per_partition"}
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert set(bench.HEADLINE) <= set(contract.queries())
 
