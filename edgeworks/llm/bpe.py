@@ -38,6 +38,11 @@ def encoding(ranks: str = RANKS):
     return tiktoken.Encoding(ranks, pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges, special_tokens={})
 
 
+@lru_cache(maxsize=4)
+def _decimals(ranks: str) -> list[str]:
+    return [str(i) for i in range(encoding(ranks).n_vocab)]
+
+
 def encode_pieces(text: str, ranks: str = RANKS) -> Iterator[list[int]]:
     """Token ids of a text, piece by piece."""
     coder = encoding(ranks)
@@ -83,10 +88,10 @@ DIGESTS = "doc_id {}, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 def digest(text: str, ranks: str = RANKS) -> tuple[int, str, str]:
     """Number of tokens, digest of the ids in decimal, digest of the decoded bytes."""
-    coder, count = encoding(ranks), 0
+    coder, said_as, count = encoding(ranks), _decimals(ranks), 0
     ids_hash, raw_hash = hashlib.sha256(), hashlib.sha256()
     for ids in encode_pieces(text, ranks):
-        said = ",".join(map(str, ids))
+        said = ",".join(map(said_as.__getitem__, ids))
         ids_hash.update((f",{said}" if count and ids else said).encode())
         raw_hash.update(coder.decode_bytes(ids))
         count += len(ids)

@@ -17,7 +17,7 @@ import re
 from collections.abc import Iterator
 
 #: White space as Unicode has it.
-SPACE = r"\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _PUNCT = "!-/:-@\\[-`{-~"
 _EDGE = re.compile(
     f"(?<=[^{SPACE}])(?=[{SPACE}])|(?<=[{SPACE}])(?=[{SPACE}][^{SPACE}])|(?<=[A-Za-z])(?=[0-9{_PUNCT}])"
@@ -65,4 +65,4 @@ def led_words(piece: str) -> tuple[str, list[str], list[str]]:
     if _ODD.search(piece):
         return "", [], _LED.findall(piece)
     head, *led = piece.split(" ")
-    return head, led, []
+    return (head, led[:-1], [" "]) if led and not led[-1] else (head, led, [])

@@ -36,7 +36,10 @@ from edgeworks.llm.text_cuts import led_words, safe_pieces
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
 #: Bounds: entries of the broadcast table, of what a task offers, of what a task counts, of a worker's cache.
-FREQUENT, PER_TASK, COUNTED, CACHED = 1 << 15, 1 << 12, 1 << 17, 1 << 18
+FREQUENT, PER_TASK, COUNTED, CACHED = 1 << 16, 1 << 13, 1 << 17, 1 << 20
+#: Latin characters, on whose classes all versions of Unicode in use agree. Words with others go to
+#: the tokenizer whole, which splits by the tables of its own version.
+SAFE = regex.compile(r"[\x00-\xff\u0100-\u024f]*")
 #: Longer pre-tokens are neither counted nor cached.
 LONGEST = 32
 
@@ -57,8 +60,43 @@ def _special(name: str):
     return regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True)))) if added else None
 
 
-def _lengths(pretokens: list[str], name: str) -> list[int]:
-    return [len(x.ids) for x in tokenizer(name).encode_batch(pretokens, add_special_tokens=False)]
+@lru_cache(maxsize=4)
+def _merger(name: str):
+    """The tokenizer's merges alone, for one of its own pre-tokens."""
+    return tokenizer(name).model.tokenize
+
+
+@lru_cache(maxsize=1)
+def _pattern():
+    import public_tokenizers
+
+    return regex.compile(public_tokenizers.PATTERN)
+
+
+def _byte_names() -> dict[int, str]:
+    """Byte-level vocabularies name a byte by itself where Latin-1 prints it, and else by the next character from 256 on."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printed]
+    return {b: chr(b) for b in printed} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_NAMES = _byte_names()
+
+
+def _length(text: str, name: str) -> int:
+    """Tokens of a text without special strings."""
+    if not SAFE.fullmatch(text):
+        return len(tokenizer(name).encode(text, add_special_tokens=False).ids)
+    merge, total = _merger(name), 0
+    for x in _pattern().findall(text):
+        total += len(merge(x.encode().decode("latin-1").translate(_NAMES)))
+    return total
+
+
+def _led_lengths(words: list[str], name: str) -> list[int]:
+    """Tokens of each word with a space before it; a word of ASCII letters is one pre-token of the library's as well."""
+    merge, space = _merger(name), _NAMES[32]
+    return [len(merge(space + x)) if x.isascii() and x.isalpha() else _length(" " + x, name) for x in words]
 
 
 def _segments(text: str, name: str) -> tuple[list[str], int]:
@@ -70,6 +108,12 @@ def _segments(text: str, name: str) -> tuple[list[str], int]:
     return kept, len(kept) - 1
 
 
+@lru_cache(maxsize=4)
+def _cache(name: str) -> dict[str, int]:
+    """This worker's lengths, kept from one task to the next."""
+    return {}
+
+
 class Lengths:
     """Tokens of a text: broadcast table, then this worker's cache, then the tokenizer.
 
@@ -77,7 +121,7 @@ class Lengths:
     """
 
     def __init__(self, frequent: dict[str, int], name: str):
-        self.frequent, self.name, self.cache = frequent, name, {}
+        self.frequent, self.name, self.cache = frequent, name, _cache(name)
 
     def count(self, text: str) -> int:
         kept, total = _segments(text, self.name)
@@ -85,8 +129,7 @@ class Lengths:
             for piece in safe_pieces(segment):
                 head, led, odd = led_words(piece)
                 whole = [head, *odd] if head else odd
-                if whole:
-                    total += sum(_lengths(whole, self.name))
+                total += sum(_length(x, self.name) for x in whole)
                 total += self._led(led)
         return total
 
@@ -97,7 +140,7 @@ class Lengths:
         cache = self.cache
         missed = Counter(x for x, n in zip(words, sizes, strict=True) if n is None)
         new = [x for x in missed if x not in cache]
-        known = dict(zip(new, _lengths([f" {x}" for x in new], self.name), strict=True)) if new else {}
+        known = dict(zip(new, _led_lengths(new, self.name), strict=True)) if new else {}
         total = sum(filter(None, sizes)) + sum(k * (known.get(x) or cache[x]) for x, k in missed.items())
         if len(cache) + len(known) > CACHED:
             cache.clear()
@@ -124,7 +167,7 @@ def frequent_pretokens(rows: DataFrame, name: str = TOKENIZER) -> dict[str, int]
     offered = rows.select("text").mapInArrow(run, "pretoken string, n long")
     best = offered.groupBy("pretoken").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pretoken").limit(FREQUENT)
     words = [x.pretoken for x in best.select("pretoken").collect()]
-    return dict(zip(words, _lengths([f" {x}" for x in words], name), strict=True))
+    return dict(zip(words, _led_lengths(words, name), strict=True)) if words else {}
 
 
 def count_tokens(
