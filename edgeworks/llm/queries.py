@@ -6,20 +6,68 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeworks.llm import bpe, token_counts
-from edgeworks.llm.common import table
+from edgeworks.llm import bpe, decontaminate, lines, minhash, substrings, token_counts, warc, winnow
+from edgeworks.llm.common import table, texts
+from edgeworks.llm.shipping import ship
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.fingerprints(texts(table(spark, sf_dir, "documents")))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.report(table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.page_report(table(spark, sf_dir, "pages"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_warc": op4_warc,
+    "op5_near_duplicates": op5_near_duplicates,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
 }
-ORACLES: dict[str, str] = {}
+
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {name: _shipped(query) for name, query in _PLAIN.items()}
+ORACLES: dict[str, str] = {
+    "op4_warc": warc.ORACLE,
+    "op5_near_duplicates": minhash.ORACLE,
+    "op7_substring_dedup": substrings.ORACLE,
+    "op8_line_dedup": lines.ORACLE,
+    "op9_decontamination": decontaminate.ORACLE,
+}
