@@ -7,9 +7,9 @@ the same document).
 Sharding. A window's key is the least hash of the ``GRAM``-word grams inside it,
 so equal windows have equal keys, and neighbouring windows mostly share theirs:
 they travel together as one record, and a record's key names its shard. Grams
-that very many windows would choose are found first (``HOT``) and ranked last;
-a window of such grams only is its own record, keyed by all its words. So no
-key gathers more than about ``HOT`` windows, whatever is repeated. Inside a
+that very many records would share are found first (``HOT``) and ranked last;
+a window of such grams only is its own record, keyed by all its words. So a key
+gathers about ``HOT`` records, or one in ``HOT_SHARE`` of all, at most. Inside a
 batch, a record whose words occurred earlier in the batch is settled at once
 and not sent, so a common passage leaves a batch once.
 
@@ -38,86 +38,109 @@ from pyspark.sql import functions as F
 from edgeworks.llm.common import per_batch, sliced, texts
 from edgeworks.llm.fm_index import FMIndex
 from edgeworks.llm.shingles import folded, mixed, word_hashes
+from edgeworks.loop import Workspace
 
 WINDOW, GRAM = 20, 4
-#: Words in a shard, about; windows of one key beyond which its gram is hot; most hot grams there can be.
-SHARD_WORDS, HOT, MOST_HOT = 1 << 20, 10_000, 1 << 22
+#: Records in a shard, about; records of one key beyond which its gram is hot; the share of all
+#: records beyond which it is hot for sure.
+SHARD_RECORDS, HOT, HOT_SHARE = 1 << 15, 2_000, 1 << 20
 #: Text of the documents that are cut into records together.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
+_END = b"\xff"
 _TOP = np.uint64(1 << 63)
 
 
 class Cut:
-    """The words of a batch of documents and the keys of their windows."""
+    """The words of a batch of documents and the keys of their windows.
+
+    ``start`` and ``key`` are those of the windows; ``owner`` is the document
+    of each word and ``begins`` where a document's words begin.
+    """
 
     def __init__(self, said: list[str], window: int, gram: int, hot: np.ndarray | None):
-        split = [text.encode().split() for text in said]
-        self.words = [w for words in split for w in words]
-        sizes = np.array(list(map(len, split)), np.int64)
-        self.ends = np.cumsum(sizes)
-        self.begins = self.ends - sizes
+        # No text in UTF-8 holds the byte that ends a document here.
+        self.words = b" ".join(x.encode() + b" " + _END for x in said).split()
         self.hashes = word_hashes(self.words)
+        over = self.hashes == word_hashes([_END])
+        passed = np.concatenate([[0], np.cumsum(over)])
+        self.owner = passed[:-1]
+        self.begins = np.concatenate([[0], np.flatnonzero(over)[:-1] + 1])
         n = len(self.words) - window + 1
         if n < 1:
             self.start, self.key = np.zeros(0, np.int64), np.zeros(0, np.uint64)
             return
         m = len(self.words) - gram + 1
-        ranked = mixed(folded([self.hashes[i:i + m] for i in range(gram)])) >> np.uint64(1)
+        key = mixed(folded([self.hashes[i:i + m] for i in range(gram)])) >> np.uint64(1)
         if hot is not None and len(hot):
-            ranked |= np.where(hot[np.minimum(np.searchsorted(hot, ranked), len(hot) - 1)] == ranked, _TOP, np.uint64(0))
-        key, span, width = ranked, 1, window - gram + 1
+            key |= np.where(hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key, _TOP, np.uint64(0))
+        span, width = 1, window - gram + 1
         while 2 * span <= width:
             key, span = np.minimum(key[:-span], key[span:]), 2 * span
         if width > span:
             key = np.minimum(key[:-(width - span)], key[width - span:])
-        # Windows must not cross into the next document.
-        owner = np.repeat(np.arange(len(said)), sizes)
-        self.start = np.flatnonzero(owner[:n] == owner[window - 1:])
+        self.start = np.flatnonzero(passed[:n] == passed[window:])
         self.key = key[self.start]
-        self.owner = owner
 
+    def heads(self) -> np.ndarray:
+        """Where records begin: the key changes, windows are no neighbours, or stand alone."""
+        alone = (self.key & _TOP) != 0
+        fresh = np.ones(len(self.start), bool)
+        fresh[1:] = (np.diff(self.start) != 1) | (self.key[1:] != self.key[:-1]) | alone[1:] | alone[:-1]
+        return np.flatnonzero(fresh)
 
-def _keyed_sizes(cut: Cut) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(cut.key, return_counts=True)
 
+def hot_grams(work: Workspace, rows: DataFrame, window: int, gram: int, least: int = HOT, share: int = HOT_SHARE) -> tuple[np.ndarray, int]:
+    """Sorted hot grams, and the number of records.
 
-def hot_grams(rows: DataFrame, window: int, gram: int, least: int = HOT, most: int = MOST_HOT) -> tuple[np.ndarray, int]:
-    """Sorted hot grams, and how many words records will hold in all.
-
-    A gram is hot when more windows choose it than ``least``, and than one in
-    ``most`` of all windows, so there are fewer than ``most`` of them.
+    A task offers the keys of two records or more, and of more than one in
+    ``2 * share`` of its own. A key that holds one in ``share`` of all records
+    does so in some task at least, and what other tasks leave out is half of
+    that at most. So every such key is found, and there are fewer than
+    ``2 * share`` that are called hot.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
         for batch in sliced(batches, BATCH_BYTES):
-            keys, n = _keyed_sizes(Cut(batch["text"].to_pylist(), window, gram, None))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], ["key", "n"])
+            cut = Cut(batch["text"].to_pylist(), window, gram, None)
+            found.append(cut.key[cut.heads()])
+        keys, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        many = n >= max(2, n.sum() // (2 * share))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None, *keys[many].view(np.int64).tolist()], pa.int64()), pa.array([int(n.sum()), *n[many].tolist()], pa.int64())], ["key", "n"])
+
+    offered = rows.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counts, seen = work.keep(offered.filter(F.col("key").isNull() | (F.col("n") > least)), "grams", total=F.sum(F.when(F.col("key").isNull(), F.col("n"))))
+    total = seen.get("total") or 0
+    found = counts.filter(F.col("key").isNotNull() & (F.col("n") > total // (2 * share))).select("key").toArrow()["key"].to_numpy()
+    return np.sort(found.astype(np.int64).view(np.uint64)), total
 
-    counts = rows.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    total = counts.agg(F.sum("n"), F.max("n")).first()
-    limit = max(least, (total[0] or 0) // most)
-    if (total[1] or 0) <= limit:
-        return np.zeros(0, np.uint64), total[0] or 0
-    found = counts.filter(F.col("n") > limit).select("key").toArrow()["key"].to_numpy()
-    return np.sort(found.astype(np.int64).view(np.uint64)), total[0]
 
+def packed(docs: np.ndarray, starts: np.ndarray, counts: np.ndarray, keys: np.ndarray, said: bytes) -> bytes:
+    """Records in one compressed blob: places, numbers of windows, half of the keys, words."""
+    parts = [np.int64(len(docs)), docs, starts.astype(np.int32), counts.astype(np.int32), keys.astype(np.uint32)]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(x.tobytes() for x in parts) + said)
 
-BLOBS = "shard int, docs binary, starts binary, counts binary, keys binary, words binary"
 
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n, at, out = int(np.frombuffer(raw, np.int64, 1)[0]), 8, []
+    for kind in (np.int64, np.int32, np.int32, np.uint32):
+        out.append(np.frombuffer(raw, kind, n, at))
+        at += n * np.dtype(kind).itemsize
+    return out[0], out[1].astype(np.int64), out[2].astype(np.int64), out[3], raw[at:]
 
-def records(cut: Cut, ids: np.ndarray, window: int, shards: int) -> Iterator[tuple[int, bytes, bytes, bytes, bytes, bytes]]:
-    """Records of a batch by shard; those without words are windows already settled."""
+
+def records(cut: Cut, ids: np.ndarray, window: int, shards: int) -> Iterator[tuple[int, bytes]]:
+    """Blobs of a batch's records by shard; those without words are windows already settled."""
     if not len(cut.start):
         return
-    alone = (cut.key & _TOP) != 0
-    if alone.any():
-        own = cut.start[alone]
-        cut.key[alone] = folded([cut.hashes[own + i] for i in range(window)])
-    fresh = np.ones(len(cut.start), bool)
-    fresh[1:] = (np.diff(cut.start) != 1) | (cut.key[1:] != cut.key[:-1]) | alone[1:] | alone[:-1]
-    head = np.flatnonzero(fresh)
+    head = cut.heads()
     count = np.diff(head, append=len(cut.start))
     start, key = cut.start[head], cut.key[head]
+    alone = (key & _TOP) != 0
+    if alone.any():
+        key[alone] = folded([cut.hashes[start[alone] + i] for i in range(window)])
     owner = cut.owner[start]
     local = start - cut.begins[owner]
     order = np.lexsort((local, ids[owner]))
@@ -128,13 +151,12 @@ def records(cut: Cut, ids: np.ndarray, window: int, shards: int) -> Iterator[tup
     for r in order.tolist():
         text = said[r] = b" ".join(words[first[r]:first[r] + length[r]])
         settled[r] = seen.setdefault(text, places[r]) < places[r]
-    pack = zstandard.ZstdCompressor(level=3)
     to = np.where(settled, mixed(ids[owner].astype(np.uint64)), mixed(key)) % np.uint64(shards)
     by = np.lexsort((settled, to))
-    cuts = np.flatnonzero((np.diff(to[by].astype(np.int64), prepend=-1) != 0) | (np.diff(settled[by].astype(np.int8), prepend=-1) != 0))
-    for group in np.split(by, cuts[1:]):
-        text = b"" if settled[group[0]] else pack.compress(b"\n".join(said[r] for r in group.tolist()))
-        yield int(to[group[0]]), ids[owner[group]].tobytes(), local[group].tobytes(), count[group].tobytes(), key[group].tobytes(), text
+    fresh = (np.diff(to[by].astype(np.int64), prepend=-1) != 0) | (np.diff(settled[by].astype(np.int8), prepend=-1) != 0)
+    for group in np.split(by, np.flatnonzero(fresh)[1:]):
+        text = b"" if settled[group[0]] else b"\n".join(said[r] for r in group.tolist())
+        yield int(to[group[0]]), packed(ids[owner[group]], local[group], count[group], key[group], text)
 
 
 class _Codes(dict):
@@ -186,17 +208,16 @@ def _may_repeat(record: bytes, window: int) -> bool:
 
 
 def _shard(group: pa.Table, window: int) -> pa.Table:
-    unpack, out = zstandard.ZstdDecompressor(), []
-    docs, starts, keys, said = [], [], [], []
-    for row in group.select(["docs", "starts", "counts", "keys", "words"]).to_pylist():
-        doc, start = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["starts"], np.int64)
-        if not row["words"]:
-            out.append((doc, start, start + np.frombuffer(row["counts"], np.int64) + window - 1))
+    out, docs, starts, keys, said = [], [], [], [], []
+    for blob in group["blob"]:
+        doc, start, count, key, words = unpacked(blob.as_py())
+        if not words:
+            out.append((doc, start, start + count + window - 1))
             continue
         docs.append(doc)
         starts.append(start)
-        keys.append(np.frombuffer(row["keys"], np.uint64))
-        said += unpack.decompress(row["words"]).split(b"\n")
+        keys.append(key)
+        said += words.split(b"\n")
     if docs:
         # A record whose key stands alone shares no window with another; its own repeat only if so many of its words do.
         key, doc, start = np.concatenate(keys), np.concatenate(docs), np.concatenate(starts)
@@ -208,28 +229,28 @@ def _shard(group: pa.Table, window: int) -> pa.Table:
     return pa.table([pa.array(c, pa.int64()) for c in columns], ["doc", "begin", "end"])
 
 
-def repeated_stretches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, shard_words: int = SHARD_WORDS) -> DataFrame:
+def repeated_stretches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, shard_records: int = SHARD_RECORDS) -> DataFrame:
     """``(doc, begin, end)``: word ranges, possibly overlapping, that repeat earlier ones."""
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), "text")
-    found, total = hot_grams(rows, window, gram, hot)
+    found, total = hot_grams(Workspace(spark), rows, window, gram, hot)
     grams = spark.sparkContext.broadcast(found)
-    shards = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * total // shard_words)
+    shards = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // shard_records)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, BATCH_BYTES):
             made = Cut(batch["text"].to_pylist(), window, gram, grams.value)
-            columns = list(zip(*records(made, batch["doc"].to_numpy(), window, shards), strict=True)) or [()] * 6
-            kinds = [pa.int32(), *[pa.binary()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["shard", "docs", "starts", "counts", "keys", "words"])
+            rows = list(records(made, batch["doc"].to_numpy(), window, shards))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.binary())], ["shard", "blob"])
 
-    return rows.mapInArrow(cut, BLOBS).groupBy("shard").applyInArrow(lambda group: _shard(group, window), "doc long, begin long, end long")
+    sent = rows.mapInArrow(cut, "shard int, blob binary")
+    return sent.groupBy("shard").applyInArrow(lambda group: _shard(group, window), "doc long, begin long, end long")
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, shard_words: int = SHARD_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, shard_records: int = SHARD_RECORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, n_words, n_removed, kept)``; kept is the words that stay, joined by one space."""
     rows = texts(docs, id_col, text_col)
-    found = repeated_stretches(rows, window, gram, hot, shard_words)
+    found = repeated_stretches(rows, window, gram, hot, shard_records)
     gone = found.groupBy("doc").agg(F.collect_list(F.struct("begin", "end")).alias("gone"))
     joined = rows.join(gone, F.coalesce(rows["doc_id"].cast("long"), F.lit(-(1 << 63))) == gone["doc"], "left").select("doc_id", "text", "gone")
 

@@ -36,8 +36,23 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _widened(h: Column, step: int, times: int) -> Column:
+    """The least of each number and ``times`` others, ``step`` places apart; none beyond the end."""
+    return _let(h, lambda all_: F.transform(all_, lambda x, i: F.least(x, *(F.get(all_, i + step * t) for t in range(1, times + 1)))))
+
+
+def _sliding_least(h: Column, window: int) -> Column:
+    """The least of each ``window`` numbers in a row; of all, where there are fewer."""
+    span, out = 1, h
+    while span < window:
+        times = 3 if 4 * span <= window else 1
+        step = span if 2 * span <= window else window - span
+        out, span = _widened(out, step, times), step * times + span
+    return _let(out, lambda m: F.slice(m, F.lit(1), F.greatest(F.size(m) - (window - 1), F.lit(1))))
+
+
 def _chosen(chunk: Column, k: int, window: int) -> Column:
-    """Chosen hashes of a chunk: 48 bits of hash above 16 of the position counted from the chunk's end of range."""
+    """Chosen hashes of a chunk: 48 bits of hash above 16 of the position, counted down."""
     grams = F.when(F.char_length(chunk) >= k, F.regexp_extract_all(chunk, F.lit(f"(?s)(?=(.{{{k}}})).")))
     grams = F.coalesce(grams, F.array(chunk))
 
@@ -45,11 +60,7 @@ def _chosen(chunk: Column, k: int, window: int) -> Column:
         # Equal hashes: the later position has the smaller rest, so the rightmost is the least.
         return F.xxhash64(gram).bitwiseAND(F.lit(~_LOW)) + (F.lit(_LOW) - i)
 
-    def least(h: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.size(h) - (window - 1), F.lit(1)))
-        return F.array_distinct(F.transform(starts, lambda i: F.array_min(F.slice(h, i, F.lit(window)))))
-
-    return _let(F.transform(grams, packed), least)
+    return F.array_distinct(_sliding_least(F.transform(grams, packed), window))
 
 
 def fingerprint(text: Column, k: int = K, window: int = WINDOW, chunk: int = CHUNK) -> Column:
@@ -90,22 +101,25 @@ def _successors(groups: DataFrame) -> DataFrame:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text, next_text)`` of ``(doc_id, text)``, next by ascending id, the first after the last.
+    """``(doc_id, text, own, next_text, next_own)`` of ``(doc_id, text)``.
 
-    Ids are dealt out in groups of neighbours. Only the last of a group looks
-    for its next in another group. Rows of one id follow each other by text; a
-    null id comes first.
+    ``own`` is the text's fingerprint. Next is by ascending id, the first after
+    the last. Ids are dealt out in groups of neighbours, so that texts are
+    shuffled once; only the last of a group looks for its next in another.
+    Rows of one id follow each other by text; a null id comes first.
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     rows = docs.select("doc_id", "text", key.alias("key"), F.floor(key / NEAR).alias("near")).repartition("near")
     order = W.partitionBy("near").orderBy("key", "text")
-    inside = rows.select("doc_id", "text", F.lead("text").over(order).alias("next_text")).filter(F.col("next_text").isNotNull())
+    inside = rows.withColumn("own", fingerprint(F.col("text"))).select(
+        "doc_id", "text", "own", F.lead("text").over(order).alias("next_text"), F.lead("own").over(order).alias("next_own"))
     edge = F.struct("key", "text", "doc_id")
     edges = rows.groupBy("near").agg(F.min(edge).alias("first"), F.max(edge).alias("last"))
     after = _successors(docs.select(F.floor(key / NEAR).alias("near")).distinct())
     last = edges.select("near", F.col("last.doc_id").alias("doc_id"), F.col("last.text").alias("text")).join(after, "near")
     first = edges.select(F.col("near").alias("next"), F.col("first.text").alias("next_text"))
-    return inside.unionByName(last.join(first, "next").select("doc_id", "text", "next_text"))
+    tail = last.join(first, "next").select("doc_id", "text", fingerprint(F.col("text")).alias("own"), "next_text", fingerprint(F.col("next_text")).alias("next_own"))
+    return inside.filter(F.col("next_text").isNotNull()).unionByName(tail)
 
 
 def edited(text: Column, next_text: Column) -> Column:
@@ -114,11 +128,42 @@ def edited(text: Column, next_text: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.char_length(text) - half), F.substring(next_text, F.lit(1), half))
 
 
+def edited_fingerprint(text: Column, own: Column, next_own: Column, whole: Column, k: int = K, window: int = WINDOW) -> Column:
+    """The fingerprint of the edited text ``whole``, from those of the two texts it is made of.
+
+    Whether a position is chosen depends on the windows that hold it alone.
+    Where these lie inside the kept half, or inside the next text's beginning,
+    the choice is known; only the places around the seam and before the end
+    are hashed again. A short text is hashed whole.
+    """
+    reach = k + window - 1
+    half = F.floor(F.char_length(text) / 2).cast("int")
+    a = F.char_length(text) - half
+    b = F.char_length(whole) - a
+
+    def zone(begin: Column, end: Column) -> Column:
+        """Chosen positions from ``begin`` to before ``end``, hashed anew."""
+        start = F.greatest(begin - (window - 1), F.lit(0))
+        part = F.substring(whole, start + 1, end + reach - start)
+        moved = F.transform(fingerprint(part, k, window), lambda v: F.struct(v["hash"].alias("hash"), (v["position"] + start).alias("position")))
+        return F.filter(moved, lambda v: (v["position"] >= begin) & (v["position"] < end))
+
+    kept = F.filter(own, lambda v: v["position"] <= a - reach)
+    taken = F.transform(
+        F.filter(next_own, lambda v: (v["position"] >= window - 1) & (v["position"] <= b - reach)),
+        lambda v: F.struct(v["hash"].alias("hash"), (v["position"] + a).alias("position")))
+    seam, last = a - reach + 1, a + b - reach + 1
+    apart = b >= reach + window - 1
+    joined = F.when(apart, F.concat(kept, zone(seam, a + window - 1), taken, zone(last, a + b))).otherwise(F.concat(kept, zone(seam, a + b)))
+    return F.when(F.char_length(whole) < 8 * reach, fingerprint(whole, k, window)).otherwise(joined)
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every ``(doc_id, text)`` and its edited text, and their likeness."""
     rows = with_next(docs).withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    rows = rows.select("*", fingerprint(F.col("text")).alias("own"), fingerprint(F.col("edited")).alias("other"), fingerprint(F.col("next_text")).alias("following"))
+    other = edited_fingerprint(F.col("text"), F.col("own"), F.col("next_own"), F.col("edited"))
+    rows = rows.withColumn("other", other)
     return rows.select(
         "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         written(F.col("own")).alias("fingerprint"), written(F.col("other")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"))
+        likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("next_own")).alias("near_next"))
