@@ -115,3 +115,17 @@ def round_trip(docs: DataFrame, ranks: str = RANKS, id_col: str = "doc_id", text
 
     rows = texts(docs, id_col, text_col)
     return per_batch(rows, run, DIGESTS.format(rows.schema["doc_id"].dataType.simpleString()))
+
+
+def tokenized(docs: DataFrame, ranks: str = RANKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_tokens, ids, decoded_sha256)`` of every text, decoded again as a proof."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids = [encode(x, ranks) for x in batch["text"].to_pylist()]
+        raw = [hashlib.sha256(decode(x, ranks)).hexdigest() for x in ids]
+        return pa.RecordBatch.from_arrays(
+            [batch["doc_id"], pa.array(list(map(len, ids)), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(raw, pa.string())],
+            ["doc_id", "n_tokens", "ids", "decoded_sha256"])
+
+    rows = texts(docs, id_col, text_col)
+    return per_batch(rows, run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids array<int>, decoded_sha256 string")

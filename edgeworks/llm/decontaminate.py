@@ -100,11 +100,13 @@ def candidates(docs: DataFrame, prefix: DataFrame, sizes: list[int]) -> DataFram
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, width: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` rows ``(doc_id, text)`` with ``words`` and the verified ``leaks``.
+    """``docs`` rows with ``words`` and the verified ``leaks``.
 
-    ``leaks`` is an array of ``(start, size, window, items)``.
+    Needs ``doc_id`` and ``text``; a column ``row`` is kept. ``leaks`` is an
+    array of ``(start, size, window, items)``.
     """
-    docs = docs.select("doc_id", "text")
+    carried = [c for c in docs.columns if c == "row"]
+    docs = docs.select("doc_id", "text", *carried)
     found = windows(items.select("item_id", "text"), width)
     sizes = sorted(x.q for x in found.select(F.least("size", F.lit(shingle)).alias("q")).distinct().collect())
     said = docs.withColumn("words", words(F.col("text")))
@@ -115,7 +117,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, width: int = WINDOW, shingle:
     key = maybe.withColumnRenamed("doc_id", "of")
     joined = docs.join(key, docs["doc_id"].eqNullSafe(key["of"]), "left").drop("of").withColumn("words", words(F.col("text")))
     same = F.filter(F.coalesce("candidates", F.array()), lambda c: F.slice("words", c["start"] + 1, c["size"]) == c["window"])
-    return joined.select("doc_id", "text", "words", same.alias("leaks"))
+    return joined.select("doc_id", "text", *carried, "words", same.alias("leaks"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeworks.llm import bpe, decontaminate, lines, minhash, substrings, token_counts, warc, winnow
+from edgeworks.llm import bpe, decontaminate, language, language_model, lines, minhash, substrings, token_counts, warc, winnow
 from edgeworks.llm.common import table, texts
 from edgeworks.llm.shipping import ship
 
@@ -15,6 +15,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.fingerprints(texts(table(spark, sf_dir, "documents")))
 
@@ -27,6 +31,10 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(table(spark, sf_dir, "documents"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.report(table(spark, sf_dir, "documents"))
 
@@ -45,9 +53,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_lm_scores": op2_lm_scores,
     "op3_fingerprints": op3_fingerprints,
     "op4_warc": op4_warc,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_language_id": op6_language_id,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
