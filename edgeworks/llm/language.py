@@ -113,10 +113,11 @@ def fit_temperature(logits: np.ndarray, truth: np.ndarray) -> float:
         return 1.0
 
     def loss(t: float) -> float:
-        p = softmax(logits / t)
-        return float(-np.log(np.maximum(p[np.arange(len(truth)), truth], 1e-12)).mean())
+        x = logits / t
+        top = x.max(1, keepdims=True)
+        return float((np.log(np.exp(x - top).sum(1)) + top[:, 0] - x[np.arange(len(truth)), truth]).mean())
 
-    return min(np.geomspace(0.02, 5.0, 120), key=loss)
+    return min(np.geomspace(0.25, 25.0, 120), key=loss)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -36,12 +36,14 @@ from pyspark.sql import functions as F
 from edgeworks.llm.common import per_batch, sliced, texts
 
 WORDS, CLASS, WIDTH, SIDE = 4096, 64, 32, 2
-ROUNDS, MASKED, RATE, BATCH = 2, 8, 0.15, 1024
+ROUNDS, MASKED, RATE, BATCH = 2, 8, 0.15, 2048
 COUNTED = 1 << 19
 OTHER = WORDS - 1
 #: The id that stands for what is beyond the ends of a document.
 BEYOND = WORDS
 BLOCK = 1 << 14
+#: Places scored together; their arrays fit a core's cache.
+CHUNK = 1 << 12
 _PLACES = [p for p in range(-SIDE, SIDE + 1) if p]
 
 
@@ -103,8 +105,8 @@ class Network:
         self.sums = np.full_like(self.flat, 1e-6)
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
-        x = self.bias + sum(self.embed[around[:, j]] @ self.mix[j] for j in range(len(_PLACES)))
-        return np.tanh(x)
+        x = self.embed[around].reshape(len(around), -1) @ self.mix.reshape(-1, WIDTH) + self.bias
+        return np.tanh(x, out=x)
 
     def log_probs(self, around: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Logarithm of the probability of each target given the words around it."""
@@ -154,12 +156,17 @@ def _by(group: np.ndarray) -> list[np.ndarray]:
 
 
 def _picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    top = logits.max(1, keepdims=True)
-    return logits[np.arange(len(at)), at] - top[:, 0] - np.log(np.exp(logits - top).sum(1))
+    found = logits[np.arange(len(at)), at]
+    top = logits.max(1)
+    logits -= top[:, None]
+    np.exp(logits, out=logits)
+    return found - top - np.log(logits.sum(1))
 
 
 def _error(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    e = np.exp(logits - logits.max(1, keepdims=True))
+    e = logits
+    e -= e.max(1, keepdims=True)
+    np.exp(e, out=e)
     e /= e.sum(1, keepdims=True)
     e[np.arange(len(at)), at] -= 1
     return e
@@ -224,14 +231,17 @@ def score(docs: DataFrame, net: Network, words: Vocabulary) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         model, share = Network(flat.value), math.log(known.value.unknown)
-        n, total = [], []
-        for text in batch["text"].to_pylist():
-            ids = known.value.encode(split(text))
-            n.append(len(ids))
-            targets, near = around([ids])
-            said = sum(float(model.log_probs(near[at:at + (1 << 15)], targets[at:at + (1 << 15)]).sum()) for at in range(0, len(targets), 1 << 15))
-            total.append(said - share * int((ids == OTHER).sum()))
-        return pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "n_tokens", "log_likelihood"])
+        ids = [known.value.encode(split(x)) for x in batch["text"].to_pylist()]
+        targets, near = around(ids)
+        said = np.zeros(len(targets))
+        for at in range(0, len(targets), CHUNK):
+            said[at:at + CHUNK] = model.log_probs(near[at:at + CHUNK], targets[at:at + CHUNK])
+        said[targets == OTHER] -= share
+        n = np.array(list(map(len, ids)), np.int64)
+        # Summed document by document, so that the words of others in the batch change nothing.
+        ends = np.cumsum(n)
+        total = [float(said[e - k:e].sum()) for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n), pa.array(total, pa.float64())], ["doc_id", "n_tokens", "log_likelihood"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return per_batch(docs, run, f"doc_id {kind}, n_tokens long, log_likelihood double")
