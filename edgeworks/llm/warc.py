@@ -35,10 +35,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edgeworks.loop import shared_dir
+from edgeworks.loop import Workspace, shared_dir
 
 REVISIT_BYTES = 1000
 FILE_BYTES = 16 << 20
+BROADCAST_GROUPS = 200_000
 VERSION = b"WARC/1.1"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -49,14 +50,17 @@ GZIP = b"\x1f\x8b\x08"
 # Writing
 
 
-def with_revisits(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
+def with_revisits(pages: DataFrame, least: int = REVISIT_BYTES, broadcast_groups: int = BROADCAST_GROUPS) -> DataFrame:
     """``(page_id, url, payload, digest, refers_to)``; refers_to is null for responses."""
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload")).withColumn("digest", F.sha1("payload"))
     long = F.octet_length("payload") >= least
-    # One row for each payload seen twice. The join is from many pages to one row, which adaptive
+    # One row for each payload seen twice. While these are few, which is counted, they are broadcast
+    # and payloads are not shuffled. Else the join is from many pages to one row, which adaptive
     # execution splits where one payload is very common.
     groups = rows.filter(long).groupBy("digest").agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    groups, seen = Workspace(pages.sparkSession).keep(groups, "payloads")
     key = groups.withColumnRenamed("digest", "of")
+    key = F.broadcast(key) if seen["rows"] <= broadcast_groups else key
     joined = rows.join(key, (rows["digest"] == key["of"]) & long, "left").drop("of")
     other = F.col("last").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("last"))
     return joined.select("page_id", "url", "payload", "digest", F.when(other, F.col("last")).alias("refers_to"))
