@@ -17,6 +17,7 @@ ROWS_SCHEMA = "index bigint, vector array<double>"
 # A matrix up to this size is sent to every task; a larger one is shuffled.
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK = 1024
+TALL = 8
 
 
 def normalize_matrix(df: DataFrame) -> DataFrame:
@@ -81,17 +82,41 @@ def matmul(
 ) -> DataFrame:
     """``index, vector``: the product A·B, rows in the order of A's index.
 
-    ``"auto"`` and ``"broadcast"`` send B to the tasks when its measured size
-    is within ``broadcast_bytes`` and shuffle blocks otherwise; ``"shuffle"``
-    always shuffles.
+    ``"auto"`` sends B to the tasks when its measured size is within
+    ``broadcast_bytes`` and shuffles blocks otherwise; ``"shuffle"`` always
+    shuffles, and ``"broadcast"`` fails when B is larger. Both ways refuse the
+    same inputs: B's index must count its rows from 0, its rows must be of one
+    length, and every row of A must have as many cells as B has rows.
     """
     if strategy not in ("auto", "broadcast", "shuffle"):
         raise ValueError(f"strategy must be auto, broadcast or shuffle, not {strategy!r}")
     a, b = as_doubles(a), as_doubles(b)
-    shape = matrix_shape(b).first()
-    if strategy != "shuffle" and shape["rows"] * shape["cols"] * 8 <= broadcast_bytes:
+    right, left = _measured(b, distinct=True), _measured(a)
+    _check_product(left, right)
+    rows, cols = right["rows"], right["most"] or 0
+    fits = rows * cols * 8 <= broadcast_bytes
+    if strategy == "broadcast" and not fits:
+        raise ValueError(f"B has {rows * cols * 8} bytes; broadcast_bytes allows {broadcast_bytes}")
+    if fits and strategy != "shuffle":
         return _times_small(a, b)
-    return _times_blocks(a, b, shape["rows"], shape["cols"], block)
+    return _times_blocks(a, b, rows, cols, left["rows"], block)
+
+
+def _measured(matrix: DataFrame, distinct: bool = False):
+    """Rows, bounds of the index and of the row lengths, in one pass."""
+    size = F.coalesce(F.size("vector"), F.lit(-1))
+    found = [F.count(F.lit(1)).alias("rows"), F.min("index").alias("first"), F.max("index").alias("last"), F.min(size).alias("least"), F.max(size).alias("most")]
+    return matrix.agg(*found, *([F.count_distinct("index").alias("indexes")] if distinct else [])).first()
+
+
+def _check_product(a, b) -> None:
+    """Refuse what cannot be multiplied, by the measures of both matrices."""
+    if b["rows"] and not (b["first"] == 0 and b["last"] == b["rows"] - 1 and b["indexes"] == b["rows"]):
+        raise ValueError("the index of B must count its rows from 0")
+    if b["rows"] and b["least"] != b["most"]:
+        raise ValueError("every row of B must have the same number of cells")
+    if a["rows"] and not a["least"] == a["most"] == b["rows"]:
+        raise ValueError(f"every row must have {b['rows']} cells")
 
 
 def square(a: DataFrame, strategy: str = "auto", **options) -> DataFrame:
@@ -165,36 +190,42 @@ def _copies(df: DataFrame, name: str, n: int, step: int = 1000) -> DataFrame:
     return outer.withColumn(name, F.explode(inner)).drop("outer")
 
 
-def _times_blocks(a: DataFrame, b: DataFrame, inner: int, cols: int, block: int) -> DataFrame:
-    """A·B by square blocks, each pair of blocks in a task of its own group.
+def _times_blocks(a: DataFrame, b: DataFrame, inner: int, cols: int, rows: int, block: int) -> DataFrame:
+    """A·B by blocks, each pair of blocks in a task of its own group.
 
     A block of A goes to each column of blocks of B and the other way round,
-    so a group holds two blocks, whatever the size of the matrices. The
-    products are summed per row, then joined to whole rows.
+    so a group holds two blocks, whatever the size of the matrices. Blocks of
+    A are up to ``TALL`` times as high as wide where A has the rows for it,
+    so B is copied less often. The products are summed per row, then joined to
+    whole rows.
     """
     if not inner or not cols:
         return a.select("index", F.array().cast("array<double>").alias("vector"))
-    last = a.agg(F.max("index")).first()[0]
-    if last is None:
-        return a
-    wide, tall = -(-cols // block), last // block + 1
+    wide = -(-cols // block)
+    height = block * max(1, min(TALL, rows // (block * TALL)))
     left = a.select(
-        F.floor(F.col("index") / block).cast("int").alias("bi"), "index", F.inline(_pieces("vector", block)))
+        F.floor(F.col("index") / height).alias("bi"), "index", F.inline(_pieces("vector", block)))
     left = _copies(left.withColumnRenamed("piece", "bk"), "bj", wide)
     right = b.select(
         F.floor(F.col("index") / block).cast("int").alias("bk"),
         (F.col("index") % block).cast("int").alias("row"),
         F.inline(_pieces("vector", block)),
-    )
-    right = _copies(right.withColumnRenamed("piece", "bj"), "bi", tall)
+    ).withColumnRenamed("piece", "bj")
+    # Copies only for the row blocks that A has.
+    met = a.select(F.floor(F.col("index") / height).alias("bi")).distinct()
+    every = met.withColumn("bk", F.explode(F.sequence(F.lit(0), F.lit((inner - 1) // block))))
+    right = right.join(every, "bk")
 
     dense, lists = _codecs()
     empty = pa.schema([
         ("index", pa.int64()), ("bj", pa.int32()), ("bk", pa.int32()), ("cells", pa.list_(pa.float64()))]).empty_table()
+    # After the checks only B can lack a partner: a row block of A is met by all of B.
 
     def times(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
+        if not left.num_rows:
             return empty
+        if not right.num_rows:
+            raise ValueError("a block of A has no partner in B")
         right = right.sort_by("row")
         b_block = dense(right.column("cells"), len(right.column("cells")[0]))
         a_block = dense(left.column("cells"), len(b_block))

@@ -124,6 +124,21 @@ def _(spark, d):
     return sources.read_scored_links(spark, _link_file(spark, d, score), on_bad="drop")
 
 
+@query("scored_links_blanks", LINKS + " WHERE l_linenumber <> 5")
+def _(spark, d):
+    # Tabs, runs of blanks, blanks at the ends, and every fifth line of an order has a field too many.
+    number, p, s = F.col("l_linenumber"), F.concat(F.lit("p"), P), F.concat(F.lit("s"), S)
+    line = (
+        F.when(number == 1, F.concat_ws("\t", p, s, _whole()))
+        .when(number == 2, F.concat(p, F.lit("   "), s, F.lit(" \t "), _whole()))
+        .when(number == 3, F.concat(F.lit("  "), F.concat_ws(" ", p, s, _whole()), F.lit(" ")))
+        .when(number == 5, F.concat_ws(" ", p, s, _whole(), F.lit("x")))
+        .otherwise(F.concat_ws(" ", p, s, _whole())))
+    path = Workspace(spark).path("links")
+    table(spark, d, "lineitem").select(line.alias("value")).write.text(path)
+    return sources.read_scored_links(spark, path, on_bad="drop", header="protein1 protein2 combined_score")
+
+
 @query("scored_links_min", LINKS + " WHERE l_quantity >= 20")
 def _(spark, d):
     return sources.read_scored_links(spark, _link_file(spark, d, _whole()), min_score=20)

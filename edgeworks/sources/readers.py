@@ -6,6 +6,8 @@ scan, so a file of any size is read by all tasks and no line visits Python.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,32 +67,35 @@ def read_scored_links(
     score_type: str = "int",
     on_bad: str = "fail",
     min_score: float | None = None,
+    header: str | bool = True,
 ) -> DataFrame:
-    """Links ``src, dst, score`` from a space separated file with a header.
+    """Links ``src, dst, score`` from lines of fields between white space.
 
-    A row is bad when it has fewer than three fields or its score does not fit
-    ``score_type``. ``on_bad="fail"`` stops the job on a bad row and ignores
-    extra fields; ``on_bad="drop"`` is the strict check: it keeps only rows of
+    Lines equal to the header are left out wherever they stand; ``header`` is
+    that line, or True for the first line of the first file, or False for none.
+    A line is bad when it has fewer than three fields or its score does not fit
+    ``score_type``. ``on_bad="fail"`` stops the job on a bad line and ignores
+    extra fields; ``on_bad="drop"`` is the strict check: it keeps only lines of
     exactly three good fields. Selecting ``src, dst`` alone gives unscored
     links.
     """
     if on_bad not in ("drop", "fail"):
         raise ValueError(f"on_bad must be drop or fail, not {on_bad!r}")
-    raw = (
-        spark.read.schema("src string, dst string, score_text string, extra string")
-        .option("sep", " ")
-        .option("header", True)
-        .csv(path)
-    )
-    score = F.col("score_text").try_cast(score_type)
-    good = F.col("src").isNotNull() & F.col("dst").isNotNull() & score.isNotNull()
+    lines = spark.read.text(path)
+    if header is True:
+        files = sorted(lines.inputFiles())
+        found = spark.read.text(unquote(files[0])).first() if files else None
+        header = found["value"] if found else False
+    if header is not False:
+        lines = lines.filter(F.col("value") != header)
+    parts = fields("value")
+    score = F.get(parts, F.lit(2)).try_cast(score_type)
     if on_bad == "drop":
-        links = raw.filter(good & F.col("extra").isNull())
+        lines = lines.filter((F.size(parts) == 3) & score.isNotNull())
     else:
-        line = F.concat_ws(" ", "src", "dst", "score_text")
-        links = raw
-        score = F.when(good, score).otherwise(_reject("link", line).cast(score_type))
-    links = links.select("src", "dst", score.alias("score"))
+        good = (F.size(parts) >= 3) & score.isNotNull()
+        score = F.when(good, score).otherwise(_reject("link", F.col("value")).cast(score_type))
+    links = lines.select(F.get(parts, F.lit(0)).alias("src"), F.get(parts, F.lit(1)).alias("dst"), score.alias("score"))
     return links if min_score is None else links.filter(F.col("score") >= min_score)
 
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from edgeworks.operators import matrix
 
@@ -77,3 +78,20 @@ def test_shape_and_slices(spark):
     assert np.allclose(back(matrix.row_slice(m, 3, 6)), A[3:6])
     assert np.allclose(back(matrix.head_cells(m, 4)), A[:, :4])
     assert matrix.normalize_matrix(m.withColumnRenamed("vector", "_c1")).columns == ["index", "vector"]
+
+
+@pytest.mark.parametrize("options", [{"strategy": "broadcast"}, {"strategy": "shuffle", "block": 4}, {"broadcast_bytes": 8, "block": 4}])
+def test_both_ways_refuse_the_same(spark, options):
+    a = np.arange(24.0).reshape(3, 8)
+    with pytest.raises(ValueError, match="every row must have 4 cells"):
+        matrix.matmul(rows(spark, a), rows(spark, np.ones((4, 2))), **options)
+    b = rows(spark, np.ones((8, 2)))
+    with pytest.raises(ValueError, match="index of B"):
+        matrix.matmul(rows(spark, a), b.withColumn("index", F.col("index") + 4), **options)
+    with pytest.raises(ValueError, match="index of B"):
+        matrix.matmul(rows(spark, a), b.withColumn("index", F.when(F.col("index") == 2, 1).otherwise(F.col("index"))), **options)
+
+
+def test_broadcast_that_does_not_fit_is_refused(spark):
+    with pytest.raises(ValueError, match="broadcast_bytes"):
+        matrix.matmul(rows(spark, A), rows(spark, B), "broadcast", broadcast_bytes=8)
