@@ -43,7 +43,7 @@ BROADCAST_GROUPS = 200_000
 VERSION = b"WARC/1.1"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_VERSION_LINE = re.compile(rb"WARC/(?:0\.1[78]|1\.[01])\r?\n")
+_VERSION_LINE = re.compile(rb"WARC/(?:0\.1[78]|1\.[01])\r\n")
 GZIP = b"\x1f\x8b\x08"
 
 
@@ -134,8 +134,8 @@ def parse_record(data: bytes, at: int = 0) -> Record | str:
     headers: dict[str, str] = {}
     for line in data[version.end():close].split(b"\r\n"):
         name, colon, value = line.partition(b":")
-        if line and not colon:
-            return "header line without a name"
+        if line and not colon or b"\r" in line or b"\n" in line:
+            return "header line without a name, or with a stray line end"
         headers[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
     if not headers.get("content-length", "").isdigit():
         return "no length"
