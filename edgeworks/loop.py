@@ -51,7 +51,11 @@ def sized_shuffles(spark: SparkSession, rows: int) -> Iterator[int]:
 
 
 class Workspace:
-    """The tables that one job writes for itself in the shared folder."""
+    """The tables that one job writes for itself in the shared folder.
+
+    Results are read from there, so it must outlive them. ``clear`` deletes
+    what no result needs; as a ``with`` block the whole folder goes at the end.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -110,10 +114,25 @@ class Workspace:
         Anything this workspace did not write is left alone.
         """
         entry = self._written.pop(id(table), None)
-        if entry is None:
-            return
+        if entry is not None:
+            self._delete(entry[1])
+
+    def clear(self, *kept: DataFrame) -> None:
+        """Delete every table of this workspace but those given."""
+        stay = {id(x) for x in kept}
+        for key in [k for k in self._written if k not in stay]:
+            self._delete(self._written.pop(key)[1])
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._written.clear()
+        self._delete(self.root)
+
+    def _delete(self, path: str) -> None:
         jvm = self.spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(entry[1])
+        where = jvm.org.apache.hadoop.fs.Path(path)
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         where.getFileSystem(conf).delete(where, True)
 

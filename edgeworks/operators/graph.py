@@ -68,10 +68,12 @@ def find_vertex(vertices: DataFrame, vertex) -> DataFrame:
 def find_vertex_report(graph: Graph, vertex) -> DataFrame:
     """One line ``message``: the vertex is, or is not, in the graph.
 
-    An endpoint test answers this, so the vertex set is not built.
+    Where the vertices are the ends of the edges, an endpoint test answers
+    this, so the vertex set is not built.
     """
     hit = (F.col("src") == F.lit(vertex)) | (F.col("dst") == F.lit(vertex))
-    found = graph.edges.filter(hit).agg((F.count(F.lit(1)) > 0).alias("found"))
+    rows = graph.edges.filter(hit) if graph.derived else find_vertex(graph.vertices, vertex)
+    found = rows.agg((F.count(F.lit(1)) > 0).alias("found"))
     return found.select(found_message(F.lit(vertex), F.col("found")).alias("message"))
 
 
@@ -98,7 +100,9 @@ def incident_count(edges: DataFrame, vertex) -> DataFrame:
 
 
 def graph_counts(graph: Graph) -> DataFrame:
-    """``vertices, edges`` in one row."""
+    """``vertices, edges`` in one row; one pass where the vertices are the ends of the edges."""
+    if graph.derived:
+        return graph_stats(graph.edges).select("vertices", "edges")
     n_vertices = graph.vertices.agg(F.count(F.lit(1))).scalar()
     return graph.edges.agg(F.count(F.lit(1)).alias("edges")).select(n_vertices.alias("vertices"), "edges")
 
@@ -154,4 +158,4 @@ def edges_from(
     """
     hot = hot_keys(edges, side, min_rows=min_hot_rows)
     keep = vertices.select(F.col("id").alias(side)).distinct()
-    return spread_join(edges, keep, side, hot, by=["src", "dst"], how="left_semi").select(*edges.columns)
+    return spread_join(edges, keep, side, hot, by=None, how="left_semi").select(*edges.columns)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from edgeworks.functions import hash60, uniform, vertex_part
 from edgeworks.loop import Workspace, sized_shuffles
 from edgeworks.operators.graph import canonical_edges, degrees, endpoints, hot_vertices, vertices_of
-from edgeworks.operators.skew import spread_join
+from edgeworks.operators.skew import hot_keys, spread_join
 
 # Fixed values of the method: exponents of the largest degree for the sample
 # probability and the number of vertex parts, base of the round limit.
@@ -79,9 +79,12 @@ def residual_edges(edges: DataFrame, matched: DataFrame, hot: DataFrame | None =
     return left.select(*edges.columns)
 
 
-def unmatched_edges(edges: DataFrame, matching: DataFrame) -> DataFrame:
-    """Edges that are not in the matching, copies kept."""
-    return edges.join(matching.select("src", "dst"), ["src", "dst"], "left_anti")
+def unmatched_edges(edges: DataFrame, matching: DataFrame, min_hot_rows: int | None = None) -> DataFrame:
+    """Edges that are not in the matching, copies kept; those of a common pair are divided."""
+    pair = F.struct("src", "dst").alias("pair")
+    rows = edges.select("*", pair)
+    hot = hot_keys(rows, "pair", min_rows=min_hot_rows)
+    return spread_join(rows, matching.select(pair).distinct(), "pair", hot, by=None, how="left_anti").select(*edges.columns)
 
 
 def sample_edges(edges: DataFrame, p: float, seed: int | None = 0, round: int = 0) -> DataFrame:
@@ -125,24 +128,41 @@ class _Job:
         return new
 
     def sampled(self, left: DataFrame, n_left: int, p: float, k: int, seed, done: int, last: float, stop: str):
-        """Sampled rounds; what they leave, its size and the last round."""
+        """Sampled rounds; what they leave, its size and the last round.
+
+        Whether an edge is sampled, and in which parts its ends are, depends on
+        the edge alone. So a round samples the first edges and takes off those
+        that touch a vertex matched by then: one scan, and nothing is written
+        but the sample. What is left is written once, at the end.
+        """
+        matched, before = None, n_left
+
+        def rest() -> DataFrame:
+            return left if matched is None else residual_edges(left, matched, self.hot)
+
         while n_left and done < last:
             done += 1
-            before = n_left
             sample = same_part(sample_edges(left, p, seed, done), k, f"{seed}-{done}")
+            if matched is not None:
+                sample = residual_edges(sample, matched, self.hot)
             sample, seen = self.work.keep(sample, "sample")
             if seen.get("rows"):
-                matched = endpoints(_union(self.greedy(sample, seen["rows"], done)))
-                rest, seen = self.work.keep(residual_edges(left, matched, self.hot), "left")
-                self.work.drop(left)
-                left, n_left = rest, seen.get("rows")
+                found = endpoints(_union(self.greedy(sample, seen["rows"], done))).select("id")
+                matched, _ = self.work.keep(found if matched is None else matched.unionAll(found), "matched")
             else:
                 self.work.drop(sample)
-            if stop == "unchanged" and n_left == before:
+            if stop == "empty" and not seen.get("rows") and rest().isEmpty():
                 break
-            if stop == "degree_one" and n_left and _largest_degree(left) <= 1:
+            if stop == "unchanged":
+                n_left, before = rest().count(), n_left
+                if n_left == before:
+                    break
+            if stop == "degree_one" and _largest_degree(rest()) <= 1:
                 break
-        return left, n_left, done
+        if matched is None:
+            return left, n_left, done
+        kept, seen = self.work.keep(rest(), "left")
+        return kept, seen.get("rows"), done
 
 
 def _decided(left: DataFrame, hot: DataFrame | None) -> DataFrame:

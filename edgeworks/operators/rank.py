@@ -39,7 +39,7 @@ def pagerank(
         if tol is None:
             state, seen = _fixed(routes, work, reset, max_iter, cut_every)
         else:
-            state, seen = _until(routes, work, reset, tol, cut_every)
+            state, seen = _until(routes, work, reset, tol)
     factor = seen["rows"] / seen["total"] if seen.get("total") else 1.0
     return state.select("id", (F.col("rank") * F.lit(factor)).alias("pagerank"))
 
@@ -65,25 +65,24 @@ def _fixed(routes, work, reset, max_iter, cut_every):
     return state, seen
 
 
-def _until(routes, work, reset, tol, cut_every):
+def _until(routes, work, reset, tol):
     first = F.lit(float(reset))
     start = routes.vertices().select("id", "out", first.alias("rank"), first.alias("growth"))
     growing = F.col("growth") > F.lit(tol)
 
     def step(state: DataFrame, _: int) -> DataFrame:
-        # Links of vertices that stopped growing carry nothing; only the own
-        # link keeps their rank.
-        sends = growing & (F.col("out") > 0)
-        sent = routes.deliver(state).filter(F.col("own") | sends)
-        share = F.when(sends, F.col("copies") * (F.col("growth") / F.col("out"))).otherwise(F.lit(0.0))
-        gained = sent.groupBy(F.col("dst").alias("id")).agg(
-            _kept("out"), _kept("rank"), (F.lit(1 - reset) * F.sum(share)).alias("growth"))
-        return gained.select("id", "out", (F.col("rank") + F.col("growth")).alias("rank"), "growth")
-
+        # Only vertices that still grow meet their links; the others' ranks wait in the state.
+        sending = state.filter(growing & (F.col("out") > 0)).select("id", (F.col("growth") / F.col("out")).alias("unit"))
+        sent = routes.deliver(sending).filter(~F.col("own")).groupBy("dst").agg(
+            (F.lit(1 - reset) * F.sum(F.col("copies") * F.col("unit"))).alias("gained"))
+        after = state.join(sent, F.col("id") == F.col("dst"), "left")
+        gained = F.coalesce("gained", F.lit(0.0))
+        return after.select("id", "out", (F.col("rank") + gained).alias("rank"), gained.alias("growth"))
+
+    # A round uses its state twice, so each is written.
     state, seen, _ = iterate(
         work, start, step, None,
         stop=lambda seen: not seen.get("growing"),
-        cut_every=cut_every,
         growing=F.sum(growing.cast("bigint")),
         total=F.sum("rank"),
     )

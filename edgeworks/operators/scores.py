@@ -50,6 +50,6 @@ def filter_above_endpoint_means(
     rated = links
     for side in ("src", "dst"):
         mean = means.select(F.col("id").alias(side), F.col("avg_score").alias(f"{side}_mean"))
-        rated = spread_join(rated, mean, side, hot, by=["src", "dst"], how="left")
+        rated = spread_join(rated, mean, side, hot, by=None, how="left")
     above = F.col("score") > greatest_mean("src_mean", "dst_mean")
     return rated.filter(above).select(*links.columns)

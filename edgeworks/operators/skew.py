@@ -1,10 +1,12 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-A key is hot when it has more rows than ``max(min_rows, all rows / share)``, so
-there are fewer than ``share`` hot keys whatever the data looks like: their
-list is small by arithmetic, not by hope, and can be broadcast. The rows of a
-hot key are divided over slots by a hash of their other columns, and the one
-row of the other side is copied to each slot. Every row is kept.
+A key is hot when it has more than ``ROWS_PER_SLOT`` rows, whatever the size of
+the table, so there are fewer than (all rows / ``ROWS_PER_SLOT``) hot keys. The
+rows of a hot key are divided over as many slots as keep a slot at about that
+many rows, by a hash of given columns or, where copies are to be parted as
+well, by their place; the one row of the other side is copied to each slot. The
+list of hot keys is a written table, which Spark broadcasts if its size allows
+and joins by shuffle if not. Every row is kept.
 """
 
 from __future__ import annotations
@@ -12,41 +14,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MIN_ROWS = 1_000_000
-SHARE = 1_000
+from edgeworks.loop import Workspace
 
+ROWS_PER_SLOT = 1_000_000
 
-def hot_keys(
-    rows: DataFrame, key: str, min_rows: int | None = None, share: int = SHARE, count: str | None = None
-) -> DataFrame | None:
+
+def hot_keys(rows: DataFrame, key: str, min_rows: int | None = None, count: str | None = None) -> DataFrame | None:
     """Hot keys as ``(key, slots)``, or None when there are none.
 
-    ``count`` names a column that already holds the rows per key.
+    ``count`` names a column that already holds the rows per key; ``min_rows``
+    is used in place of ``ROWS_PER_SLOT``.
     """
     per_key = rows.select(key, F.col(count).alias("n")) if count else (
         rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
-    total, most = per_key.agg(F.sum("n"), F.max("n")).first()
-    limit = max(MIN_ROWS if min_rows is None else min_rows, (total or 0) // share)
-    if most is None or most <= limit:
-        return None
+    limit = max(1, ROWS_PER_SLOT if min_rows is None else min_rows)
     hot = per_key.filter(F.col("n") > limit).select(key, F.ceil(F.col("n") / limit).cast("int").alias("slots"))
-    return rows.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    work = Workspace(rows.sparkSession)
+    found, seen = work.keep(hot, "hot")
+    if seen.get("rows"):
+        return found
+    work.drop(found)
+    return None
+
 
+def with_slot(rows: DataFrame, key: str, hot: DataFrame | None, by: list[str] | None) -> DataFrame:
+    """Rows with a ``slot``: 0, or one of the key's slots when it is hot.
 
-def with_slot(rows: DataFrame, key: str, hot: DataFrame | None, by: list[str]) -> DataFrame:
-    """Rows with a ``slot``: 0, or a hash of ``by`` when the key is hot."""
+    The slot is a hash of ``by``; without columns the place of the row decides,
+    so that equal rows are divided too.
+    """
     if hot is None:
         return rows
-    slots = F.broadcast(hot.withColumnRenamed(hot.columns[0], key))
-    slot = F.pmod(F.xxhash64(*by), F.col("slots")).cast("int")
-    return rows.join(slots, key, "left").withColumn("slot", F.coalesce(slot, F.lit(0))).drop("slots")
+    slots = hot.withColumnRenamed(hot.columns[0], key)
+    place = F.xxhash64(*by) if by else F.monotonically_increasing_id()
+    placed = rows.withColumn("place", place).join(slots, key, "left")
+    slot = F.pmod(F.col("place"), F.col("slots")).cast("int")
+    return placed.withColumn("slot", F.coalesce(slot, F.lit(0))).drop("slots", "place")
 
 
 def fan_out(rows: DataFrame, key: str, hot: DataFrame | None) -> DataFrame:
     """Rows copied to every slot of their key."""
     if hot is None:
         return rows
-    slots = F.broadcast(hot.withColumnRenamed(hot.columns[0], key))
+    slots = hot.withColumnRenamed(hot.columns[0], key)
     every = F.sequence(F.lit(0), F.coalesce(F.col("slots"), F.lit(1)) - 1)
     return rows.join(slots, key, "left").withColumn("slot", F.explode(every)).drop("slots")
 
@@ -57,7 +67,7 @@ def slot_keys(key: str, hot: DataFrame | None) -> list[str]:
 
 
 def spread_join(
-    rows: DataFrame, lookup: DataFrame, key: str, hot: DataFrame | None, by: list[str], how: str = "inner"
+    rows: DataFrame, lookup: DataFrame, key: str, hot: DataFrame | None, by: list[str] | None, how: str = "inner"
 ) -> DataFrame:
     """``rows.join(lookup, key, how)`` with the hot keys of ``rows`` divided.
 

@@ -45,10 +45,13 @@ def with_row_index(df: DataFrame, *order_by: str) -> DataFrame:
 
     The sorted rows are written once with their place inside their sorted
     part; adding the sizes of the parts before gives the index. Only one
-    number per part reaches the driver.
+    number per part reaches the driver. Rows equal in ``order_by`` follow by a
+    hash of all columns and their place, so many equal keys are still divided
+    over several parts.
     """
     work = Workspace(df.sparkSession)
-    placed = df.orderBy(*order_by).withColumn("place", F.monotonically_increasing_id())
+    ties = F.xxhash64(*df.columns), F.monotonically_increasing_id()
+    placed = df.orderBy(*order_by, *ties).withColumn("place", F.monotonically_increasing_id())
     placed, _ = work.keep(placed, "sorted")
     part = F.shiftright("place", 33).alias("part")
     sizes = placed.groupBy(part).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()

@@ -282,27 +282,41 @@ def _(spark, d):
     return sources.table_shape(spark, path)
 
 
-# ---- generators, as large as a table
+# ---- generators, a row for each row of a table, drawn from its key
 
 
 @query("random_edges", f"""SELECT ({rounds.hash60('0-src', 'id')} % 1000000 + 1)::VARCHAR AS src,
   ({rounds.hash60('0-dst', 'id')} % 1000000 + 1)::VARCHAR AS dst
-  FROM (SELECT unnest(generate_series(0, (SELECT count(*) FROM lineitem) - 1)) AS id)""")
+  FROM (SELECT l_orderkey * 10 + l_linenumber AS id FROM lineitem)""")
 def _(spark, d):
-    return sources.random_edges(spark, table(spark, d, "lineitem").count(), partitions=16)
+    rows = table(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"))
+    return sources.edges_for(rows, "id")
 
 
-GRID = """(SELECT i AS index, unnest(generate_series(0, 15)) AS col FROM (
-  SELECT unnest(generate_series(0, (SELECT count(*) FROM orders) - 1)) AS i))"""
+GRID = """(SELECT o_orderkey AS index, unnest(generate_series(0, 15)) AS col FROM orders)"""
 
 
 @query("random_matrix", f"SELECT index, col, round({rounds.uniform(0, 'index', 'col')}, 9) AS value FROM {GRID}")
 def _(spark, d):
-    made = sources.random_matrix(spark, table(spark, d, "orders").count(), 16)
+    made = sources.matrix_for(table(spark, d, "orders"), "o_orderkey", 16)
     return cells(made).select("index", "col", F.round("value", 9).alias("value"))
 
 
 @query("random_int_matrix", f"""SELECT index, col, floor({rounds.uniform(0, 'index', 'col')} * 100)::BIGINT AS value
   FROM {GRID}""")
 def _(spark, d):
-    return cells(sources.random_matrix(spark, table(spark, d, "orders").count(), 16, scale=100))
+    return cells(sources.matrix_for(table(spark, d, "orders"), "o_orderkey", 16, scale=100))
+
+
+# ---- empty results
+
+
+@query("skip_empty_write", """SELECT (SELECT count(*) FROM lineitem WHERE l_quantity > 25) AS written,
+  (SELECT count(*) FROM lineitem WHERE l_quantity < 0) = 0 AS skipped""")
+def _(spark, d):
+    rows = table(spark, d, "lineitem").select("l_quantity", F.concat_ws(" ", P, S).alias("value"))
+    work = Workspace(spark)
+    full, none = work.path("full"), work.path("none")
+    sources.write_lines(rows.filter("l_quantity > 25").select("value"), full, skip_empty=True)
+    kept = sources.write_lines(rows.filter("l_quantity < 0").select("value"), none, skip_empty=True)
+    return sources.count_rows(spark, full).select(F.col("rows").alias("written"), F.lit(not kept).alias("skipped"))

@@ -39,7 +39,16 @@ def _(spark, d):
     return tables.with_row_index(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey")
 
 
-# How a scan is cut depends on the cluster, so no SQL can say it.
-@query("rows_per_partition")
+# How a scan is cut depends on the cluster; the rows of all parts do not.
+@query("rows_per_partition", "SELECT count(*)::BIGINT AS rows, true AS parts FROM lineitem")
 def _(spark, d):
-    return tables.rows_per_partition(table(spark, d, "lineitem"))
+    found = tables.rows_per_partition(table(spark, d, "lineitem"))
+    return found.agg(F.sum("rows").alias("rows"), (F.count(F.lit(1)) > 0).alias("parts"))
+
+
+@query("is_empty", """SELECT (SELECT count(*) FROM orders WHERE o_totalprice < 0) = 0 AS none,
+  (SELECT count(*) FROM orders) = 0 AS all_rows""")
+def _(spark, d):
+    orders = table(spark, d, "orders")
+    none, every = (tables.is_empty(x) for x in (orders.filter("o_totalprice < 0"), orders))
+    return orders.agg(F.lit(none).alias("none"), F.lit(every).alias("all_rows"))

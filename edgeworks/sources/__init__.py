@@ -1,6 +1,6 @@
 """Readers, generators and writers."""
 
-from edgeworks.sources.generators import random_edges, random_matrix
+from edgeworks.sources.generators import edges_for, matrix_for, random_edges, random_matrix
 from edgeworks.sources.readers import (
     count_rows,
     read_edge_list,
@@ -24,6 +24,8 @@ from edgeworks.sources.writers import (
 __all__ = [
     "append_rows",
     "count_rows",
+    "edges_for",
+    "matrix_for",
     "random_edges",
     "random_matrix",
     "read_edge_list",

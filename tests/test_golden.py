@@ -1,44 +1,31 @@
-"""Known numbers of small social graphs, where the files are at hand."""
-
-import os
+"""Known numbers of well-known small graphs."""
 
+import networks
 import pytest
+from data import edges
 from pyspark.sql import functions as F
 
 from edgeworks.operators import matching
-from edgeworks.operators.community import label_propagation
 from edgeworks.operators.graph import Graph, graph_stats
 from edgeworks.operators.rank import pagerank
-from edgeworks.operators.triangles import triangle_count
-from edgeworks.sources import read_edge_list
+from edgeworks.operators.triangles import clustering_coefficient, triangle_count
 
-# Folder with <name>.edges files, one "src dst" line per direction.
-FOLDER = os.environ.get("EGO_EDGES", "")
 
-# Vertices, lines, raw largest degree, triangles, top vertex and
-# its triangles, communities, top two ranks, greedy matching.
-KNOWN = {
-    "3980": (52, 292, 36, 168, (4030, 45), 10, [(4023, 2.399569), (4030, 2.366169)], 22),
-    "414": (150, 3386, 114, 10618, (376, 829), 5, [(376, 2.08938), (592, 1.988384)], 67),
-}
+@pytest.mark.parametrize("name", networks.KNOWN)
+def test_known_network(spark, name):
+    pairs, vertices, delta, triangles, clustering = networks.KNOWN[name]
+    rows = edges(spark, pairs)
+    g = Graph.from_edges(rows)
+    assert tuple(graph_stats(rows).first()) == (vertices, len(pairs), delta)
+    assert (triangle_count(g).agg(F.sum("count")).first()[0] or 0) == 3 * triangles
+    found = clustering_coefficient(g)
+    column = [c for c in found.columns if c != "id"][-1]
+    assert found.agg(F.sum(column)).first()[0] / vertices == pytest.approx(clustering, abs=1e-6)
+    chosen = matching.greedy_matching(rows)
+    assert matching.validate_matching(chosen).isEmpty() and matching.validate_maximal(chosen, rows).isEmpty()
 
 
-@pytest.mark.parametrize("ego", KNOWN)
-def test_ego_network(spark, ego):
-    file = f"{FOLDER}/{ego}.edges"
-    if not os.path.exists(file):
-        pytest.skip("needs the edge files")
-    vertices, lines, delta, triangles, top, communities, ranks, matched = KNOWN[ego]
-    edges = read_edge_list(spark, file, sep=r"\s+", id_type="bigint", on_bad="fail")
-    g = Graph.from_edges(edges)
-    assert tuple(graph_stats(edges).first()) == (vertices, lines, delta)
-    counts = triangle_count(g).persist()
-    assert counts.agg(F.sum("count")).first()[0] == 3 * triangles
-    assert tuple(counts.orderBy(F.desc("count"), "id").first()) == top
-    assert label_propagation(g).select("label").distinct().count() == communities
-    best = pagerank(g).orderBy(F.desc("pagerank"), "id").limit(2).collect()
-    assert [r["id"] for r in best] == [v for v, _ in ranks]
-    assert [r["pagerank"] for r in best] == pytest.approx([x for _, x in ranks], abs=1e-6)
-    # The published size belongs to the order without a seed.
-    plain = matching.greedy_matching(edges, seed=None)
-    assert plain.count() == matched
+def test_regular_graphs_rank_evenly(spark):
+    ring = [(i, (i + 1) % 12) for i in range(12)]
+    ranks = pagerank(Graph.from_edges(edges(spark, ring))).select("pagerank").collect()
+    assert [r[0] for r in ranks] == pytest.approx([1.0] * 12)

@@ -9,12 +9,17 @@ def test_no_hot_key_below_the_limit(spark):
     assert skew.hot_keys(edges(spark, []), "src") is None
 
 
-def test_hot_keys_are_few_whatever_the_minimum(spark):
-    hot = skew.hot_keys(edges(spark, [(i % 50, i) for i in range(1000)]), "src", min_rows=0, share=20)
-    assert hot is None
-    hot = skew.hot_keys(edges(spark, [(0, i) for i in range(500)] + [(i, i) for i in range(1, 501)]), "src",
-                        min_rows=0, share=20)
-    assert table(hot) == [(0, 10)]
+def test_slots_have_a_fixed_size_however_large_the_table(spark):
+    for others in (500, 5000):
+        hot = skew.hot_keys(edges(spark, [(0, i) for i in range(500)] + [(i, i) for i in range(1, others)]), "src", min_rows=50)
+        assert table(hot) == [(0, 10)]
+
+
+def test_copies_of_one_pair_are_divided(spark):
+    rows = edges(spark, [(0, 1)] * 1000 + [(i, i) for i in range(1, 50)])
+    hot = skew.hot_keys(rows, "src", min_rows=100)
+    slots = skew.with_slot(rows, "src", hot, None).filter("src = 0").groupBy("slot").count().collect()
+    assert len(slots) == 10 and max(r["count"] for r in slots) <= 200
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
