@@ -98,17 +98,28 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _stars(members: DataFrame, centres: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate edges ``(a, b)``, a being a centre, and the centres ``(bucket, centre)``."""
+    """Candidate edges ``(a, b, weight)``, a being a centre, and the centres ``(bucket, node)``.
+
+    The centre of a part of a bucket is the member that meets most others in
+    its own buckets, as the text does that others are edited from. A pair whose
+    sizes differ too much can't be alike, nor one whose common pivot tells so:
+    two sets share at most the lesser of what each has in common with the
+    pivot, and the lesser number of their other shingles that anybody shares.
+    """
     part = F.pmod(F.xxhash64("node"), F.lit(centres))
-    picked = members.groupBy("bucket", part.alias("part")).agg(F.min(F.struct("node", "n", "root")).alias("c")).select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("cn"), F.col("c.root").alias("croot"))
-    fits = F.least("n", "cn") * 100 >= F.greatest("n", "cn") * percent
-    pairs = members.join(picked, "bucket").filter((F.col("root") != F.col("croot")) & fits)
-    # Two centres of one bucket meet twice; one order of the two is enough.
-    return pairs.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), picked.select("bucket", F.col("centre").alias("node"))
+    picked = members.groupBy("bucket", part.alias("part")).agg(F.max(F.struct("weight", "node", "n", "root", "pivot", "inside", "beside")).alias("c")).select("bucket", "c")
+    c = lambda name: F.col(f"c.{name}")
+    fits = F.least("n", c("n")) * 100 >= F.greatest("n", c("n")) * percent
+    most = F.least("inside", c("inside")) + F.least("beside", c("beside"))
+    can = ~F.col("pivot").eqNullSafe(c("pivot")) | F.col("pivot").isNull() | (most * 100 >= (F.col("n") + c("n") - most) * percent)
+    pairs = members.join(picked, "bucket").filter((F.col("root") != c("root")) & fits & can)
+    one = F.max(F.struct(c("weight").alias("weight"), c("node").alias("a"), F.col("node").alias("b"))).alias("e")
+    edges = pairs.groupBy(F.least("node", c("node")).alias("low"), F.greatest("node", c("node")).alias("high")).agg(one)
+    return edges.select("low", "high", "e.a", "e.b", "e.weight"), picked.select("bucket", c("node").alias("node"))
 
 
-def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Edges whose full sets reach the likeness.
+def _compared(edges: DataFrame, sets: DataFrame, percent: int, rest: bool) -> DataFrame:
+    """Edges with the size of their sets' intersection and whether they are links.
 
     The centre's set joins first, while rows are light: a centre of a large
     group is a hot key there, which adaptive execution splits.
@@ -116,41 +127,64 @@ def _confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    either = F.size("sa") + F.size("sb") - both
-    return edges.join(left, "a").join(right, "b").filter(both * 100 >= either * percent).select("a", "b")
+    found = edges.join(left, "a").join(right, "b").withColumn("inside", both)
+    link = F.col("inside") * 100 >= (F.size("sa") + F.size("sb") - F.col("inside")) * percent
+    more = [F.array_except("sb", "sa").alias("rest"), F.size("sa").alias("na")] if rest else []
+    return found.select("low", "high", "a", "b", "weight", "inside", link.alias("link"), *more)
+
+
+def _pivots(work: Workspace, compared: DataFrame) -> DataFrame:
+    """``(node, pivot, inside, beside)``: of each node the weightiest centre it was compared with.
+
+    ``inside`` counts the shingles shared with the pivot, ``beside`` those of
+    the others that another node of the same pivot has as well.
+    """
+    met = compared.select(F.col("b").alias("node"), F.struct("weight", F.col("a").alias("pivot"), "inside", "rest").alias("p"))
+    own = compared.select(F.col("a").alias("node"), F.struct("weight", F.col("a").alias("pivot"), F.col("na").alias("inside"), F.array().cast("array<bigint>").alias("rest")).alias("p"))
+    best, _ = work.keep(met.union(own).groupBy("node").agg(F.max("p").alias("p")).select("node", "p.pivot", "p.inside", "p.rest"), "pivots")
+    each = best.select("node", "pivot", F.explode("rest").alias("shingle"))
+    common, _ = work.keep(each.groupBy("pivot", "shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k"), "common")
+    beside = each.join(common, ["pivot", "shingle"]).groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("beside"))
+    return best.drop("rest").join(beside, "node", "left").select("node", "pivot", "inside", F.coalesce("beside", F.lit(0)).alias("beside"))
 
 
 def links(work: Workspace, docs: DataFrame, signs: DataFrame, words: int, percent: int) -> DataFrame:
     """``(node, root)`` of nodes that have links, other than roots."""
     nodes, _ = work.keep(signs.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "nodes")
     rows = nodes.select("node", "n", "doc_id", F.explode("keys").alias("bucket"))
-    shared, _ = work.keep(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("bucket"), "shared")
-    members, seen = work.keep(rows.join(shared, "bucket").select("bucket", "node", "n", "doc_id"), "members")
+    shared, _ = work.keep(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "shared")
+    members, seen = work.keep(rows.join(shared, "bucket").select("bucket", "node", "n", "doc_id", "k"), "members")
     none = work.spark.createDataFrame([], "node binary, root binary")
     if not seen["rows"]:
         return none
-    wanted, _ = work.keep(members.select("doc_id").distinct(), "wanted")
-    key = wanted.withColumnRenamed("doc_id", "of")
-    sets, _ = work.keep(full_sets(docs.join(key, docs["doc_id"].eqNullSafe(key["of"]), "left_semi"), words), "sets")
-    members, _ = work.keep(members.select("bucket", "node", "n", F.col("node").alias("root")), "open")
-    roots, centres = none, 1
+    wanted, _ = work.keep(members.groupBy("node").agg(F.first("doc_id").alias("of"), F.sum("k").alias("weight")), "wanted")
+    sets, _ = work.keep(full_sets(docs.join(wanted.select("of"), docs["doc_id"].eqNullSafe(F.col("of")), "left_semi"), words), "sets")
+    unknown = [F.lit(None).cast("binary").alias("pivot"), F.lit(None).cast("int").alias("inside"), F.lit(None).cast("int").alias("beside")]
+    members, _ = work.keep(members.join(wanted.select("node", "weight"), "node").select("bucket", "node", "n", F.col("node").alias("root"), "weight", *unknown), "open")
+    roots, tested, centres = none, None, 1
     while True:
         edges, picked = _stars(members, centres, percent)
+        picked, _ = work.keep(picked, "picked")
+        if tested is not None:
+            edges = edges.join(tested, ["low", "high"], "left_anti")
         edges, some = work.keep(edges, "edges")
-        new = None
+        moved = None
         if some["rows"]:
-            good, found = work.keep(_confirmed(edges, sets, percent), "good")
-            if found["rows"]:
-                label = roots.withColumnRenamed("node", "of")
-                named = good
+            compared, found = work.keep(_compared(edges, sets, percent, tested is None), "compared", links=F.count_if("link"))
+            if tested is None:
+                pivots, _ = work.keep(_pivots(work, compared), "known")
+                members = members.drop("pivot", "inside", "beside").join(pivots, "node", "left").select(*members.columns)
+            seen_now = compared.select("low", "high")
+            tested = seen_now if tested is None else tested.union(seen_now)
+            if found["links"]:
+                label, named = roots.withColumnRenamed("node", "of"), compared.filter("link").select("a", "b")
                 for c in ("a", "b"):
                     named = named.join(label.select(F.col("of").alias(f"of_{c}"), F.col("root").alias(f"root_{c}")), F.col(c) == F.col(f"of_{c}"), "left").withColumn(c, F.coalesce(f"root_{c}", c)).select("a", "b")
                 new = components(work, named)
-        if new is not None:
-            moved = new.select(F.col("node").alias("of"), F.col("root").alias("to"))
-            later = roots.join(moved, F.col("root") == F.col("of"), "left").select("node", F.coalesce("to", "root").alias("root"))
-            roots, _ = work.keep(later.union(new.join(roots.select("node"), "node", "left_anti").select("node", "root")), "roots")
-            members = members.join(moved, F.col("root") == F.col("of"), "left").select("bucket", "node", "n", F.coalesce("to", "root").alias("root"))
+                moved = new.select(F.col("node").alias("of"), F.col("root").alias("to"))
+                later = roots.join(moved, F.col("root") == F.col("of"), "left").select("node", F.coalesce("to", "root").alias("root"))
+                roots, _ = work.keep(later.union(new.join(roots.select("node"), "node", "left_anti").select("node", "root")), "roots")
+                members = members.join(moved, F.col("root") == F.col("of"), "left").withColumn("root", F.coalesce("to", "root")).drop("of", "to")
         # Centres have met every other member of their bucket; a bucket of one component is done.
         left, _ = work.keep(members.join(picked, ["bucket", "node"], "left_anti"), "left")
         mixed = left.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("bucket")
@@ -158,7 +192,7 @@ def links(work: Workspace, docs: DataFrame, signs: DataFrame, words: int, percen
         if not some["rows"]:
             return roots
         members, _ = work.keep(left.join(mixed, "bucket"), "open")
-        centres *= 2
+        centres *= 4
 
 
 def near_duplicates(
