@@ -209,6 +209,7 @@ def near_duplicates(
     named, _ = work.keep(named, "named")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     groups, _ = work.keep(named.join(least, "root").select("node", "component_id"), "groups")
+    work.clear(signs, groups)
     done = light.join(groups, "node", "left")
     component = F.coalesce("component_id", "doc_id")
     return done.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept"))

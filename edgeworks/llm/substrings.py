@@ -113,6 +113,7 @@ def hot_grams(work: Workspace, rows: DataFrame, window: int, gram: int, least: i
     counts, seen = work.keep(offered.filter(F.col("key").isNull() | (F.col("n") > least)), "grams", total=F.sum(F.when(F.col("key").isNull(), F.col("n"))))
     total = seen.get("total") or 0
     found = counts.filter(F.col("key").isNotNull() & (F.col("n") > total // (2 * share))).select("key").toArrow()["key"].to_numpy()
+    work.clear()
     return np.sort(found.astype(np.int64).view(np.uint64)), total
 
 
