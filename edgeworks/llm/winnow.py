@@ -27,8 +27,8 @@ K = 8
 WINDOW = 16
 CHUNK = 1 << 14
 _LOW = (1 << 16) - 1
-#: Neighbouring ids that one task holds together, and how many such groups the next level joins.
-NEAR, NEARER = 32, 1024
+#: Bits of an id that tell neighbours in one group apart, and of a group's number those in one group of groups.
+NEAR, NEARER = 5, 10
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -90,9 +90,9 @@ def written(found: Column) -> Column:
 def _successors(groups: DataFrame) -> DataFrame:
     """``(near, next)``: each group of ids with the next that exists; the last with the first.
 
-    Two levels, so that only one row in ``NEAR * NEARER`` ids meets in one task.
+    Two levels, so that only one row for ``2 ** (NEAR + NEARER)`` ids meets in one task.
     """
-    rows = groups.select("near", F.floor(F.col("near") / NEARER).alias("wide"))
+    rows = groups.select("near", F.shiftright("near", NEARER).alias("wide"))
     inside = rows.withColumn("next", F.lead("near").over(W.partitionBy("wide").orderBy("near")))
     firsts = rows.groupBy("wide").agg(F.min("near").alias("first"))
     every = W.partitionBy(F.lit(0)).orderBy("wide")
@@ -109,13 +109,13 @@ def with_next(docs: DataFrame) -> DataFrame:
     Rows of one id follow each other by text; a null id comes first.
     """
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    rows = docs.select("doc_id", "text", key.alias("key"), F.floor(key / NEAR).alias("near")).repartition("near")
+    rows = docs.select("doc_id", "text", key.alias("key"), F.shiftright(key, NEAR).alias("near")).repartition("near")
     order = W.partitionBy("near").orderBy("key", "text")
     inside = rows.withColumn("own", fingerprint(F.col("text"))).select(
         "doc_id", "text", "own", F.lead("text").over(order).alias("next_text"), F.lead("own").over(order).alias("next_own"))
     edge = F.struct("key", "text", "doc_id")
     edges = rows.groupBy("near").agg(F.min(edge).alias("first"), F.max(edge).alias("last"))
-    after = _successors(docs.select(F.floor(key / NEAR).alias("near")).distinct())
+    after = _successors(docs.select(F.shiftright(key, NEAR).alias("near")).distinct())
     last = edges.select("near", F.col("last.doc_id").alias("doc_id"), F.col("last.text").alias("text")).join(after, "near")
     first = edges.select(F.col("near").alias("next"), F.col("first.text").alias("next_text"))
     tail = last.join(first, "next").select("doc_id", "text", fingerprint(F.col("text")).alias("own"), "next_text", fingerprint(F.col("next_text")).alias("next_own"))
@@ -137,25 +137,30 @@ def edited_fingerprint(text: Column, own: Column, next_own: Column, whole: Colum
     are hashed again. A short text is hashed whole.
     """
     reach = k + window - 1
-    half = F.floor(F.char_length(text) / 2).cast("int")
-    a = F.char_length(text) - half
-    b = F.char_length(whole) - a
-
-    def zone(begin: Column, end: Column) -> Column:
-        """Chosen positions from ``begin`` to before ``end``, hashed anew."""
-        start = F.greatest(begin - (window - 1), F.lit(0))
-        part = F.substring(whole, start + 1, end + reach - start)
-        moved = F.transform(fingerprint(part, k, window), lambda v: F.struct(v["hash"].alias("hash"), (v["position"] + start).alias("position")))
-        return F.filter(moved, lambda v: (v["position"] >= begin) & (v["position"] < end))
-
-    kept = F.filter(own, lambda v: v["position"] <= a - reach)
-    taken = F.transform(
-        F.filter(next_own, lambda v: (v["position"] >= window - 1) & (v["position"] <= b - reach)),
-        lambda v: F.struct(v["hash"].alias("hash"), (v["position"] + a).alias("position")))
-    seam, last = a - reach + 1, a + b - reach + 1
-    apart = b >= reach + window - 1
-    joined = F.when(apart, F.concat(kept, zone(seam, a + window - 1), taken, zone(last, a + b))).otherwise(F.concat(kept, zone(seam, a + b)))
-    return F.when(F.char_length(whole) < 8 * reach, fingerprint(whole, k, window)).otherwise(joined)
+    n, m = F.char_length(text), F.char_length(whole)
+    kept_chars = n - F.floor(n / 2).cast("int")
+
+    def joined(cut: Column) -> Column:
+        """``cut`` has the lengths of the kept half (a) and of what follows (b), counted once."""
+        a, b = cut["a"], cut["b"]
+
+        def zone(begin: Column, end: Column) -> Column:
+            """Chosen positions from ``begin`` to before ``end``, hashed anew."""
+            start = F.greatest(begin - (window - 1), F.lit(0))
+            part = F.substring(whole, start + 1, end + reach - start)
+            moved = F.transform(_let(part, lambda x: fingerprint(x, k, window)), lambda v: F.struct(v["hash"].alias("hash"), (v["position"] + start).alias("position")))
+            return F.filter(moved, lambda v: (v["position"] >= begin) & (v["position"] < end))
+
+        kept = F.filter(own, lambda v: v["position"] <= a - reach)
+        taken = F.transform(
+            F.filter(next_own, lambda v: (v["position"] >= window - 1) & (v["position"] <= b - reach)),
+            lambda v: F.struct(v["hash"].alias("hash"), (v["position"] + a).alias("position")))
+        seam, last = a - reach + 1, a + b - reach + 1
+        apart = b >= reach + window - 1
+        return F.when(apart, F.concat(kept, zone(seam, a + window - 1), taken, zone(last, a + b))).otherwise(F.concat(kept, zone(seam, a + b)))
+
+    lengths = F.struct(kept_chars.alias("a"), (m - kept_chars).alias("b"))
+    return F.when(m < 8 * reach, fingerprint(whole, k, window)).otherwise(_let(lengths, joined))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
