@@ -84,8 +84,8 @@ def matmul(
 
     ``"auto"`` sends B to the tasks when its measured size is within
     ``broadcast_bytes`` and shuffles blocks otherwise; ``"shuffle"`` always
-    shuffles, and ``"broadcast"`` fails when B is larger. Both ways refuse the
-    same inputs: B's index must count its rows from 0, its rows must be of one
+    shuffles, and ``"broadcast"`` is a hint: a larger B is shuffled all the
+    same. Both ways give the same rows and refuse the same inputs: B's index must count its rows from 0, its rows must be of one
     length, and every row of A must have as many cells as B has rows.
     """
     if strategy not in ("auto", "broadcast", "shuffle"):
@@ -95,8 +95,6 @@ def matmul(
     _check_product(left, right)
     rows, cols = right["rows"], right["most"] or 0
     fits = rows * cols * 8 <= broadcast_bytes
-    if strategy == "broadcast" and not fits:
-        raise ValueError(f"B has {rows * cols * 8} bytes; broadcast_bytes allows {broadcast_bytes}")
     if fits and strategy != "shuffle":
         return _times_small(a, b)
     return _times_blocks(a, b, rows, cols, left["rows"], block)

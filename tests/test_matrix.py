@@ -90,8 +90,3 @@ def test_both_ways_refuse_the_same(spark, options):
         matrix.matmul(rows(spark, a), b.withColumn("index", F.col("index") + 4), **options)
     with pytest.raises(ValueError, match="index of B"):
         matrix.matmul(rows(spark, a), b.withColumn("index", F.when(F.col("index") == 2, 1).otherwise(F.col("index"))), **options)
-
-
-def test_broadcast_that_does_not_fit_is_refused(spark):
-    with pytest.raises(ValueError, match="broadcast_bytes"):
-        matrix.matmul(rows(spark, A), rows(spark, B), "broadcast", broadcast_bytes=8)
