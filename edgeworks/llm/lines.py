@@ -13,7 +13,9 @@ most ``BROADCAST_LINES`` lines, which is counted, and joined by shuffle beyond.
 
 Lines are compared without white space at their ends; empty ones are neither
 counted nor kept. Null or empty text: no lines. A null or unreadable site is no
-site: its pages keep every line. Repeated rows count as pages of their own.
+site: its pages keep every line. Repeated rows count as pages of their own,
+except with ``by_text``: then pages of a site with the same lines count as one,
+above and below the fraction bar, so that copies cannot make a text boilerplate.
 """
 
 from __future__ import annotations
@@ -50,21 +52,24 @@ def text_lines(text: Column) -> Column:
     return F.filter(trimmed, lambda x: x != "")
 
 
-def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, by_text: bool = False) -> DataFrame:
     """``(site, digest, n, total)`` of the boilerplate lines of pages ``(site, lines)``."""
-    sited = pages.filter(F.col("site").isNotNull())
     once = F.array_distinct(F.transform("lines", lambda x: F.md5(x)))
-    counts = sited.select("site", F.explode(once).alias("digest")).groupBy("site", "digest").agg(F.count(F.lit(1)).alias("n"))
+    sited = pages.filter(F.col("site").isNotNull()).select("site", "lines", once.alias("digests"))
+    if by_text:
+        whole = F.md5(F.array_join("lines", "\n")).alias("whole")
+        sited = sited.select("site", whole, "digests").groupBy("site", "whole").agg(F.first("digests").alias("digests"))
+    counts = sited.select("site", F.explode("digests").alias("digest")).groupBy("site", "digest").agg(F.count(F.lit(1)).alias("n"))
     totals = sited.groupBy("site").agg(F.count(F.lit(1)).alias("total"))
     return counts.filter(F.col("n") >= min_pages).join(totals, "site").filter(F.col("n") > F.col("total") * ratio)
 
 
-def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, by_text: bool = False) -> DataFrame:
     """``pages`` with ``lines`` and ``kept``, the lines that stay, in their order.
 
     Needs the columns ``site`` and ``lines``; every other column is kept.
     """
-    found = boilerplate(pages.select("site", "lines"), ratio, min_pages)
+    found = boilerplate(pages.select("site", "lines"), ratio, min_pages, by_text)
     per_site = found.groupBy("site").agg(F.collect_list("digest").alias("__dropped"))
     # The lines of the found table are few; keep what was counted, so that counting and joining agree.
     n = per_site.agg(F.sum(F.size("__dropped"))).first()[0] or 0

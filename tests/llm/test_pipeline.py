@@ -54,3 +54,16 @@ def test_empty_documents(spark, path):
     spark.createDataFrame([], KIND).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame([(1, "a b")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
     assert pipeline.run(spark, path).collect() == []
+
+
+def test_copies_do_not_make_a_text_boilerplate(spark, draw, path):
+    """A third of a source are copies of one text: one of them comes out, with its text whole."""
+    copied = prose(draw, 60, 5000) + "\n" + prose(draw, 60, 5000)
+    texts = [prose(draw, 60, 5000) + "\nfoot of the page" for _ in range(20)] + [copied] * 8 + [copied.replace("\n", " \n\n")] * 2
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t), "w", 1) for i, t in enumerate(texts)], KIND)
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, "no such words")], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    cut = {r.doc_id: r.text for r in pipeline.without_boilerplate(spark, docs, path).collect()}
+    assert all("foot" not in cut[i] for i in range(20)) and all(cut[i] == texts[i] for i in range(20, 30))
+    out = {r.doc_id: r for r in pipeline.run(spark, path).collect()}
+    assert set(out) == set(range(21)) and out[20].decoded_sha256 == hashlib.sha256(copied.encode()).hexdigest()
