@@ -6,8 +6,10 @@ the probabilities of all its words, each given its neighbours on both sides.
 
 - Words are what lies between ASCII white space, A-Z in lower case. The
   ``WORDS - 1`` most frequent of the corpus (counted over all documents) are
-  known; all others are one token, whose probability is shared evenly among the
-  different words that are not known.
+  known to the network; to it all others are one token. That token's probability
+  is shared among its words by how often each occurs in the corpus: their counts
+  are a written table that grows with the corpus, joined by word. As neighbours
+  these words are still alike.
 - The network: embeddings, one matrix for each neighbour's place, tanh, and a
   softmax in two steps, over 64 classes of words and within the class.
 - Training is distributed: in each of ``ROUNDS`` rounds every task starts from
@@ -34,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edgeworks.llm.common import per_batch, sliced, texts
+from edgeworks.loop import Workspace
 
 WORDS, CLASS, WIDTH, SIDE = 4096, 64, 32, 2
 ROUNDS, MASKED, RATE, BATCH = 2, 8, 0.15, 2048
@@ -62,8 +65,8 @@ class Vocabulary:
         return np.fromiter((ids.get(w, OTHER) for w in words), np.int64, len(words))
 
 
-def vocabulary(docs: DataFrame, size: int = WORDS - 1) -> Vocabulary:
-    """The most frequent words of all documents; ties in the order of the words."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """``(word, n)`` of all words of all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(seen: Counter) -> pa.RecordBatch:
@@ -78,7 +81,15 @@ def vocabulary(docs: DataFrame, size: int = WORDS - 1) -> Vocabulary:
                     seen = Counter()
         yield made(seen)
 
-    counts = docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(docs: DataFrame, size: int = WORDS - 1) -> Vocabulary:
+    """The most frequent words of all documents; ties in the order of the words."""
+    return most_frequent(word_counts(docs), size)
+
+
+def most_frequent(counts: DataFrame, size: int = WORDS - 1) -> Vocabulary:
     best = counts.orderBy(F.desc("n"), "word").limit(size).toArrow()["word"].to_pylist()
     distinct = counts.agg(F.count(F.lit(1))).first()[0] if len(best) == size else len(best)
     return Vocabulary(best, distinct - len(best))
@@ -224,13 +235,18 @@ def _added(group: pa.Table) -> pa.Table:
     return pa.table({"block": group["block"][:1], "part": group["part"][:1], "n": pa.array([total], pa.float64()), "sums": pa.array([sums.tobytes()], pa.binary())})
 
 
-def score(docs: DataFrame, net: Network, words: Vocabulary) -> DataFrame:
-    """``(doc_id, n_tokens, log_likelihood)`` of ``(doc_id, text)``."""
+def score(docs: DataFrame, net: Network, words: Vocabulary, counts: DataFrame | None = None) -> DataFrame:
+    """``(doc_id, n_tokens, log_likelihood)`` of ``(doc_id, text)``.
+
+    With ``counts``, a table ``(word, n)`` of the words of these documents, the
+    token of other words is shared by their counts; else evenly.
+    """
     context = docs.sparkSession.sparkContext
     flat, known = context.broadcast(net.flat), context.broadcast(words)
+    even = counts is None
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        model, share = Network(flat.value), math.log(known.value.unknown)
+        model, share = Network(flat.value), math.log(known.value.unknown) if even else 0.0
         ids = [known.value.encode(split(x)) for x in batch["text"].to_pylist()]
         targets, near = around(ids)
         said = np.zeros(len(targets))
@@ -241,16 +257,54 @@ def score(docs: DataFrame, net: Network, words: Vocabulary) -> DataFrame:
         # Summed document by document, so that the words of others in the batch change nothing.
         ends = np.cumsum(n)
         total = [float(said[e - k:e].sum()) for e, k in zip(ends.tolist(), n.tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n), pa.array(total, pa.float64())], ["doc_id", "n_tokens", "log_likelihood"])
+        others = pa.array([int((x == OTHER).sum()) for x in ids], pa.int64())
+        kept = [] if even else [batch["of_text"], others]
+        return pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n), pa.array(total, pa.float64()), *kept], ["doc_id", "n_tokens", "log_likelihood", *([] if even else ["of_text", "others"])])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return per_batch(docs, run, f"doc_id {kind}, n_tokens long, log_likelihood double")
+    schema = f"doc_id {kind}, n_tokens long, log_likelihood double"
+    if even:
+        return per_batch(docs, run, schema)
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("of_text"))
+    done = per_batch(keyed, run, f"{schema}, of_text long, others long")
+    means = _mean_log_shares(keyed, words, counts).select(F.col("doc_id").alias("of_doc"), F.col("of_text").alias("same"), "mean")
+    joined = done.join(means, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("of_text") == F.col("same")), "left")
+    shared = F.when(F.col("others") > 0, F.col("log_likelihood") + F.col("others") * F.col("mean")).otherwise(F.col("log_likelihood"))
+    return joined.select("doc_id", "n_tokens", shared.alias("log_likelihood"))
+
+
+def _mean_log_shares(keyed: DataFrame, words: Vocabulary, counts: DataFrame) -> DataFrame:
+    """``(doc_id, of_text, mean)``: of each document's words that the network does not know.
+
+    ``mean`` is that of the logarithms of their shares in all such occurrences;
+    as a mean it is the same however often a row is repeated.
+    """
+    known = keyed.sparkSession.sparkContext.broadcast(words)
+    kind = keyed.schema["doc_id"].dataType.simpleString()
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ids, rows, said, n = known.value.ids, [], [], []
+        for i, text in enumerate(batch["text"].to_pylist()):
+            seen = Counter(w for w in split(text) if w not in ids)
+            rows += [i] * len(seen)
+            said += seen.keys()
+            n += seen.values()
+        at = pa.array(rows, pa.int64())
+        return pa.RecordBatch.from_arrays([batch["doc_id"].take(at), batch["of_text"].take(at), pa.array(said, pa.binary()), pa.array(n, pa.int64())], ["doc_id", "of_text", "word", "k"])
+
+    each = per_batch(keyed, run, f"doc_id {kind}, of_text long, word binary, k long")
+    best = keyed.sparkSession.createDataFrame(pa.table({"word": pa.array(list(words.ids), pa.binary())}))
+    rare = counts.join(F.broadcast(best), "word", "left_anti")
+    total = rare.agg(F.sum("n")).first()[0] or 1
+    met = each.join(rare, "word").groupBy("doc_id", "of_text").agg(F.sum(F.col("k") * F.log("n")).alias("sum"), F.sum("k").alias("k"))
+    return met.select("doc_id", "of_text", (F.col("sum") / F.col("k") - math.log(total)).alias("mean"))
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Learn from all documents, then score each: sum, mean, and pseudo-perplexity."""
     rows = texts(docs, id_col, text_col)
-    words = vocabulary(rows)
+    counts, _ = Workspace(docs.sparkSession).keep(word_counts(rows), "words")
+    words = most_frequent(counts)
     net = train(rows, words)
     mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
-    return score(rows, net, words).select("doc_id", "n_tokens", "log_likelihood", mean.alias("mean_log_prob"), F.exp(-mean).alias("pseudo_perplexity"))
+    return score(rows, net, words, counts).select("doc_id", "n_tokens", "log_likelihood", mean.alias("mean_log_prob"), F.exp(-mean).alias("pseudo_perplexity"))

@@ -68,6 +68,20 @@ def test_both_sides_say_more_than_frequency(spark, learned):
     assert sum(r.log_likelihood for r in other) / n < mean - 0.5
 
 
+def test_other_words_are_told_apart_by_their_counts(spark, monkeypatch):
+    """Words the network does not know share their token by their counts, in repeated rows too."""
+    monkeypatch.setattr(lm, "most_frequent", lambda counts, size=0, real=lm.most_frequent: real(counts, 2))
+    texts = ["a a a a b b b c c c d", "a b c", "a b d", "a b c", None, "a b"]
+    ids = [0, 1, 1, 1, None, 2]
+    docs = spark.createDataFrame([*zip(ids, texts), (None, "a b d"), (None, "a b c")], "doc_id long, text string")
+    got = lm.score_documents(docs).collect()
+    # a 10, b 9, c 6, d 3: of nine occurrences of other words six are c.
+    assert len(got) == 8 and sum(r.n_tokens == 0 for r in got) == 1
+    by = lambda i: sorted(r.log_likelihood for r in got if r.doc_id == i and r.n_tokens == 3)
+    d, c, copy = by(1)
+    assert c == copy and c - d == pytest.approx(math.log(6 / 3)) and by(None) == pytest.approx([d, c])
+
+
 def test_gradients(monkeypatch):
     net = lm.Network()
     rng = np.random.default_rng(0)
