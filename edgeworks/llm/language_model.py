@@ -12,10 +12,11 @@ the probabilities of all its words, each given its neighbours on both sides.
   these words are still alike.
 - The network: embeddings, one matrix for each neighbour's place, tanh, and a
   softmax in two steps, over 64 classes of words and within the class.
-- Training is distributed: in each of ``ROUNDS`` rounds every task starts from
-  the shared weights, goes over all its documents (one place in ``MASKED`` is
-  masked and predicted), and the tasks' weights are averaged by the number of
-  places, in two steps so that no group holds more than about the square root
+- Training is distributed: the places of all documents are dealt out to the
+  ``ROUNDS`` rounds by a hash of document and place, so that each is a target in
+  exactly one. In a round every task starts from the shared weights, goes over
+  all its documents (the places that are due are masked and predicted), and the
+  tasks' weights are averaged by the number of places, in two steps so that no group holds more than about the square root
   of the number of tasks. What is learned from grows with the corpus; the model
   does not.
 
@@ -26,6 +27,7 @@ repeated results. An empty table: no rows.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,7 +41,7 @@ from edgeworks.llm.common import per_batch, sliced, texts
 from edgeworks.loop import Workspace
 
 WORDS, CLASS, WIDTH, SIDE = 4096, 64, 32, 2
-ROUNDS, MASKED, RATE, BATCH = 2, 8, 0.15, 2048
+ROUNDS, RATE, BATCH = 2, 0.15, 2048
 COUNTED = 1 << 19
 OTHER = WORDS - 1
 #: The id that stands for what is beyond the ends of a document.
@@ -114,6 +116,8 @@ class Network:
             setattr(self, name, self.flat[at:at + size].reshape(shape))
             at += size
         self.sums = np.full_like(self.flat, 1e-6)
+        #: How many places were targets, by round.
+        self.learned: list[int] = []
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
         x = self.embed[around].reshape(len(around), -1) @ self.mix.reshape(-1, WIDTH) + self.bias
@@ -191,8 +195,18 @@ def around(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return row[where], np.stack([row[where + p] for p in _PLACES], 1)
 
 
+def turns(docs: list[bytes], sizes: list[int], rounds: int) -> np.ndarray:
+    """The round in which each place of some documents, of so many words, is a target."""
+    n = np.array(sizes, np.int64)
+    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    key = np.repeat(np.array([zlib.crc32(x) for x in docs], np.uint64), n) << np.uint64(32) | place.astype(np.uint64)
+    for shift in (33, 29):
+        key = (key ^ (key >> np.uint64(shift))) * np.uint64(0x9E3779B97F4A7C15)
+    return ((key >> np.uint64(32)) % np.uint64(rounds)).astype(np.int64)
+
+
 def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS, rate: float = RATE) -> Network:
-    """Average of what the tasks have learned, ``rounds`` times over."""
+    """Average of what the tasks have learned, ``rounds`` times over; every place is a target once."""
     context = docs.sparkSession.sparkContext
     net, known = Network(), context.broadcast(words)
     rows = docs.select("text")
@@ -206,9 +220,11 @@ def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS, rate: float
             task = TaskContext.get().partitionId()
             draw = np.random.default_rng([turn, task])
             for batch in sliced(batches, 1 << 20):
-                docs = [known.value.encode(split(x)) for x in batch["text"].to_pylist()]
+                said = batch["text"].to_pylist()
+                docs = [known.value.encode(split(x)) for x in said]
                 targets, near = around(docs)
-                masked = draw.permutation(np.flatnonzero(draw.random(len(targets)) < 1 / MASKED))
+                due = turns([x.encode() for x in said], list(map(len, docs)), rounds)
+                masked = draw.permutation(np.flatnonzero(due == turn))
                 for at in range(0, len(masked), BATCH):
                     pick = masked[at:at + BATCH]
                     own.learn(near[pick], targets[pick], rate / (1 + turn))
@@ -222,10 +238,12 @@ def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS, rate: float
         learned = rows.mapInArrow(run, "block int, part int, n double, sums binary")
         inner = learned.groupBy("block", "part").applyInArrow(_added, "block int, part int, n double, sums binary")
         outer = inner.withColumn("part", F.lit(0)).groupBy("block").applyInArrow(_added, "block int, part int, n double, sums binary")
-        flat = net.flat.copy()
+        flat, n = net.flat.copy(), 0
         for x in outer.toArrow().to_pylist():
             flat[x["block"] * BLOCK:(x["block"] + 1) * BLOCK] = np.frombuffer(x["sums"]) / x["n"]
-        net = Network(flat)
+            n = int(x["n"])
+        net, learned = Network(flat), [*net.learned, n]
+        net.learned = learned
     return net
 
 

@@ -68,6 +68,25 @@ def test_both_sides_say_more_than_frequency(spark, learned):
     assert sum(r.log_likelihood for r in other) / n < mean - 0.5
 
 
+def test_every_place_is_a_target_once(spark):
+    """With the rounds of production, and what is learned in them says more than frequency."""
+    draw = random.Random(6)
+    texts = [chain(draw, 400) for _ in range(150)] + [None, "", "w1"]
+    docs = lm.texts(documents(spark, texts)).repartition(3)
+    words = lm.vocabulary(docs)
+    due = [lm.turns([t.encode()], [len(t.split())], lm.ROUNDS) for t in texts if t]
+    assert np.array_equal(np.concatenate(due), lm.turns([t.encode() for t in texts if t], [len(t.split()) for t in texts if t], lm.ROUNDS))
+    share = np.bincount(np.concatenate(due), minlength=lm.ROUNDS) / sum(map(len, due))
+    assert len(share) == lm.ROUNDS and abs(share - 1 / lm.ROUNDS).max() < 0.02
+    net = lm.train(docs, words)
+    assert net.learned == np.bincount(np.concatenate(due)).tolist() and sum(net.learned) == sum(len(t.split()) for t in texts if t)
+    fresh = [chain(draw, 300) for _ in range(10)]
+    counts = Counter(w for t in fresh for w in t.split())
+    n = sum(counts.values())
+    unigram = sum(c * math.log(c / n) for c in counts.values()) / n
+    assert sum(r.log_likelihood for r in lm.score(lm.texts(documents(spark, fresh)), net, words).collect()) / n > unigram + 0.5
+
+
 def test_other_words_are_told_apart_by_their_counts(spark, monkeypatch):
     """Words the network does not know share their token by their counts, in repeated rows too."""
     monkeypatch.setattr(lm, "most_frequent", lambda counts, size=0, real=lm.most_frequent: real(counts, 2))
