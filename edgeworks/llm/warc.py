@@ -13,7 +13,12 @@ blank lines after it and its block digest all hold. After a failed check the
 reader looks for the next version line (or, in compressed archives, the next
 gzip member) from which a record is good again, goes on there, and returns the
 bytes in between as a quarantined gap with the reason. Good records are never
-lost to a bad neighbour.
+lost to a bad neighbour. A gzip member may hold any number of records: its
+inflated bytes are read in the same way, and records and gaps in it have the
+member's place in the file and their own offset inside. Of a member whose stream
+is damaged the records before the damage are returned (they end where they
+start, as the gap that follows has the member's bytes); what lies behind the
+damage in that member cannot be inflated.
 
 Null html: an empty payload. Null page_id or url: written without that header
 and read back as null. Repeated rows are records of their own; equal payloads
@@ -106,6 +111,8 @@ class Record:
     end: int
     headers: dict[str, str]
     block: bytes
+    #: In a gzip member, where in its inflated bytes; start and end are then the member's.
+    inside: int | None = None
 
 
 @dataclass
@@ -113,6 +120,7 @@ class Gap:
     start: int
     end: int
     reason: str
+    inside: int | None = None
 
 
 def _digest_holds(said: str | None, data: bytes) -> bool:
@@ -149,61 +157,78 @@ def parse_record(data: bytes, at: int = 0) -> Record | str:
     return Record(at, end + 4, headers, block)
 
 
-def _inflate(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int] | str:
-    """One gzip member: its content and where it ends. Fed in steps, so that no rest is copied."""
-    stream, parts, fed, view = zlib.decompressobj(31), [], at, memoryview(data)
+def _inflate(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int, str]:
+    """One gzip member: its content, where it ends, and what is wrong with it, if anything.
+
+    Fed in steps, so that no rest is copied. Of a damaged one the content is what comes before the damage.
+    """
+    stream, parts, fed, view, why = zlib.decompressobj(31), [], at, memoryview(data), ""
     try:
         while not stream.eof and fed < len(data):
             parts.append(stream.decompress(view[fed:fed + step]))
             fed += step
     except zlib.error as e:
-        return f"damaged member: {e}"
-    if not stream.eof:
-        return "member without end"
-    return b"".join(parts), min(fed, len(data)) - len(stream.unused_data)
-
-
-def _member(data: bytes, at: int) -> Record | str:
-    """The record in the gzip member that starts at ``at``."""
-    if data[at:at + 3] != GZIP:
-        return "no member"
-    found = _inflate(data, at)
-    if isinstance(found, str):
-        return found
-    record = parse_record(found[0])
-    return record if isinstance(record, str) else Record(at, found[1], record.headers, record.block)
-
-
-def salvage(data: bytes) -> Iterator[Record | Gap]:
+        why = f"damaged member: {e}"
+        # The step that failed has returned nothing: once more, and byte by byte up to the damage.
+        stream = zlib.decompressobj(31)
+        parts = [stream.decompress(view[at:fed])]
+        try:
+            for i in range(fed, min(fed + step, len(data))):
+                parts.append(stream.decompress(view[i:i + 1]))
+        except zlib.error:
+            pass
+    if not stream.eof and not why:
+        why = "member without end"
+    return b"".join(parts), min(fed, len(data)) - len(stream.unused_data), why
+
+
+def _member(data: bytes, at: int) -> tuple[list[Record | Gap], int, str]:
+    """What the gzip member that starts at ``at`` holds, where it ends, and why it is bad, if it is."""
+    content, end, why = _inflate(data, at)
+    found = list(salvage(content, members=False))
+    good = [x for x in found if isinstance(x, Record)]
+    if why:
+        return [Record(at, at, x.headers, x.block, x.start) for x in good], at, why
+    if not good:
+        return [], at, found[0].reason if found else "empty member"
+    return [Record(at, end, x.headers, x.block, x.start) if isinstance(x, Record) else Gap(at, end, x.reason, x.start) for x in found], end, ""
+
+
+def salvage(data: bytes, members: bool = True) -> Iterator[Record | Gap]:
     """All good records of an archive, and the gaps between them, in order.
 
-    Archives of gzip members and plain ones, and files in which both occur.
+    Archives of gzip members and plain ones, and files in which both occur;
+    without ``members`` only plain ones.
     """
     at, bad, why, none = 0, None, "", len(data)
     version = member = -1
     while at < len(data):
-        found = _member(data, at) if data[at:at + 3] == GZIP else parse_record(data, at)
-        if not isinstance(found, str):
-            if bad is not None:
-                yield Gap(bad, at, why)
-                bad = None
-            yield found
-            at = found.end
+        if members and data[at:at + 3] == GZIP:
+            found, end, wrong = _member(data, at)
+        else:
+            record = parse_record(data, at)
+            found, end, wrong = ([], at, record) if isinstance(record, str) else ([record], record.end, "")
+        if found and bad is not None:
+            yield Gap(bad, at, why)
+            bad = None
+        yield from found
+        if not wrong:
+            at = end
             continue
         if bad is None:
-            bad, why = at, found
+            bad, why = at, wrong
         if version <= at:
             line = _VERSION_LINE.search(data, at + 1)
             version = line.start() if line else none
         if member <= at:
-            member = data.find(GZIP, at + 1)
+            member = data.find(GZIP, at + 1) if members else -1
             member = none if member < 0 else member
         at = min(version, member)
     if bad is not None:
         yield Gap(bad, len(data), why)
 
 
-SCHEMA = "path string, start long, end long, gap string, record_type string, record_id string, uri string, refers_to string, payload_digest string, payload_bytes long, payload binary"
+SCHEMA = "path string, start long, end long, inside long, gap string, record_type string, record_id string, uri string, refers_to string, payload_digest string, payload_bytes long, payload binary"
 
 
 def _payload(record: Record) -> tuple[int | None, bytes]:
@@ -223,7 +248,7 @@ def _hex(digest: str | None) -> str | None:
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """Every record and every gap (``gap`` says why) of the archives below ``path``.
 
-    A file is one task's work, so memory follows the size of a file.
+    A file is one task's work, so memory follows the size of a file, and of its largest member when inflated.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,12 +258,12 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                 where, rows = name.as_py(), []
                 for x in salvage(content.as_buffer().to_pybytes()):
                     if isinstance(x, Gap):
-                        rows.append((where, x.start, x.end, x.reason, *[None] * 7))
+                        rows.append((where, x.start, x.end, x.inside, x.reason, *[None] * 7))
                         continue
                     h, (size, body) = x.headers, _payload(x)
-                    rows.append((where, x.start, x.end, None, h.get("warc-type"), h.get("warc-record-id"), h.get("warc-target-uri"), h.get("warc-refers-to"), _hex(h.get("warc-payload-digest")), size, body if payloads else None))
+                    rows.append((where, x.start, x.end, x.inside, None, h.get("warc-type"), h.get("warc-record-id"), h.get("warc-target-uri"), h.get("warc-refers-to"), _hex(h.get("warc-payload-digest")), size, body if payloads else None))
                 columns = zip(*rows, strict=True) if rows else [()] * len(names)
-                kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 6, pa.int64(), pa.binary()]
+                kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), *[pa.string()] * 6, pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")

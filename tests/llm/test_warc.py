@@ -84,6 +84,40 @@ def test_later_records_survive_a_damaged_one(pack):
     assert ids(data) == ["<urn:page:0>", "<urn:page:2>"] and len(gaps(data)) == 3
 
 
+def test_a_member_may_hold_many_records():
+    good = [record(i, b"body %d " % i * 50) for i in range(5)]
+    places = [sum(map(len, good[:i])) for i in range(6)]
+    for hurt in (0, 2, 4):
+        bad = good.copy()
+        bad[hurt] = bad[hurt].replace(b"body", b"bodi", 1)
+        member = gzip.compress(b"".join(bad))
+        data = gzip.compress(record(8)) + member + record(9)
+        at = len(gzip.compress(record(8)))
+        assert ids(data) == [f"<urn:page:{i}>" for i in (8, *(i for i in range(5) if i != hurt), 9)]
+        assert [(x.start, x.end, x.inside, x.reason) for x in warc.salvage(data) if isinstance(x, warc.Gap)] == [(at, at + len(member), places[hurt], "block digest differs")]
+        inner = [x for x in warc.salvage(data) if isinstance(x, warc.Record)][1:-1]
+        assert [(x.start, x.end, x.inside) for x in inner] == [(at, at + len(member), places[i]) for i in range(5) if i != hurt]
+
+
+def test_records_before_the_damage_of_a_member():
+    draw = random.Random(5)
+    good = [record(i, draw.randbytes(60_000)) for i in range(8)]
+    data = bytearray(gzip.compress(b"".join(good)))
+    data[300_000] ^= 0x55
+    whole = bytes(data) + gzip.compress(record(9))
+    found = ids(whole)
+    assert found[:4] == [f"<urn:page:{i}>" for i in range(4)] and found[-1] == "<urn:page:9>"
+    assert gaps(whole) == [(0, len(data))]
+
+
+def test_an_archive_compressed_as_a_whole(spark, path):
+    rows, docs = pages(spark)
+    warc.records(warc.with_revisits(docs)).write.option("lineSep", warc.END).option("compression", "gzip").text(path)
+    back = warc.read_archives(spark, path).collect()
+    assert len(back) == len(rows) and all(r.gap is None for r in back)
+    assert len({(r.path, r.inside) for r in back}) == len(rows)
+
+
 def test_bytes_are_either_record_or_gap():
     draw = random.Random(4)
     data = bytearray(b"".join((gzip.compress if draw.random() < 0.5 else bytes)(record(i, draw.randbytes(200))) for i in range(30)))
