@@ -14,16 +14,18 @@ and returns what stays with all columns of documents; the last returns tokens.
 5. byte-level BPE: ``(doc_id, n_tokens, ids, decoded_sha256)``.
 
 Null or empty text: goes with the first stage. A document of which line dedup
-leaves nothing stays, with an empty text. Rows that repeat a doc_id: one stays.
-Null ids: such rows are told apart by their texts alone. Extra columns are
-kept as they are, whatever their names. An empty table passes as such.
+leaves nothing stays, with an empty text. Rows are told apart by their id and
+text together: of those that repeat both one stays, different texts under one
+id are judged each on its own. Null ids: such rows are told apart by their texts
+alone. Extra columns are kept as they are, whatever their names. An empty table
+passes as such.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edgeworks.llm import bpe, decontaminate, language, lines, minhash
@@ -57,14 +59,19 @@ def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return done.select(*[names.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
+def _key(docs: DataFrame) -> Column:
+    """What tells a row from all others that differ in id or text; smallest for the smallest id, null ids last."""
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("digest")
+    return F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), digest)
+
+
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    found = minhash.near_duplicates(docs.select("doc_id", "text"), words=WORDS, percent=PERCENT)
+    rows = _packed(docs).select(_key(docs).alias("key"), "text", "row")
+    found = minhash.near_duplicates(rows.select(F.col("key").alias("doc_id"), "text"), words=WORDS, percent=PERCENT)
     marks = found.groupBy(F.col("doc_id").alias("of")).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    rows = _packed(docs).select("doc_id", "row")
-    stay = rows.join(marks.filter("kept"), rows["doc_id"].eqNullSafe(F.col("of"))).select("doc_id", "row", "n")
-    once = (F.col("n") == 1) | F.col("doc_id").isNull()
-    return stay.filter(once).unionByName(stay.filter(~once).dropDuplicates(["doc_id"])).select("row.*")
+    stay = rows.select("key", "row").join(marks.filter("kept"), F.col("key") == F.col("of")).select("key", "row", "n")
+    return stay.filter("n = 1").unionByName(stay.filter("n > 1").dropDuplicates(["key"])).select("row.*")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

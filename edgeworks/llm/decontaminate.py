@@ -19,8 +19,9 @@ ever formed.
 
 Null or empty text, or one without word characters: no words, no hits. An item
 without words has no window. Repeated items count once each by their id;
-repeated documents are judged each on its own words. Candidates of rows that
-share a doc_id are pooled, and verified on each row.
+repeated documents are judged each on its own words. Candidates are gathered by
+doc_id and a hash of the text, so rows without an id meet only their copies, and
+are verified on each row.
 """
 
 from __future__ import annotations
@@ -83,20 +84,20 @@ def rarest_shingles(docs: DataFrame, found: DataFrame, sizes: list[int], shingle
 
 
 def _doc_shingles(docs: DataFrame, sizes: list[int]) -> DataFrame:
-    """``(doc_id, n_words, q, position, hash)`` of every shingle of every document."""
-    said = docs.select("doc_id", words(F.col("text")).alias("words"))
+    """``(doc_id, of_text, n_words, q, position, hash)`` of every shingle of every document."""
+    said = docs.select("doc_id", F.xxhash64("text").alias("of_text"), words(F.col("text")).alias("words"))
     every = None
     for q in sizes:
-        of_q = said.select("doc_id", F.size("words").alias("n_words"), F.lit(q).alias("q"), F.posexplode(shingle_hashes(F.col("words"), q)).alias("position", "hash"))
+        of_q = said.select("doc_id", "of_text", F.size("words").alias("n_words"), F.lit(q).alias("q"), F.posexplode(shingle_hashes(F.col("words"), q)).alias("position", "hash"))
         every = of_q if every is None else every.unionByName(of_q)
     return every
 
 
 def candidates(docs: DataFrame, prefix: DataFrame, sizes: list[int]) -> DataFrame:
-    """``(doc_id, candidates)``: where windows may start, by their rarest shingle."""
+    """``(doc_id, of_text, candidates)``: where windows may start, by their rarest shingle."""
     start = F.col("position") - F.col("offset")
     met = _doc_shingles(docs, sizes).join(_small(prefix), ["q", "hash"]).filter((start >= 0) & (start + F.col("size") <= F.col("n_words")))
-    return met.groupBy("doc_id").agg(F.collect_set(F.struct(start.alias("start"), "size", "window", "items")).alias("candidates"))
+    return met.groupBy("doc_id", "of_text").agg(F.collect_set(F.struct(start.alias("start"), "size", "window", "items")).alias("candidates"))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, width: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
@@ -115,7 +116,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, width: int = WINDOW, shingle:
         return said.withColumn("leaks", F.array().cast(kind))
     maybe = candidates(docs, rarest_shingles(docs, found, sizes, shingle), sizes)
     key = maybe.withColumnRenamed("doc_id", "of")
-    joined = docs.join(key, docs["doc_id"].eqNullSafe(key["of"]), "left").drop("of").withColumn("words", words(F.col("text")))
+    same_row = docs["doc_id"].eqNullSafe(key["of"]) & (F.xxhash64(docs["text"]) == key["of_text"])
+    joined = docs.join(key, same_row, "left").drop("of", "of_text").withColumn("words", words(F.col("text")))
     same = F.filter(F.coalesce("candidates", F.array()), lambda c: F.slice("words", c["start"] + 1, c["size"]) == c["window"])
     return joined.select("doc_id", "text", *carried, "words", same.alias("leaks"))
 

@@ -55,3 +55,12 @@ def test_the_rarest_shingle_is_the_prefix(spark):
     found = decontaminate.windows(spark.createDataFrame([(1, "a b c d e")], "item_id long, text string"))
     row = decontaminate.rarest_shingles(docs, found, [3]).first()
     assert row.offset == 2 and row.q == 3
+
+
+def test_rows_without_an_id_do_not_pool_their_candidates(spark):
+    items = spark.createDataFrame([(i, f"a{i} b{i} c{i}") for i in range(20)], "item_id long, text string")
+    docs = spark.createDataFrame([(None, f"x a{i} b{i} c{i} y") for i in range(20)] + [(None, None)], "doc_id long, text string")
+    found = decontaminate.windows(items)
+    got = decontaminate.candidates(docs, decontaminate.rarest_shingles(docs, found, [3]), [3]).collect()
+    assert len(got) == 20 and all(len(r.candidates) == 1 for r in got)
+    assert [len(r.leaks) for r in decontaminate.find_leaks(docs, items).orderBy("text").collect()] == [0] + [1] * 20

@@ -67,3 +67,22 @@ def test_copies_do_not_make_a_text_boilerplate(spark, draw, path):
     assert all("foot" not in cut[i] for i in range(20)) and all(cut[i] == texts[i] for i in range(20, 30))
     out = {r.doc_id: r for r in pipeline.run(spark, path).collect()}
     assert set(out) == set(range(21)) and out[20].decoded_sha256 == hashlib.sha256(copied.encode()).hexdigest()
+
+
+def test_rows_are_told_apart_by_id_and_text(spark, draw, path):
+    """Different texts under one id, or none, are judged each on its own."""
+    passage = prose(draw, 30, 5000)
+    a, b, c, d, e, f = (prose(draw, 60, 5000) for _ in range(6))
+    ids = [(None, a), (None, a + " more"), (None, a), (None, b), (None, c), (1, c), (5, d), (5, e), (5, e), (2, d + " more"), (7, f), (7, passage), (None, passage + " x")]
+    rows = [(i, t, "en", f"s{k}", len(t), "w", 1) for k, (i, t) in enumerate(ids)]
+    docs = spark.createDataFrame(rows, KIND)
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    once = pipeline.without_near_copies(spark, docs, path)
+    near = [(r.doc_id, r.text) for r in once.collect()]
+    first = [x for x in near if x[1] in (a, a + " more")]
+    # c stays under its id, d under the smaller one; both texts of 5 and of 7 have their own say.
+    passages = [x for x in near if passage in x[1]]
+    assert len(first) == 1 and first[0][0] is None and passages == [(7, passage)]
+    assert sorted((x for x in near if x not in (*first, *passages)), key=str) == sorted([(None, b), (1, c), (5, e), (2, d + " more"), (7, f)], key=str)
+    clean = pipeline.without_benchmark(spark, docs, path)
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=str) == sorted((x for x in ids if passage not in x[1]), key=str)
