@@ -23,12 +23,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from edgeworks.loop import Workspace
+
 K = 8
 WINDOW = 16
 CHUNK = 1 << 14
 _LOW = (1 << 16) - 1
-#: Bits of an id that tell neighbours in one group apart, and of a group's number those in one group of groups.
-NEAR, NEARER = 5, 10
+#: Bits of an id that tell neighbours in one group apart.
+NEAR = 5
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -90,14 +92,17 @@ def written(found: Column) -> Column:
 def _successors(groups: DataFrame) -> DataFrame:
     """``(near, next)``: each group of ids with the next that exists; the last with the first.
 
-    Two levels, so that only one row for ``2 ** (NEAR + NEARER)`` ids meets in one task.
+    The groups are cut into ranges of about equal size, whatever the gaps
+    between ids, and written with their range, so that one row for each range
+    meets in one task.
     """
-    rows = groups.select("near", F.shiftright("near", NEARER).alias("wide"))
-    inside = rows.withColumn("next", F.lead("near").over(W.partitionBy("wide").orderBy("near")))
-    firsts = rows.groupBy("wide").agg(F.min("near").alias("first"))
-    every = W.partitionBy(F.lit(0)).orderBy("wide")
-    after = firsts.select("wide", F.coalesce(F.lead("first").over(every), F.first("first").over(every.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("after"))
-    return inside.join(after, "wide").select("near", F.coalesce("next", "after").alias("next"))
+    parts = groups.repartitionByRange("near").select("near", F.spark_partition_id().alias("part"))
+    rows, _ = Workspace(groups.sparkSession).keep(parts, "ranges")
+    inside = rows.withColumn("next", F.lead("near").over(W.partitionBy("part").orderBy("near")))
+    firsts = rows.groupBy("part").agg(F.min("near").alias("first"))
+    every = W.partitionBy(F.lit(0)).orderBy("first")
+    after = firsts.select("part", F.coalesce(F.lead("first").over(every), F.first("first").over(every.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("after"))
+    return inside.join(after, "part").select("near", F.coalesce("next", "after").alias("next"))
 
 
 def with_next(docs: DataFrame) -> DataFrame:

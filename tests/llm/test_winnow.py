@@ -82,3 +82,13 @@ def test_one_document_and_a_null_id(spark):
     docs = spark.createDataFrame([(None, "abc")], "doc_id long, text string")
     row = winnow.fingerprints(docs).first()
     assert row.doc_id is None and row.near_next == 1.0
+
+
+def test_next_of_sparse_ids_meets_one_row_a_range(spark, draw):
+    ids = sorted({draw.randrange(-(1 << 62), 1 << 62) for _ in range(3000)})
+    found = winnow._successors(spark.createDataFrame([(i,) for i in ids], "near long").repartition(5))
+    assert {(r.near, r.next) for r in found.collect()} == set(zip(ids, ids[1:] + ids[:1]))
+    # The ranges that the single task reads are as many as partitions, not as ids.
+    table = found.inputFiles()[0].rsplit("/", 1)[0]
+    parts = spark.read.parquet(table)
+    assert parts.count() == 3000 and parts.select("part").distinct().count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
