@@ -5,9 +5,10 @@ import tempfile
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
-PARTS = 2
+from data import PARTS  # noqa: E402
 
 
 @pytest.fixture(scope="session")

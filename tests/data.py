@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import random
 
+#: Shuffle partitions of the test session.
+PARTS = 2
+
 # One edge twice; 4 is a sink.
 TINY = [(1, 2), (1, 3), (2, 3), (3, 4), (1, 2)]
 

@@ -4,8 +4,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import pytest
-from conftest import PARTS
-from data import TINY, edges, random_rows, table, undirected
+from data import PARTS, TINY, edges, random_rows, table, undirected
 from pyspark.sql import functions as F
 
 from edgeworks.operators.community import label_propagation
