@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeworks.llm import bpe, decontaminate, language, language_model, lines, minhash, substrings, token_counts, warc, winnow
+from edgeworks.llm import bpe, decontaminate, language, language_model, lines, minhash, substrings, token_counts, tree_bpe, warc, winnow
 from edgeworks.llm.common import table, texts
 from edgeworks.llm.shipping import ship
 
@@ -51,6 +51,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tree_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_lm_scores": op2_lm_scores,
@@ -62,6 +66,7 @@ _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
+    "op12_tree_bpe": op12_tree_bpe,
 }
 
 
