@@ -97,13 +97,14 @@ def merged(ids: list[int], merges: Merges) -> list[int]:
 def _side_by_side(ids: np.ndarray, sizes: np.ndarray, merges: Merges) -> list[bytes]:
     """What is left of each row of ``ids``, a width of a power of two, as 32-bit numbers."""
     rows, width = ids.shape
-    none = np.int64(merges.none) * width
-    place = np.arange(width, dtype=np.int64)
-    leaves = np.full((rows, width), none, np.int64)
-    ranks = merges.ranks(ids[:, :-1], ids[:, 1:]).astype(np.int64)
+    kind = np.int32 if (merges.none + 1) * width < 1 << 31 else np.int64
+    none = kind(merges.none * width)
+    place = np.arange(width, dtype=kind)
+    leaves = np.full((rows, width), none, kind)
+    ranks = merges.ranks(ids[:, :-1], ids[:, 1:]).astype(kind)
     ranks[place[None, 1:] >= sizes[:, None]] = merges.none
     leaves[:, :-1] = np.where(ranks < merges.none, ranks * width + place[:-1], none)
-    tree = np.empty((rows, 2 * width), np.int64)
+    tree = np.empty((rows, 2 * width), kind)
     tree[:, width:] = leaves
     half = width // 2
     while half:
@@ -125,9 +126,9 @@ def _side_by_side(ids: np.ndarray, sizes: np.ndarray, merges: Merges) -> list[by
         alive_[base + gone] = False
         some = right < sizes[todo]
         before_[(base + right)[some]] = i[some]
-        new = np.full((3, len(todo)), none, np.int64)
+        new = np.full((3, len(todo)), none, kind)
         for k, (a, b, has) in enumerate(((i, right, some), (left, i, left >= 0)), 1):
-            found = merges.ranks(ids_[(base + a)[has]], ids_[(base + b)[has]]).astype(np.int64)
+            found = merges.ranks(ids_[(base + a)[has]], ids_[(base + b)[has]]).astype(kind)
             new[k, has] = np.where(found < merges.none, found * width + a[has], none)
         # Without a symbol before it, the pair's own leaf is put again.
         new[2] = np.where(left >= 0, new[2], new[1])

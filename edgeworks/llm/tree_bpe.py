@@ -32,7 +32,8 @@ from edgeworks.llm.text_cuts import led_words, safe_pieces
 from edgeworks.llm.token_counts import SAFE, TOKENIZER, _byte_names, tokenizer
 
 #: Words that a worker remembers, and the longest of them in characters.
-REMEMBERED, LONGEST = 1 << 19, 48
+REMEMBERED, LONGEST = 1 << 20, 48
+_STOPS = frozenset(".,;:!?")
 #: Bytes of text that are worked on at a time.
 BATCH = 4 << 20
 
@@ -57,6 +58,10 @@ class Vocabulary:
         self.bytes_of = {i: bytes(back[c] for c in token) for token, i in ids.items()}
         self.added = {x["content"]: x["id"] for x in said.get("added_tokens", [])}
         self.bytes_of |= {i: x.encode() for x, i in self.added.items()}
+        said_as = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        self.spelled = np.frombuffer(b"".join(said_as), np.uint8)
+        self.lengths = np.fromiter(map(len, said_as), np.int64, len(said_as))
+        self.starts = np.cumsum(self.lengths) - self.lengths
         longest_first = sorted(self.added, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if self.added else None
 
@@ -75,8 +80,12 @@ def _pattern():
 
 def pretokens(word: str, name: str) -> list[str]:
     """The matches of the vocabulary's pattern in a word with the white space that leads it."""
-    if word.isascii() and word[1:].isalpha() and (word[0] == " " or word[0].isalpha()):
-        return [word]
+    body = word[1:] if word[0] == " " else word
+    if body.isascii():
+        if body.isalpha():
+            return [word]
+        if body[-1:] in _STOPS and body[:-1].isalpha():
+            return [word[:-1], body[-1]]
     if SAFE.fullmatch(word):
         return _pattern().findall(word)
     return [word[a:b] for _, (a, b) in tokenizer(name).pre_tokenizer.pre_tokenize_str(word)]
@@ -106,10 +115,9 @@ class Encoder:
             map(whole.__getitem__, x[0]), map(led.__getitem__, x[1]), map(whole.__getitem__, x[2])) for x in text)) for text in cut]
         for kept, new in ((led, new_led), (whole, new_whole)):
             for word in new:
-                if len(word) > LONGEST:
+                # Frequent words come early, so those that are in stay.
+                if len(word) > LONGEST or len(kept) > REMEMBERED:
                     del kept[word]
-            if len(kept) > REMEMBERED:
-                kept.clear()
         return out
 
     def _cut(self, text: str) -> list:
@@ -138,9 +146,14 @@ class Encoder:
         ids = dict(zip(distinct, merged_many([x.encode() for x in distinct], v.byte_ids, v.merges), strict=True))
         return [ids[x[0]] if len(x) == 1 else b"".join(map(ids.__getitem__, x)) for x in cut]
 
-    def decode(self, ids: bytes) -> str:
-        """The text that ids stand for."""
-        return b"".join(map(self.vocabulary.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+    def decode(self, said: list[bytes]) -> list[str]:
+        """The texts that ids stand for."""
+        v, ids = self.vocabulary, np.frombuffer(b"".join(said), "<u4")
+        lengths = v.lengths[ids]
+        ends = np.append(0, np.cumsum(lengths))
+        raw = v.spelled[np.arange(ends[-1]) + np.repeat(v.starts[ids] - ends[:-1], lengths)].tobytes()
+        cuts = ends[np.append(0, np.cumsum([len(x) // 4 for x in said], dtype=np.int64))].tolist()
+        return [raw[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -171,7 +184,7 @@ def decode_documents(encoded: DataFrame, name: str = TOKENIZER) -> DataFrame:
     """``(doc_id, text)`` of ``(doc_id, ids)``; null ids are none."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        back = [encoder(name).decode(np.array(x or [], "<u4").tobytes()) for x in batch["ids"].to_pylist()]
+        back = encoder(name).decode([np.array(x or [], "<u4").tobytes() for x in batch["ids"].to_pylist()])
         return pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(back, pa.string())], ["doc_id", "text"])
 
     return _per_slice(encoded.select("doc_id", "ids"), run, "doc_id {}, text string", BATCH)
@@ -187,7 +200,7 @@ def round_trip(docs: DataFrame, name: str = TOKENIZER, id_col: str = "doc_id", t
             batch["doc_id"],
             pa.array([len(x) // 4 for x in ids], pa.int64()),
             pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-            pa.array([hashlib.sha256(coder.decode(x).encode()).hexdigest() for x in ids], pa.string()),
+            pa.array([hashlib.sha256(x.encode()).hexdigest() for x in coder.decode(ids)], pa.string()),
         ], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = "doc_id {}, n_tokens long, ids_sha256 string, decoded_sha256 string"
