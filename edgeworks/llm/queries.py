@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeworks.llm import bpe, decontaminate, language, language_model, lines, minhash, substrings, token_counts, tree_bpe, warc, winnow
+from edgeworks.llm import bpe, decontaminate, divergence, language, language_model, lines, minhash, substrings, token_counts, tree_bpe, warc, winnow
 from edgeworks.llm.common import table, texts
 from edgeworks.llm.shipping import ship
 
@@ -55,6 +55,10 @@ def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_lm_scores": op2_lm_scores,
@@ -67,6 +71,7 @@ _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
     "op12_tree_bpe": op12_tree_bpe,
+    "op13_divergence": op13_divergence,
 }
 
 
@@ -85,4 +90,5 @@ ORACLES: dict[str, str] = {
     "op7_substring_dedup": substrings.ORACLE,
     "op8_line_dedup": lines.ORACLE,
     "op9_decontamination": decontaminate.ORACLE,
+    "op13_divergence": divergence.ORACLE,
 }
