@@ -43,8 +43,8 @@ from edgeworks.llm.common import sliced
 from edgeworks.loop import Workspace
 
 MIN_DOCS, TOP = 10, 10
-#: Terms of a bucket and sources of a tile, about.
-BUCKET, TILE = 4096, 128
+#: Rows (a term in a group) of a bucket, and sources of a tile, about.
+BUCKET, TILE = 1 << 16, 128
 #: Groups that may be broadcast; beyond it they are joined by shuffle.
 FEW_GROUPS = 1 << 16
 #: Bytes of text whose terms are counted together.
@@ -122,20 +122,20 @@ def _apart(p: str, q: str) -> Column:
 
 
 def group_totals(docs: DataFrame, kept: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """``(lang, source, group_n, lang_n, v, sources)`` of every group, also of those without terms."""
+    """``(lang, source, group_n, lang_n, v, lang_rows, sources)`` of every group, also of those without terms."""
     groups = _grouped(docs, lang_col, source_col, None).distinct()
-    of_group = kept.groupBy("lang", "source").agg(F.sum("n").alias("group_n"), F.count_if("first").alias("firsts"))
-    rows = groups.join(of_group, ["lang", "source"], "left").na.fill(0, ["group_n", "firsts"])
+    of_group = kept.groupBy("lang", "source").agg(F.sum("n").alias("group_n"), F.count_if("first").alias("firsts"), F.count(F.lit(1)).alias("held"))
+    rows = groups.join(of_group, ["lang", "source"], "left").na.fill(0, ["group_n", "firsts", "held"])
     of_lang = rows.groupBy("lang").agg(
-        F.sum("group_n").alias("lang_n"), F.sum("firsts").alias("v"), F.count(F.lit(1)).alias("sources"))
-    return rows.drop("firsts").join(of_lang, "lang")
+        F.sum("group_n").alias("lang_n"), F.sum("firsts").alias("v"), F.sum("held").alias("lang_rows"), F.count(F.lit(1)).alias("sources"))
+    return rows.drop("firsts", "held").join(of_lang, "lang")
 
 
 def level_bitmaps(kept: DataFrame, totals: DataFrame) -> DataFrame:
     """``(lang, band, bucket, word, source, p, mask, last)``: which of a word's terms have weight ``p`` in a group."""
-    sized = kept.join(totals.select("lang", "source", "group_n", "v"), ["lang", "source"])
+    sized = kept.join(totals.select("lang", "source", "group_n", "v", "lang_rows"), ["lang", "source"])
     band = F.floor(F.log2("total")).cast("int")
-    bucket = F.pmod(F.xxhash64("term"), F.ceil(F.col("v") / BUCKET)).cast("int")
+    bucket = F.pmod(F.xxhash64("term"), F.ceil(F.col("lang_rows") / BUCKET)).cast("int")
     inside = W.partitionBy("lang", "band", "bucket").orderBy(F.desc("total"), "term")
     placed = sized.withColumns({"band": band, "bucket": bucket}).withColumn("place", F.dense_rank().over(inside) - 1)
     word, bit = F.floor(F.col("place") / 64).cast("int"), F.pmod("place", F.lit(64)).cast("int")

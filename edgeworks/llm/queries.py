@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edgeworks.llm import bpe, decontaminate, divergence, language, language_model, lines, minhash, substrings, token_counts, tree_bpe, warc, winnow
+from edgeworks.llm import bpe, decontaminate, divergence, language, language_model, lines, minhash, spelling, substrings, token_counts, tree_bpe, warc, winnow
 from edgeworks.llm.common import table, texts
 from edgeworks.llm.shipping import ship
 
@@ -51,6 +51,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tree_bpe.round_trip(table(spark, sf_dir, "documents"))
 
@@ -70,6 +74,7 @@ _PLAIN: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_tree_bpe": op12_tree_bpe,
     "op13_divergence": op13_divergence,
 }
@@ -90,5 +95,6 @@ ORACLES: dict[str, str] = {
     "op7_substring_dedup": substrings.ORACLE,
     "op8_line_dedup": lines.ORACLE,
     "op9_decontamination": decontaminate.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
     "op13_divergence": divergence.ORACLE,
 }

@@ -58,7 +58,7 @@ def frame(spark, rows):
 def test_audit_by_hand(spark, draw, monkeypatch, small):
     if small:
         # Many buckets, tiles and pieces of cells, groups joined by shuffle.
-        for name, value in (("TILE", 3), ("BUCKET", 70), ("CELLS", 50), ("BATCH", 2000), ("FEW_GROUPS", 0)):
+        for name, value in (("TILE", 3), ("BUCKET", 120), ("CELLS", 50), ("BATCH", 2000), ("FEW_GROUPS", 0)):
             monkeypatch.setattr(divergence, name, value)
     rows = rows_of(draw)
     got = sorted(tuple(r) for r in divergence.audit(frame(spark, rows), min_docs=3, top=4).collect())
