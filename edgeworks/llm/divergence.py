@@ -48,7 +48,7 @@ BUCKET, TILE = 1 << 16, 128
 #: Groups that may be broadcast; beyond it they are joined by shuffle.
 FEW_GROUPS = 1 << 16
 #: Bytes of text whose terms are counted together.
-BATCH = 32 << 20
+BATCH = 10 << 20
 #: Cells of two groups' bitsets that are met at a time.
 CELLS = 1 << 21
 
@@ -62,18 +62,18 @@ def _terms(text: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
     data = _LETTERS[np.frombuffer(raw, np.uint8)] if raw is not None else np.empty(0, np.uint8)
     plain = pa.LargeStringArray.from_buffers(len(text), ends, pa.py_buffer(data), offset=text.offset)
     words = pc.ascii_split_whitespace(plain)
-    rows = np.repeat(np.arange(len(text)), np.diff(words.offsets.to_numpy()))
+    rows = np.repeat(np.arange(len(text), dtype=np.int32), np.diff(words.offsets.to_numpy()))
     return rows, words.flatten().dictionary_encode()
 
 
 def _counted(batch: pa.RecordBatch) -> pa.RecordBatch:
     rows, coded = _terms(batch["text"])
-    terms, at = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    terms, at = coded.dictionary, coded.indices.to_numpy()
     numbers: dict[tuple, int] = {}
     group = np.fromiter((numbers.setdefault(x, len(numbers)) for x in zip(batch["lang"].to_pylist(), batch["source"].to_pylist())), np.int64, batch.num_rows)
     size = max(1, len(terms))
     key, n = np.unique(group[rows] * size + at, return_counts=True)
-    held = np.unique(rows * size + at)
+    held = np.unique(rows * np.int64(size) + at)
     again, docs = np.unique(group[held // size] * size + held % size, return_counts=True)
     assert np.array_equal(key, again)
     names = list(numbers)
