@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -96,6 +96,16 @@ class Workspace:
             no,
         )
 
+    def keep_parts(self, df: DataFrame, by: str, values: Iterable[int]) -> dict[int, DataFrame]:
+        """Write ``df`` once, as a table for each of the values of ``by``.
+
+        Returns the tables that have rows, by value and without the column.
+        """
+        path, values = self.path(by), list(values)
+        counts = {f"n{v}": F.count_if(F.col(by) == v) for v in values}
+        seen = self._write(df, path, counts, split=by)
+        return {v: self._table(f"{path}/{by}={v}", df.drop(by)) for v in values if seen.get(f"n{v}")}
+
     def _write(self, df: DataFrame, path: str, metrics: dict[str, Column], split: str | None = None) -> dict:
         seen = Observation()
         exprs = [F.count(F.lit(1)).alias("rows")] + [c.alias(k) for k, c in metrics.items()]

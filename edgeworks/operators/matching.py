@@ -3,8 +3,8 @@
 Edges have a fixed random order: a hash of the edge, then its ends. Greedy
 matching in that order is computed in rounds. In a round every vertex names
 its first edge, and the edges named by both their ends are chosen. This gives
-exactly the sequential greedy matching, in few rounds, and each round is two
-aggregations and two anti joins however the edges are distributed.
+exactly the sequential greedy matching, in few rounds. Edges are laid out once at
+both of their ends; a round shuffles what vertices say about them and no edge.
 """
 
 from __future__ import annotations
@@ -12,13 +12,14 @@ from __future__ import annotations
 import functools
 import math
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgeworks.functions import hash60, uniform, vertex_part
 from edgeworks.loop import Workspace, sized_shuffles
 from edgeworks.operators.graph import canonical_edges, degrees, endpoints, hot_vertices, vertices_of
-from edgeworks.operators.skew import hot_keys, spread_join
+from edgeworks.operators.skew import fan_out, hot_keys, slot_keys, spread_join, with_slot
 
 # Fixed values of the method: exponents of the largest degree for the sample
 # probability and the number of vertex parts, base of the round limit.
@@ -26,6 +27,11 @@ SAMPLE_EXPONENT = -0.77
 PARTS_EXPONENT = 0.12
 ROUND_BASE = 1.1
 
+#: Share of the edges that is drawn at once, and the most rounds that it is drawn for.
+DRAWN, MOST_DRAWN = 0.5, 128
+#: Edges are laid out anew when fewer than one in so many of their vertices goes on.
+SPARSE = 4
+
 ROUND_LIMITS = ("log_delta", "log_edges", "log_edges_p")
 STOPS = ("empty", "unchanged", "degree_one")
 
@@ -89,15 +95,76 @@ def unmatched_edges(edges: DataFrame, matching: DataFrame, min_hot_rows: int | N
 
 def sample_edges(edges: DataFrame, p: float, seed: int | None = 0, round: int = 0) -> DataFrame:
     """A Bernoulli sample, the same for the same seed and round."""
-    return edges.filter(uniform(f"edge-{seed}-{round}", "src", "dst") < F.lit(p))
+    return edges.filter(_sampled(p, seed, round))
+
+
+def _sampled(p: float, seed: int | None, round: int) -> Column:
+    return uniform(f"edge-{seed}-{round}", "src", "dst") < F.lit(p)
 
 
 def same_part(edges: DataFrame, k: int, seed: int | str = 0) -> DataFrame:
     """Edges with both ends in one of ``k`` vertex parts."""
+    return edges.filter(_in_one_part(k, seed))
+
+
+def _in_one_part(k: int, seed: int | str) -> Column:
     if k <= 1:
-        return edges
+        return F.lit(True)
     parts = [vertex_part(side, k, f"part-{seed}") for side in ("src", "dst")]
-    return edges.filter(parts[0] == parts[1])
+    return parts[0] == parts[1]
+
+
+class _Layout:
+    """Edges laid out once, at both of their ends, for rounds that move only what vertices say.
+
+    Every edge stands at each end as ``id, other, priority``, shuffled and sorted
+    by ``id`` (a hot vertex in slots) and kept in memory and on disk. In a round
+    the vertices that still take part meet their edges where these lie; what is
+    shuffled is the first edge of each neighbour, already the least of its task,
+    and the pairs that name each other.
+    """
+
+    def __init__(self, halves: DataFrame, parts: int, hot: DataFrame | None):
+        self.parts, self.hot = parts, hot
+        self.keys = slot_keys("id", hot)
+        laid = with_slot(halves.select("id", "other", "priority"), "id", hot, by=["other"])
+        self.table = laid.repartition(parts, *self.keys).sortWithinPartitions(*self.keys).persist(StorageLevel.MEMORY_AND_DISK)
+
+    @staticmethod
+    def of(edges: DataFrame, parts: int, hot: DataFrame | None) -> _Layout:
+        end = [F.struct(F.col(x).alias("id"), F.col(y).alias("other"), "priority") for x, y in (("src", "dst"), ("dst", "src"))]
+        return _Layout(edges.select(F.inline(F.array(*end))), parts, hot)
+
+    def at(self, vertices: DataFrame) -> DataFrame:
+        """The edges at some vertices, from both of them where both are given."""
+        return self.table.join(fan_out(vertices, "id", self.hot), self.keys)
+
+    def decided(self, live: DataFrame | None) -> DataFrame:
+        """``src, dst, id, chosen``: pairs that name each other are chosen; of
+        others ``id`` is the vertex that named the edge and goes on.
+
+        Only vertices in ``live`` take part, all of them without it.
+        """
+        sent = self.table if live is None else self.at(live)
+        first = F.min(F.struct("priority", F.col("id").alias("mate"))).alias("first")
+        named = sent.groupBy(F.col("other").alias("id")).agg(first)
+        if live is not None:
+            named = named.join(live, "id")
+        pair = [f("id", "first.mate").alias(name) for f, name in ((F.least, "src"), (F.greatest, "dst"))]
+        met = named.select(*pair, "id").groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
+        return met.select("src", "dst", "id", (F.col("n") == 2).alias("chosen"))
+
+    def among(self, live: DataFrame) -> _Layout:
+        """The edges between live vertices, laid out anew: one shuffle."""
+        back = self.at(live).select(F.col("other").alias("id"), F.col("id").alias("other"), "priority")
+        smaller = _Layout(back.join(live, "id", "left_semi"), self.parts, self.hot)
+        smaller.table.count()
+        self.table.unpersist()
+        return smaller
+
+    def degrees(self) -> DataFrame:
+        """``id, degree``; the edges of a vertex lie together, so only those of hot ones are put together."""
+        return self.table.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
 
 
 class _Job:
@@ -106,79 +173,121 @@ class _Job:
     def __init__(self, spark):
         self.work = Workspace(spark)
         self.hot: DataFrame | None = None
+        self.parts = 1
         self.chosen: list[DataFrame] = []
 
-    def greedy(self, left: DataFrame, n_left: int, label: int | None = None) -> list[DataFrame]:
-        """Match the ``n_left`` edges of the written table ``left`` until none
-        is left.
+    def greedy(self, left: DataFrame, label: int | None = None) -> list[DataFrame]:
+        """Match the edges of ``left`` until none is left.
 
         ``label`` is the round number of the choices; without it each greedy
-        round has its own. A round is one job: it writes the chosen edges and
-        the edges that go on side by side.
+        round has its own. A round is one job, which writes the chosen edges and
+        the vertices that go on side by side. When few go on, the edges between
+        them are laid out anew, so that rounds do not walk over dead edges.
         """
-        new, done = [], 0
-        while n_left:
-            done += 1
-            number = F.lit(done if label is None else label)
-            chosen, rest, n_left = self.work.keep_split(_decided(left, self.hot), "chosen", "greedy")
-            new.append(chosen.select("src", "dst", number.alias("round")))
-            self.work.drop(left)
-            left = rest
+        new, done, live, rest, laid = [], 0, None, None, None
+        layout = _Layout.of(left, self.parts, self.hot)
+        try:
+            while True:
+                done += 1
+                number = F.lit(done if label is None else label)
+                before = rest
+                chosen, rest, going = self.work.keep_split(layout.decided(live), "chosen", "greedy")
+                self.work.drop(before)
+                if chosen is None:
+                    break
+                new.append(chosen.select("src", "dst", number.alias("round")))
+                if rest is None:
+                    break
+                live = rest.select("id")
+                if laid is None:
+                    laid = going
+                elif going * SPARSE < laid:
+                    layout, laid = layout.among(live), going
+        finally:
+            layout.table.unpersist()
         self.chosen += new
         return new
 
+    def draw(self, left: DataFrame, rounds: range, p: float, k: int, seed) -> dict[int, DataFrame]:
+        """The samples of several rounds by round, from one scan of the edges.
+
+        Whether an edge is sampled in a round, and in which parts its ends are
+        then, depends on the edge alone.
+        """
+        taken = F.array_compact(F.array(*[
+            F.when(_sampled(p, seed, r) & _in_one_part(k, f"{seed}-{r}"), F.lit(r)) for r in rounds]))
+        rows = left.select("*", F.explode(taken).alias("draw"))
+        spread = F.pmod(F.xxhash64("src", "dst"), F.lit(self.parts))
+        return self.work.keep_parts(rows.repartition(self.parts, "draw", spread) if len(rounds) > 1 else rows, "draw", rounds)
+
     def sampled(self, left: DataFrame, n_left: int, p: float, k: int, seed, done: int, last: float, stop: str):
         """Sampled rounds; what they leave, its size and the last round.
 
-        Whether an edge is sampled, and in which parts its ends are, depends on
-        the edge alone. So a round samples the first edges and takes off those
-        that touch a vertex matched by then: one scan, and nothing is written
-        but the sample. What is left is written once, at the end.
+        Samples are drawn for as many rounds at once as take ``DRAWN`` of the
+        edges; then the edges that touch no matched vertex are written as the
+        table that the next draw scans. In between only samples are read.
         """
-        matched, before = None, n_left
-
-        def rest() -> DataFrame:
-            return left if matched is None else residual_edges(left, matched, self.hot)
-
-        while n_left and done < last:
-            done += 1
-            sample = same_part(sample_edges(left, p, seed, done), k, f"{seed}-{done}")
-            if matched is not None:
-                sample = residual_edges(sample, matched, self.hot)
-            sample, seen = self.work.keep(sample, "sample")
-            if seen.get("rows"):
-                found = endpoints(_union(self.greedy(sample, seen["rows"], done))).select("id")
-                matched, _ = self.work.keep(found if matched is None else matched.unionAll(found), "matched")
-            else:
-                self.work.drop(sample)
-            if stop == "empty" and not seen.get("rows") and rest().isEmpty():
-                break
-            if stop == "unchanged":
-                n_left, before = rest().count(), n_left
-                if n_left == before:
+        degree = _Degrees(self, left) if stop == "degree_one" else None
+        over = False
+        while n_left and done < last and not over:
+            at_once = max(1, min(MOST_DRAWN, int(DRAWN / p))) if p > 0 else MOST_DRAWN
+            numbers = range(done + 1, int(min(done + at_once, last)) + 1)
+            drawn = self.draw(left, numbers, p, k, seed)
+            found, written = [], 0
+            for done in numbers:
+                new = []
+                if done in drawn:
+                    sample = residual_edges(drawn[done], self.matched(found), self.hot) if found else drawn[done]
+                    new = self.greedy(sample, done)
+                    found += new
+                if not new and stop == "empty" and len(found) > written:
+                    left, n_left = self.rest(left, found)
+                    written = len(found)
+                # A choice takes at least its own edge away.
+                over = not new and (stop == "unchanged" or stop == "empty" and not n_left)
+                if degree is not None:
+                    if new:
+                        degree.take(self.matched(new))
+                    over = degree.largest <= 1
+                if over:
                     break
-            if stop == "degree_one" and _largest_degree(rest()) <= 1:
-                break
-        if matched is None:
-            return left, n_left, done
-        kept, seen = self.work.keep(rest(), "left")
-        return kept, seen.get("rows"), done
-
-
-def _decided(left: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """Edges of one greedy round that are ``chosen`` or go on; edges that
-    only touch a chosen one are gone."""
-    picked = mutual_edges(left)
-    mates = picked.select(F.inline(F.array(
-        F.struct(F.col("src").alias("id"), F.col("dst").alias("mate")),
-        F.struct(F.col("dst").alias("id"), F.col("src").alias("mate")))))
-    marked = left
-    for side in ("src", "dst"):
-        mate = mates.select(F.col("id").alias(side), F.col("mate").alias(f"{side}_mate"))
-        marked = spread_join(marked, mate, side, hot, by=["src", "dst"], how="left")
-    chosen = F.coalesce(F.col("src_mate") == F.col("dst"), F.lit(False))
-    free = F.col("src_mate").isNull() & F.col("dst_mate").isNull()
-    return marked.withColumn("chosen", chosen).filter(F.col("chosen") | free).select(*left.columns, "chosen")
+            if len(found) > written:
+                left, n_left = self.rest(left, found)
+            for sample in drawn.values():
+                self.work.drop(sample)
+        if degree is not None:
+            degree.layout.table.unpersist()
+        return left, n_left, done
+
+    def matched(self, found: list[DataFrame]) -> DataFrame:
+        return endpoints(_union(found)).select("id")
+
+    def rest(self, left: DataFrame, found: list[DataFrame]) -> tuple[DataFrame, int]:
+        """The edges that touch none of the choices, written in place of ``left``, and their number."""
+        kept, seen = self.work.keep(residual_edges(left, self.matched(found), self.hot), "left")
+        self.work.drop(left)
+        return kept, seen.get("rows") or 0
+
+
+class _Degrees:
+    """Degrees of the vertices that are free, from which every round takes off the edges that went."""
+
+    def __init__(self, job: _Job, edges: DataFrame):
+        self.job, self.layout = job, _Layout.of(edges, job.parts, job.hot)
+        self._keep(self.layout.degrees())
+
+    def _keep(self, rows: DataFrame) -> None:
+        self.table, seen = self.job.work.keep(rows, "degrees", largest=F.max("degree"))
+        self.largest = seen.get("largest") or 0
+
+    def take(self, matched: DataFrame) -> None:
+        """Newly matched vertices go, and each edge to a free vertex with them."""
+        lost = self.layout.at(matched).groupBy(F.col("other").alias("id")).agg(F.count(F.lit(1)).alias("lost"))
+        free = self.table.join(matched, "id", "left_anti").join(lost, "id", "left")
+        left = free.select("id", (F.col("degree") - F.coalesce("lost", F.lit(0))).alias("degree"))
+        before = self.table
+        self._keep(left.filter("degree > 0"))
+        self.job.work.drop(before)
 
 
 def greedy_matching(edges: DataFrame, seed: int | None = 0, min_hot_rows: int | None = None) -> DataFrame:
@@ -228,9 +337,9 @@ def maximal_matching(
     if not n_left:
         return left.select("src", "dst", F.lit(0).alias("round"))
     job.hot = hot_vertices(left, min_rows=min_hot_rows)
-    with sized_shuffles(edges.sparkSession, n_left):
+    with sized_shuffles(edges.sparkSession, n_left) as job.parts:
         if method == "greedy":
-            job.greedy(left, n_left)
+            job.greedy(left)
         else:
             row = matching_params(edges, k_rounding).first()
             p = row["p"] if p is None else p
@@ -241,7 +350,7 @@ def maximal_matching(
             done = first_round - 1
             left, n_left, done = job.sampled(left, n_left, p, k, seed, done, done + limit, stop)
             if sweep and n_left:
-                job.greedy(left, n_left, done + 1)
+                job.greedy(left, done + 1)
     if not job.chosen:
         return left.limit(0).select("src", "dst", F.lit(0).alias("round"))
     return _union(job.chosen)
@@ -252,10 +361,6 @@ def _union(tables: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionAll, tables)
 
 
-def _largest_degree(edges: DataFrame) -> int:
-    return degrees(edges).agg(F.max("degree")).first()[0] or 0
-
-
 def _round_limit(rounds: int | str | None, params, n_edges: int, p: float) -> float:
     if rounds is None:
         return math.inf

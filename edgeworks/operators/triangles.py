@@ -1,14 +1,27 @@
-"""Triangles and local clustering.
+"""Triangles and local clustering, by cells of vertex colours.
 
-Edges are turned from the endpoint of lower degree to the one of higher degree
-(ties by id). No vertex then has more than sqrt(2E) out-neighbours, which
-bounds every neighbour list whatever the hubs look like. A triangle is a
-common out-neighbour of the two ends of exactly one edge, so the lists are
-intersected per edge; pairs of neighbours are never written out.
+Vertices are hashed to ``c`` colours. A cell is a choice of three colours, and
+each edge goes to the ``c`` cells that have both of its ends' colours, so a
+triangle has all of its edges in exactly one cell that matches its colours:
+what is shuffled is ``c`` times the edges, whatever lists the vertices have. In
+a cell, edges are turned from lower to higher degree, which bounds every list of
+neighbours by the square root of twice the cell's edges, and the lists stand
+sorted side by side; an edge is closed by looking the shorter of its ends' lists
+up among the edges of the other end.
+
+``c`` grows with the square root of the edges, so that a cell holds about
+``CELL_EDGES``. A vertex with more than an eighth of that is a hub: it would
+make all cells of its colour hot. Triangles with a hub are counted apart, by the
+lists of hubs next to the two ends of each edge; there are few hubs (fewer than
+16 times the edges by ``CELL_EDGES``), so these lists are short.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,57 +29,157 @@ from edgeworks.loop import Workspace
 from edgeworks.operators.graph import Graph, canonical_edges, degrees
 from edgeworks.operators.skew import hot_keys, spread_join
 
+#: Edges of a cell, about; a cell is not made smaller than the second for the sake of more tasks.
+CELL_EDGES, SMALL_CELL = 2_000_000, 100_000
+#: Candidates that are looked up at a time in a cell.
+LOOKED_UP = 1 << 21
+
+
+def colours_for(edges: int, tasks: int, cell_edges: int = CELL_EDGES, small_cell: int = SMALL_CELL) -> int:
+    """How many colours keep cells at ``cell_edges``, or below it while tasks would be idle.
+
+    A cell of three colours holds six edges in the square of the colours.
+    """
+    needed = math.ceil(math.sqrt(6 * edges / cell_edges))
+    sensible = math.isqrt(6 * edges // small_cell)
+    # Twice as many cells as tasks, for cells with equal colours are smaller.
+    wide = next(c for c in range(1, 2 * tasks + 1) if math.comb(c + 2, 3) >= 2 * tasks)
+    return max(1, needed, min(wide, sensible))
+
+
+def colour_cells(edges: DataFrame, colours: int) -> DataFrame:
+    """``cell, src, dst, a, b``: every edge once in each cell that has its ends' colours ``a`` and ``b``.
+
+    The cell of the colours x <= y <= z is numbered ``(x * colours + y) * colours + z``.
+    """
+    n = F.lit(colours).cast("bigint")
+    a, b = (F.pmod(F.xxhash64(side), n).cast("int").alias(name) for side, name in (("src", "a"), ("dst", "b")))
+    third = F.explode(F.sequence(F.lit(0), F.lit(colours - 1))).alias("c")
+    rows = edges.select("src", "dst", a, b).select("*", third)
+    low, high = F.least("a", "b", "c"), F.greatest("a", "b", "c")
+    middle = F.col("a") + F.col("b") + F.col("c") - low - high
+    return rows.select(((low * n + middle) * n + high).alias("cell"), "src", "dst", "a", "b")
+
+
+def _closer(colours: int, looked_up: int = LOOKED_UP):
+    """The function that closes the triangles of one cell; made here, so that workers need not have this package."""
 
-def _turned(work: Workspace, edges: DataFrame, degree: DataFrame, min_hot_rows: int | None) -> DataFrame:
-    """Edges ``low, high`` from lower to higher (degree, id)."""
-    hot = hot_keys(degree, "id", min_rows=min_hot_rows, count="degree")
-    rated = edges
-    for side in ("src", "dst"):
-        known = degree.select(F.col("id").alias(side), F.col("degree").alias(f"{side}_degree"))
-        rated = spread_join(rated, known, side, hot, by=["src", "dst"])
-    src, dst = F.struct("src_degree", "src"), F.struct("dst_degree", "dst")
-    return rated.select(
-        F.when(src < dst, F.col("src")).otherwise(F.col("dst")).alias("low"),
-        F.when(src < dst, F.col("dst")).otherwise(F.col("src")).alias("high"),
-    )
+    def close(rows: pa.Table) -> pa.Table:
+        cell, m = rows["cell"][0].as_py(), rows.num_rows
+        coded = pa.chunked_array(rows["src"].chunks + rows["dst"].chunks).combine_chunks().dictionary_encode()
+        ids, ends = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        n = len(ids)
+        colour = np.zeros(n, np.int64)
+        colour[ends] = np.concatenate([rows["a"].to_numpy(), rows["b"].to_numpy()])
+        by_degree = np.argsort(np.bincount(ends, minlength=n), kind="stable")
+        place = np.empty(n, np.int64)
+        place[by_degree] = np.arange(n)
+        colour = colour[by_degree]
+        u, v = place[ends[:m]], place[ends[m:]]
+        codes = np.sort(np.minimum(u, v) * n + np.maximum(u, v))
+        low, high = codes // n, codes % n
+        start = np.searchsorted(low, np.arange(n + 1))
+        out = np.diff(start)
+        near = np.where(out[low] < out[high], low, high)
+        edge = np.flatnonzero(out[near])
+        total = np.cumsum(out[near[edge]])
+        counts, at = np.zeros(n, np.int64), 0
+        wanted = sorted((cell // colours // colours, cell // colours % colours, cell % colours))
+        while at < len(edge):
+            done = total[at - 1] if at else 0
+            upto = max(at + 1, int(np.searchsorted(total, done + looked_up, "right")))
+            e = edge[at:upto]
+            lists, x, y = near[e], low[e], high[e]
+            size = out[lists]
+            first = np.repeat(start[lists] - np.cumsum(size) + size, size)
+            w = high[first + np.arange(len(first))]
+            other = np.repeat(x + y - lists, size)
+            key = other * n + w
+            hit = codes[np.minimum(np.searchsorted(codes, key), m - 1)] == key
+            x, y, w = np.repeat(x, size)[hit], np.repeat(y, size)[hit], w[hit]
+            if len(set(wanted)) < 3:
+                # Ends of one colour meet in more cells than the one that matches.
+                fits = (np.sort(np.stack([colour[x], colour[y], colour[w]]), axis=0) == np.array(wanted)[:, None]).all(axis=0)
+                x, y, w = x[fits], y[fits], w[fits]
+            for corner in (x, y, w):
+                counts += np.bincount(corner, minlength=n)
+            at = upto
+        found = np.flatnonzero(counts)
+        return pa.table([ids.take(pa.array(by_degree[found])), pa.array(counts[found])], ["id", "n"])
 
+    return close
 
-def _counted(graph: Graph, min_hot_rows: int | None) -> tuple[DataFrame, DataFrame]:
+
+def _in_cells(edges: DataFrame, n_edges: int, cell_edges: int) -> DataFrame:
+    """``id, n``: triangles of the vertices, cell by cell."""
+    tasks = edges.sparkSession.sparkContext.defaultParallelism
+    colours = colours_for(n_edges, tasks, cell_edges, min(SMALL_CELL, cell_edges))
+    kind = edges.schema["src"].dataType.simpleString()
+    # Small in bytes, a cell is much work: cells are not to be put together again.
+    cells = colour_cells(edges, colours).repartition(min(math.comb(colours + 2, 3), 4 * tasks), "cell")
+    return cells.groupBy("cell").applyInArrow(_closer(colours), f"id {kind}, n bigint")
+
+
+def _with_hubs(work: Workspace, marked: DataFrame, hubs: DataFrame) -> DataFrame:
+    """``id, n``: triangles with a hub; ``marked`` edges tell which ends are hubs.
+
+    Vertices are in an order, hubs last. A triangle's first two are an edge, and
+    its last is a hub in both of their lists of later hubs.
+    """
+    turned = F.col("src_hub") & ~F.col("dst_hub")
+    edges = marked.select(
+        F.when(turned, F.col("dst")).otherwise(F.col("src")).alias("u"),
+        F.when(turned, F.col("src")).otherwise(F.col("dst")).alias("v"),
+        (F.col("src_hub") | F.col("dst_hub")).alias("hub"))
+    lists, _ = work.keep(edges.filter("hub").groupBy(F.col("u").alias("id")).agg(F.collect_set("v").alias("later")), "hub-lists")
+    hot = hubs.withColumnRenamed(hubs.columns[0], "id")
+    met = edges.select("u", "v")
+    for side, other in (("u", "v"), ("v", "u")):
+        known = lists.select(F.col("id").alias(side), F.col("later").alias(f"{side}_later"))
+        met = spread_join(met, known, side, hot, by=[other])
+    met = met.select("u", "v", F.array_intersect("u_later", "v_later").alias("common")).filter(F.size("common") > 0)
+    n = F.size("common").cast("bigint")
+    credit = F.concat(
+        F.array(F.struct(F.col("u").alias("id"), n.alias("n")), F.struct(F.col("v").alias("id"), n.alias("n"))),
+        F.transform("common", lambda x: F.struct(x.alias("id"), F.lit(1).cast("bigint").alias("n"))))
+    return met.select(F.inline(credit))
+
+
+def _counted(graph: Graph, min_hot_rows: int | None, cell_edges: int | None) -> tuple[DataFrame, DataFrame]:
     """``id, triangles`` for vertices in triangles, and all degrees."""
+    cell_edges = CELL_EDGES if cell_edges is None else cell_edges
     work = Workspace(graph.edges.sparkSession)
-    edges, _ = work.keep(canonical_edges(graph.edges), "edges")
+    edges, seen = work.keep(canonical_edges(graph.edges), "edges")
     degree, _ = work.keep(degrees(edges), "degrees")
-    turned = _turned(work, edges, degree, min_hot_rows)
-    lists, _ = work.keep(turned.groupBy("low").agg(F.collect_list("high").alias("out")), "lists")
-    # The edges of a vertex stand in its own list, so they need no join. One
-    # out-neighbour closes nothing from this end.
-    walks = lists.filter(F.size("out") > 1).select("low", "out", F.explode("out").alias("high"))
-    ends = lists.select(F.col("low").alias("high"), F.col("out").alias("high_out"))
-    # How often a vertex is the higher end is bounded by its degree.
-    hot = hot_keys(degree, "id", min_rows=min_hot_rows, count="degree")
-    met = spread_join(walks, ends, "high", hot, by=["low"]).select(
-        "low", "high", F.array_intersect("out", "high_out").alias("common"))
-    n = F.size("common").cast("bigint")
-    credit = F.concat(
-        F.array(F.struct(F.col("low").alias("id"), n.alias("n")), F.struct(F.col("high").alias("id"), n.alias("n"))),
-        F.transform("common", lambda v: F.struct(v.alias("id"), F.lit(1).cast("bigint").alias("n"))),
-    )
-    credits = met.filter(F.size("common") > 0).select(F.inline(credit))
-    return credits.groupBy("id").agg(F.sum("n").alias("triangles")), degree
+    hubs = hot_keys(degree, "id", min_rows=max(1, cell_edges // 8) if min_hot_rows is None else min_hot_rows, count="degree")
+    if hubs is None:
+        credits = _in_cells(edges, seen["rows"], cell_edges)
+    else:
+        marked = edges
+        for side in ("src", "dst"):
+            flag = hubs.select(F.col("id").alias(side), F.lit(True).alias(f"{side}_hub"))
+            marked = spread_join(marked, flag, side, hubs, by=["src", "dst"], how="left")
+        marked = marked.na.fill(False, ["src_hub", "dst_hub"]).select("src", "dst", "src_hub", "dst_hub")
+        marked, _ = work.keep(marked, "marked")
+        plain = marked.filter("NOT src_hub AND NOT dst_hub").select("src", "dst")
+        credits = _in_cells(plain, seen["rows"], cell_edges).unionAll(_with_hubs(work, marked, hubs))
+    found, _ = work.keep(credits.groupBy("id").agg(F.sum("n").alias("triangles")), "triangles")
+    work.clear(degree, found)
+    return found, degree
 
 
-def triangle_count(graph: Graph, min_hot_rows: int | None = None) -> DataFrame:
+def triangle_count(graph: Graph, min_hot_rows: int | None = None, cell_edges: int | None = None) -> DataFrame:
     """``id, count`` for every vertex; direction, copies and loops of edges
-    do not matter."""
-    found, _ = _counted(graph, min_hot_rows)
+    do not matter. ``min_hot_rows`` is the degree above which a vertex is a hub."""
+    found, _ = _counted(graph, min_hot_rows, cell_edges)
     count = F.coalesce("triangles", F.lit(0)).cast("bigint")
     return graph.vertices.select("id").join(found, "id", "left").select("id", count.alias("count"))
 
 
-def clustering_coefficient(graph: Graph, min_hot_rows: int | None = None) -> DataFrame:
+def clustering_coefficient(graph: Graph, min_hot_rows: int | None = None, cell_edges: int | None = None) -> DataFrame:
     """``id, coefficient``: which share of the pairs of neighbours is joined;
     0 for a vertex with fewer than two neighbours."""
-    found, degree = _counted(graph, min_hot_rows)
+    found, degree = _counted(graph, min_hot_rows, cell_edges)
     d, t = F.col("degree"), F.coalesce("triangles", F.lit(0))
     share = F.when(d > 1, 2.0 * t / (d * (d - 1))).otherwise(F.lit(0.0))
     joined = graph.vertices.select("id").join(degree, "id", "left").join(found, "id", "left")

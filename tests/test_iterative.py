@@ -98,6 +98,33 @@ def test_triangles_by_hand(spark, hot, seed):
     assert dict(table(clustering_coefficient(g, min_hot_rows=hot))) == pytest.approx(share)
 
 
+@pytest.mark.parametrize("cell", [1, 20, 10_000])
+def test_triangles_in_cells_of_any_size(spark, monkeypatch, cell):
+    """One hub next to most vertices, with and without lists of its own, and cells from one colour to many."""
+    from edgeworks.operators import triangles
+
+    monkeypatch.setattr(triangles, "LOOKED_UP", 7)
+    rows = random_rows(25, vertices=40, count=200) + [(0, v) for v in range(1, 30)] + [(1, v) for v in range(2, 40)]
+    g = Graph.from_edges(edges(spark, rows))
+    want = triangles_by_hand(rows)[0]
+    for hot in (None, 10, 10_000):
+        assert dict(table(triangle_count(g, min_hot_rows=hot, cell_edges=cell))) == want, hot
+
+
+def test_edges_go_to_as_many_cells_as_there_are_colours(spark):
+    from edgeworks.operators.triangles import colour_cells, colours_for
+
+    assert [colours_for(e, 8) for e in (0, 10, 10**6, 10**8, 10**12)] == [1, 1, 4, 18, 1733]
+    assert colours_for(10**9, 4000) == 55
+    cells = table(colour_cells(edges(spark, undirected(random_rows(26))), 5))
+    assert len(cells) == 5 * len(undirected(random_rows(26))) == len(set(cells))
+    for cell, _, _, a, b in cells:
+        colours = [cell // 25, cell // 5 % 5, cell % 5]
+        assert colours == sorted(colours)
+        colours.remove(a)
+        assert b in colours
+
+
 def test_string_ids(spark):
     rows = [(f"v{a}", f"v{b}") for a, b in random_rows(23)]
     g = Graph.from_edges(edges(spark, rows, "string"))
