@@ -275,10 +275,11 @@ class _Degrees:
     def __init__(self, job: _Job, edges: DataFrame):
         self.job, self.layout = job, _Layout.of(edges, job.parts, job.hot)
         self._keep(self.layout.degrees())
+        self.laid = self.vertices
 
     def _keep(self, rows: DataFrame) -> None:
         self.table, seen = self.job.work.keep(rows, "degrees", largest=F.max("degree"))
-        self.largest = seen.get("largest") or 0
+        self.largest, self.vertices = seen.get("largest") or 0, seen.get("rows") or 0
 
     def take(self, matched: DataFrame) -> None:
         """Newly matched vertices go, and each edge to a free vertex with them."""
@@ -288,6 +289,8 @@ class _Degrees:
         before = self.table
         self._keep(left.filter("degree > 0"))
         self.job.work.drop(before)
+        if self.vertices * SPARSE < self.laid:
+            self.layout, self.laid = self.layout.among(self.table.select("id")), self.vertices
 
 
 def greedy_matching(edges: DataFrame, seed: int | None = 0, min_hot_rows: int | None = None) -> DataFrame:
@@ -313,6 +316,7 @@ def maximal_matching(
     first_round: int = 1,
     sweep: bool = True,
     min_hot_rows: int | None = None,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """``src, dst, round``: a maximal matching of the undirected edges.
 
@@ -323,7 +327,8 @@ def maximal_matching(
     ``rounds`` is a number, a limit by name, or None for no limit; ``stop``
     ends the rounds early when no edge is left, when a round removed none, or
     when no vertex has more than one edge. What is left is then matched
-    greedily, so the result is maximal whatever the sampling did.
+    greedily, so the result is maximal whatever the sampling did. The largest
+    degree is that of ``measured`` edges where they are given.
 
     Self-loops and copies of an edge do not matter.
     """
@@ -341,7 +346,7 @@ def maximal_matching(
         if method == "greedy":
             job.greedy(left)
         else:
-            row = matching_params(edges, k_rounding).first()
+            row = matching_params(edges if measured is None else measured, k_rounding).first()
             p = row["p"] if p is None else p
             k = row["k"] if k is None else k
             if rounds is None and p <= 0:
@@ -393,7 +398,7 @@ def matching_size(matching: DataFrame) -> DataFrame:
 
 
 def scored_matching(
-    links: DataFrame, rule: str | tuple[str, float] = "endpoint_mean", **options
+    links: DataFrame, rule: str | tuple[str, float] = "endpoint_mean", degrees_of: str = "chosen", **options
 ) -> DataFrame:
     """``src, dst, score, round``: a maximal matching of well scored links.
 
@@ -401,7 +406,11 @@ def scored_matching(
     mean of both ends over all links; ``"global_then_endpoint"``, first those
     at or above the mean of all links, then as before among these; ``("min",
     t)``, score at least t. A pair linked more than once has its best score.
+    ``degrees_of`` says whose largest degree the sampling follows: that of the
+    links that take part (``"chosen"``), or of ``"all"``.
     """
+    if degrees_of not in ("chosen", "all"):
+        raise ValueError(f"degrees_of must be chosen or all, not {degrees_of!r}")
     from edgeworks.operators.scores import (
         filter_above_endpoint_means,
         filter_above_mean,
@@ -419,4 +428,5 @@ def scored_matching(
     pairs = good.filter("src != dst").groupBy(
         F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).agg(F.max("score").alias("score"))
     pairs, _ = Workspace(links.sparkSession).keep(pairs, "pairs")
-    return pairs.join(maximal_matching(pairs, **options), ["src", "dst"])
+    measured = links if degrees_of == "all" else None
+    return pairs.join(maximal_matching(pairs, measured=measured, **options), ["src", "dst"])

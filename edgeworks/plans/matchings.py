@@ -184,6 +184,45 @@ def _(spark, d):
     return matching.maximal_matching(sales_edges(spark, d), p=0.5, k=1, rounds=3, seed=SEED)
 
 
+HALF = "0.5 AS p, 1 AS k"
+
+
+def _until(source, tables, limit, stop, most, inner, sweep, **options):
+    return f"""WITH {tables}, {rounds.mpc_until(source, SEED, limit, stop, most, inner, sweep, **options)}
+SELECT src, dst, round FROM matching"""
+
+
+@query("maximal_matching_log_delta", _until("scored_pairs", SCORED_PAIRS, "log_delta", "empty", 40, 6, 8))
+def _(spark, d):
+    # All settings as they are by default.
+    return matching.maximal_matching(scored_pairs(spark, d), seed=SEED)
+
+
+@query("maximal_matching_log_edges", _until("sales", SALES, "log_edges", "empty", 16, 6, 20))
+def _(spark, d):
+    return matching.maximal_matching(sales_edges(spark, d), rounds="log_edges", seed=SEED)
+
+
+@query("maximal_matching_log_edges_p", _until("sales", SALES, "log_edges_p", "empty", 6, 6, 20, k_rounding="ceil"))
+def _(spark, d):
+    return matching.maximal_matching(sales_edges(spark, d), rounds="log_edges_p", k_rounding="ceil", seed=SEED)
+
+
+@query("maximal_matching_no_limit", _until("sales", SALES, None, "empty", 12, 12, 1, fixed=HALF))
+def _(spark, d):
+    return matching.maximal_matching(sales_edges(spark, d), rounds=None, p=0.5, k=1, seed=SEED)
+
+
+@query("maximal_matching_unchanged", _until("sales", SALES, None, "unchanged", 12, 12, 8, fixed=HALF))
+def _(spark, d):
+    return matching.maximal_matching(sales_edges(spark, d), rounds=None, stop="unchanged", p=0.5, k=1, seed=SEED)
+
+
+@query("maximal_matching_degree_one", _until("sales", SALES, None, "degree_one", 12, 12, 8, fixed=HALF))
+def _(spark, d):
+    return matching.maximal_matching(sales_edges(spark, d), rounds=None, stop="degree_one", p=0.5, k=1, seed=SEED)
+
+
 @query("vertex_parts", f"""WITH {SALES}, ids AS (SELECT src AS id FROM sales UNION SELECT dst FROM sales)
 SELECT ({rounds.hash60('part', 'id')} % 8)::INT AS part, count(*) AS vertices FROM ids GROUP BY 1""")
 def _(spark, d):
@@ -221,3 +260,10 @@ def _(spark, d):
 SELECT src, dst, score, round FROM matching JOIN above USING (src, dst)""")
 def _(spark, d):
     return matching.scored_matching(scored_pairs(spark, d), "endpoint_mean", rounds=3, seed=SEED)
+
+
+@query("scored_matching_all_degrees", f"""WITH {MEANS}, {ABOVE.format(links='scored_pairs')},
+{rounds.mpc('above', SEED, 3, 8, 16, measured='scored_pairs')}
+SELECT src, dst, score, round FROM matching JOIN above USING (src, dst)""")
+def _(spark, d):
+    return matching.scored_matching(scored_pairs(spark, d), "endpoint_mean", degrees_of="all", rounds=3, seed=SEED)

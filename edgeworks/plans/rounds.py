@@ -74,7 +74,7 @@ def label_propagation(source: str, rounds: int) -> str:
     return ",\n".join(parts)
 
 
-def greedy(source: str, name: str, rounds: int, label: int | None = None) -> str:
+def greedy(source: str, name: str, rounds: int, label: int | str | None = None) -> str:
     """CTEs for greedy rounds over ``source(src, dst, priority)``; the choices
     are ``{name}_chosen(src, dst, round)`` and what is left ``{name}_left``."""
     parts, left = [], source
@@ -115,18 +115,18 @@ def params(source: str, k_rounding: str = "floor") -> str:
       SELECT src AS id FROM {source} UNION ALL SELECT dst FROM {source}) GROUP BY id)))"""
 
 
-def sample(left: str, name: str, seed: object, number: int) -> str:
+def sample(left: str, name: str, seed: object, number: int, only: str = "true") -> str:
     """Sampled edges of one round whose ends share a vertex part."""
     part = [f"{hash60(f'part-{seed}-{number}', side)} % (SELECT k FROM params)" for side in ("src", "dst")]
     return f"""{name} AS MATERIALIZED (
   SELECT * FROM {left}
   WHERE {uniform(f"edge-{seed}-{number}", "src", "dst")} < (SELECT p FROM params)
-    AND {part[0]} = {part[1]})"""
+    AND {part[0]} = {part[1]} AND {only})"""
 
 
-def mpc(source: str, seed: object, rounds: int, inner: int, sweep: int, fixed: str | None = None) -> str:
-    """CTEs up to ``matching(src, dst, round)``; ``fixed`` gives p and k."""
-    given = params(source) if fixed is None else f"params AS (SELECT {fixed})"
+def mpc(source: str, seed: object, rounds: int, inner: int, sweep: int, fixed: str | None = None, measured: str | None = None) -> str:
+    """CTEs up to ``matching(src, dst, round)``; ``fixed`` gives p and k, else the degrees of ``measured`` or the source do."""
+    given = params(measured or source) if fixed is None else f"params AS (SELECT {fixed})"
     parts, left, chosen = [given, prioritised(source, seed)], "queue", []
     for i in range(1, rounds + 1):
         parts.append(sample(left, f"s{i}", seed, i))
@@ -139,3 +139,43 @@ def mpc(source: str, seed: object, rounds: int, inner: int, sweep: int, fixed: s
         chosen.append("final_chosen")
     parts.append("matching AS (" + " UNION ALL ".join(f"SELECT * FROM {c}" for c in chosen) + ")")
     return ",\n".join(parts)
+
+
+#: Limits of the rounds by name, over the CTEs ``params`` and ``queue``; without one the rounds written out suffice.
+LIMITS = {
+    "log_delta": "(SELECT max_rounds FROM params)",
+    "log_edges": "(SELECT ceil(ln(count(*))) FROM queue)",
+    "log_edges_p": "(SELECT ceil(ln(count(*)) / ln(1 / (SELECT p FROM params))) FROM queue)",
+    None: "1000000",
+}
+
+#: When the round after round ``i`` runs.
+GOES_ON = {
+    "empty": "EXISTS (SELECT 1 FROM rest{i})",
+    "unchanged": "EXISTS (SELECT 1 FROM m{i}_chosen)",
+    "degree_one": """coalesce((SELECT max(n) FROM (
+  SELECT count(*) AS n FROM (SELECT src AS id FROM rest{i} UNION ALL SELECT dst FROM rest{i}) GROUP BY id)), 0) > 1""",
+}
+
+
+def mpc_until(
+    source: str, seed: object, limit: str | None, stop: str, most: int, inner: int, sweep: int,
+    fixed: str | None = None, k_rounding: str = "floor",
+) -> str:
+    """As ``mpc``, with rounds up to a limit by name or until a stop rule holds; ``most`` rounds are written out."""
+    given = params(source, k_rounding) if fixed is None else f"params AS (SELECT {fixed})"
+    parts, left, chosen = [given, prioritised(source, seed)], "queue", []
+    for i in range(1, most + 1):
+        last = f"(SELECT on_ FROM go{i - 1}) AND {GOES_ON[stop].format(i=i - 1)}" if i > 1 else "true"
+        parts.append(f"go{i} AS MATERIALIZED (SELECT {i} <= {LIMITS[limit]} AND {last} AS on_)")
+        parts.append(sample(left, f"s{i}", seed, i, f"(SELECT on_ FROM go{i})"))
+        parts.append(greedy(f"s{i}", f"m{i}", inner, label=i))
+        parts.append(residual(left, f"m{i}_chosen", f"rest{i}"))
+        left = f"rest{i}"
+        chosen.append(f"m{i}_chosen")
+    done = " + ".join(f"(SELECT on_::INT FROM go{i})" for i in range(1, most + 1))
+    parts.append(f"ended AS MATERIALIZED (SELECT ({done} + 1)::INT AS label)")
+    parts.append(greedy(left, "final", sweep, label="(SELECT label FROM ended)"))
+    chosen.append("final_chosen")
+    parts.append("matching AS (" + " UNION ALL ".join(f"SELECT * FROM {c}" for c in chosen) + ")")
+    return ",\n".join(parts)

@@ -3,7 +3,7 @@
 import hashlib
 
 import pytest
-from data import edges, links, random_rows, table, undirected
+from data import PARTS, edges, links, random_rows, table, undirected
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -143,3 +143,85 @@ def test_scored_matching(spark, rule):
     assert pairs(found) == greedy_by_hand([r[:2] for r in good], 2)
     best = {r[:2]: r[2] for r in good}
     assert all(r["score"] == best[r["src"], r["dst"]] for r in found.collect())
+
+
+def laid_out(spark, rows, hot=None):
+    e = matching.with_priority(spark.createDataFrame(undirected(rows), "src bigint, dst bigint"), 0)
+    layout = matching._Layout.of(e, PARTS, matching.hot_vertices(e, min_rows=hot) if hot else None)
+    layout.table.count()
+    return layout
+
+
+def test_a_greedy_round_shuffles_no_edge(spark):
+    """Edges lie in the layout; only vertices, their first edges and named pairs move."""
+    layout = laid_out(spark, random_rows(31))
+    live = spark.range(0, 25).repartition(PARTS, "id").persist()
+    live.count()
+    found = layout.decided(live)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert 1 <= len(moved) <= 3
+    for line in moved:
+        # By the vertex that is told (after partial least), by the vertices themselves, by the pair.
+        assert any(f"hashpartitioning({key}" in line for key in ("id#", "other#", "src#", "_groupingexpression#")), line
+    assert "min(struct(priority" in plan
+    live.unpersist()
+    layout.table.unpersist()
+
+
+@pytest.mark.parametrize("hot", [None, 4], ids=["plain", "divided"])
+def test_laid_out_anew_the_live_edges_remain(spark, hot):
+    rows = random_rows(32)
+    keep = set(range(0, 30, 2)) | {1, 3}
+    live = spark.createDataFrame([(v,) for v in keep], "id bigint")
+    smaller = laid_out(spark, rows, hot).among(live)
+    want = [(a, b) for a, b in undirected(rows) if a in keep and b in keep]
+    assert table(smaller.table.select("id", "other")) == sorted(want + [(b, a) for a, b in want])
+    smaller.table.unpersist()
+
+
+@pytest.mark.parametrize("hot", [None, 4], ids=["plain", "divided"])
+def test_degrees_are_taken_off(spark, hot):
+    from collections import Counter
+
+    rows = undirected(random_rows(33))
+    e = matching.with_priority(spark.createDataFrame(rows, "src bigint, dst bigint"), 0)
+    job = matching._Job(spark)
+    job.parts, job.hot = PARTS, matching.hot_vertices(e, min_rows=hot) if hot else None
+    degree, gone = matching._Degrees(job, e), set()
+    for newly in ({0, 5}, {3}, set(range(6, 25))):
+        gone |= newly
+        degree.take(spark.createDataFrame([(v,) for v in newly], "id bigint"))
+        want = Counter(v for a, b in rows if a not in gone and b not in gone for v in (a, b))
+        assert dict(table(degree.table)) == want and degree.largest == max(want.values(), default=0)
+    degree.layout.table.unpersist()
+
+
+def test_sampled_rounds_scan_few_edges(spark, monkeypatch):
+    """All draws and all residuals of a matching with the default limit read at most three times the edges."""
+    rows = random_rows(34, vertices=200, count=1500)
+    read = []
+    draw, rest = matching._Job.draw, matching._Job.rest
+    monkeypatch.setattr(matching._Job, "draw", lambda self, left, *a: (read.append(left.count()), draw(self, left, *a))[1])
+    monkeypatch.setattr(matching._Job, "rest", lambda self, left, found: (read.append(left.count()), rest(self, left, found))[1])
+    e = edges(spark, rows)
+    check(maximal_matching(e, seed=1), rows, e)
+    assert len(read) >= 2 and sum(read) <= 3 * len(undirected(rows))
+
+
+def test_samples_of_many_rounds_are_those_of_each(spark):
+    e = matching.with_priority(spark.createDataFrame(undirected(random_rows(35)), "src bigint, dst bigint"), 0)
+    job = matching._Job(spark)
+    drawn = job.draw(e, range(3, 9), 0.2, 2, 7)
+    for number in range(3, 9):
+        want = table(matching.same_part(matching.sample_edges(e, 0.2, 7, number), 2, f"7-{number}"))
+        assert (table(drawn[number].select(*e.columns)) if number in drawn else []) == want
+
+
+def test_degree_over_all_links(spark):
+    rows = [(f"a{k % 9}", f"b{k}", float(k % 7)) for k in range(60)]
+    both = [table(scored_matching(links(spark, rows), ("min", 6.0), degrees_of=x, rounds=1, sweep=False)) for x in ("chosen", "all")]
+    assert both[0] != both[1]
+    with pytest.raises(ValueError):
+        scored_matching(links(spark, rows), degrees_of="some")
