@@ -27,6 +27,7 @@ HEADLINE = [
     "clustering_coefficient",
     "maximal_matching_greedy",
     "maximal_matching_mpc",
+    "maximal_matching_log_delta",
     "scored_matching_endpoint",
     "matmul_broadcast",
     "matmul_shuffle",

@@ -27,8 +27,8 @@ SAMPLE_EXPONENT = -0.77
 PARTS_EXPONENT = 0.12
 ROUND_BASE = 1.1
 
-#: Share of the edges that is drawn at once, and the most rounds that it is drawn for.
-DRAWN, MOST_DRAWN = 0.5, 128
+#: Edges that are drawn at once, as a share of all, and the most rounds that it is drawn for.
+DRAWN, MOST_DRAWN = 1.0, 128
 #: Edges are laid out anew when fewer than one in so many of their vertices goes on.
 SPARSE = 4
 
@@ -225,22 +225,25 @@ class _Job:
 
         Samples are drawn for as many rounds at once as take ``DRAWN`` of the
         edges; then the edges that touch no matched vertex are written as the
-        table that the next draw scans. In between only samples are read.
+        table that the next draw scans. In between only samples are read, so all
+        rounds together scan about three times the edges at most.
         """
         degree = _Degrees(self, left) if stop == "degree_one" else None
-        over = False
+        over, most, read = False, 2 * n_left, 0
         while n_left and done < last and not over:
             at_once = max(1, min(MOST_DRAWN, int(DRAWN / p))) if p > 0 else MOST_DRAWN
             numbers = range(done + 1, int(min(done + at_once, last)) + 1)
             drawn = self.draw(left, numbers, p, k, seed)
-            found, written = [], 0
+            found, written, read = [], 0, read + n_left
             for done in numbers:
                 new = []
                 if done in drawn:
                     sample = residual_edges(drawn[done], self.matched(found), self.hot) if found else drawn[done]
                     new = self.greedy(sample, done)
                     found += new
-                if not new and stop == "empty" and len(found) > written:
+                # Nothing sampled may mean that nothing is left. It is looked up while that is cheap.
+                if not new and stop == "empty" and len(found) > written and read + n_left <= most:
+                    read += n_left
                     left, n_left = self.rest(left, found)
                     written = len(found)
                 # A choice takes at least its own edge away.
@@ -252,6 +255,7 @@ class _Job:
                 if over:
                     break
             if len(found) > written:
+                read += n_left
                 left, n_left = self.rest(left, found)
             for sample in drawn.values():
                 self.work.drop(sample)

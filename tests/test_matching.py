@@ -199,14 +199,14 @@ def test_degrees_are_taken_off(spark, hot):
 
 
 def test_sampled_rounds_scan_few_edges(spark, monkeypatch):
-    """All draws and all residuals of a matching with the default limit read at most three times the edges."""
-    rows = random_rows(34, vertices=200, count=1500)
+    """All draws and all residuals of a matching read at most three times the edges."""
+    rows = random_rows(34, vertices=60, count=300)
     read = []
     draw, rest = matching._Job.draw, matching._Job.rest
     monkeypatch.setattr(matching._Job, "draw", lambda self, left, *a: (read.append(left.count()), draw(self, left, *a))[1])
     monkeypatch.setattr(matching._Job, "rest", lambda self, left, found: (read.append(left.count()), rest(self, left, found))[1])
     e = edges(spark, rows)
-    check(maximal_matching(e, seed=1), rows, e)
+    check(maximal_matching(e, seed=1, rounds=14), rows, e)
     assert len(read) >= 2 and sum(read) <= 3 * len(undirected(rows))
 
 
