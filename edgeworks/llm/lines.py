@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from edgeworks.loop import Workspace
+
 RATIO = 0.1
 MIN_PAGES = 5
 BROADCAST_LINES = 50_000
@@ -67,16 +69,19 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
 def drop_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, by_text: bool = False) -> DataFrame:
     """``pages`` with ``lines`` and ``kept``, the lines that stay, in their order.
 
-    Needs the columns ``site`` and ``lines``; every other column is kept.
+    Needs the columns ``site`` and ``lines``; every other column is kept, but
+    one named ``kept`` is replaced.
     """
     found = boilerplate(pages.select("site", "lines"), ratio, min_pages, by_text)
-    per_site = found.groupBy("site").agg(F.collect_list("digest").alias("__dropped"))
-    # The lines of the found table are few; keep what was counted, so that counting and joining agree.
-    n = per_site.agg(F.sum(F.size("__dropped"))).first()[0] or 0
-    joined = pages.join(F.broadcast(per_site) if n <= BROADCAST_LINES else per_site, "site", "left")
-    kept = F.when(F.col("__dropped").isNull(), F.col("lines")).otherwise(
-        F.filter("lines", lambda x: ~F.array_contains(F.col("__dropped"), F.md5(x))))
-    return joined.withColumn("kept", kept).drop("__dropped")
+    name = next(x for x in (f"dropped_{k}" for k in range(len(pages.columns) + 1)) if x not in pages.columns)
+    # Written, so that what was counted is what is joined, and is found once.
+    per_site, seen = Workspace(pages.sparkSession).keep(
+        found.groupBy("site").agg(F.collect_list("digest").alias(name)), "boilerplate", lines=F.sum(F.size(name)))
+    few = (seen.get("lines") or 0) <= BROADCAST_LINES
+    joined = pages.join(F.broadcast(per_site) if few else per_site, "site", "left")
+    kept = F.when(F.col(name).isNull(), F.col("lines")).otherwise(
+        F.filter("lines", lambda x: ~F.array_contains(F.col(name), F.md5(x))))
+    return joined.withColumn("kept", kept).drop(name)
 
 
 def page_report(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:

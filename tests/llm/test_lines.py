@@ -36,3 +36,9 @@ def test_by_shuffle(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "s", ["menu", str(i)]) for i in range(9)], "doc_id long, site string, lines array<string>")
     monkeypatch.setattr(lines, "BROADCAST_LINES", -1)
     assert sorted(r.kept[0] for r in lines.drop_boilerplate(docs).collect()) == [str(i) for i in range(9)]
+
+
+def test_columns_of_any_name_are_kept(spark):
+    docs = spark.createDataFrame([(i, "s", ["menu", str(i)], "x", "y", "z") for i in range(9)], "doc_id long, site string, lines array<string>, __dropped string, dropped_0 string, kept string")
+    got = lines.drop_boilerplate(docs).collect()
+    assert all((r["__dropped"], r.dropped_0, r.kept) == ("x", "y", [str(r.doc_id)]) for r in got) and len(got) == 9
