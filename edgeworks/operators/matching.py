@@ -229,7 +229,7 @@ class _Job:
         rounds together scan about three times the edges at most.
         """
         degree = _Degrees(self, left) if stop == "degree_one" else None
-        over, most, read = False, 2 * n_left, 0
+        over, most, read = False, 5 * n_left // 2, 0
         while n_left and done < last and not over:
             at_once = max(1, min(MOST_DRAWN, int(DRAWN / p))) if p > 0 else MOST_DRAWN
             numbers = range(done + 1, int(min(done + at_once, last)) + 1)
