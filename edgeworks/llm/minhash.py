@@ -9,11 +9,15 @@
 3. ``BANDS`` bands of ``ROWS`` bins are buckets. At a likeness of 0.8 a pair
    misses all of them with a probability below 1e-8.
 4. Inside a bucket candidates are a star: one centre against the others, never
-   all pairs. Candidates are confirmed on the full sets, links make components,
-   and what a bucket still holds of different components gets further centres,
-   twice as many each round, until no pair of different components is left that
-   was not compared. So no link between components is lost, and groups of real
-   copies cost one star.
+   all pairs. Candidates are confirmed on the full sets, and links make
+   components, so a group of real copies costs one star.
+5. What a bucket still holds of different components falls into smaller ones by
+   the rarest of the shingles in which its texts differ from the centre, as many
+   as an exact bound requires. Stars go on there, with eight times as many
+   centres each round, until every pair of different components was compared
+   that the bound on shared differences does not rule out. So no link between
+   components is lost, and texts that differ from a common one each in its own
+   way, as edits of it do, are not paired.
 
 Each round's tables are written to the shared folder. Nothing is collected but
 row counts.
@@ -25,10 +29,12 @@ other. A null doc_id never is a component's id unless it has no other.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgeworks.llm.common import per_batch, texts
@@ -97,55 +103,79 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
     return per_batch(docs, run, "node binary, shingles array<long>")
 
 
-def _stars(members: DataFrame, centres: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate edges ``(a, b, weight)``, a being a centre, and the centres ``(bucket, node)``.
+def _stars(members: DataFrame, centres: int, can: Callable[[Callable], Column]) -> tuple[DataFrame, DataFrame]:
+    """Candidate edges ``(low, high, a, b)``, a being a centre, and the centres ``(bucket, node)``.
 
-    The centre of a part of a bucket is the member that meets most others in
-    its own buckets, as the text does that others are edited from. A pair whose
-    sizes differ too much can't be alike, nor one whose common pivot tells so:
-    two sets share at most the lesser of what each has in common with the
-    pivot, and the lesser number of their other shingles that anybody shares.
+    The centre of a part of a bucket is, of those that may lead, the member that
+    meets most others in its own buckets, as the text does that others are
+    edited from. ``can`` says by both members' columns whether they may be alike.
     """
-    part = F.pmod(F.xxhash64("node"), F.lit(centres))
-    picked = members.groupBy("bucket", part.alias("part")).agg(F.max(F.struct("weight", "node", "n", "root", "pivot", "inside", "beside")).alias("c")).select("bucket", "c")
+    facts = F.struct("weight", "node", *[x for x in members.columns if x not in ("bucket", "weight", "node", "lead")])
+    part = F.pmod(F.xxhash64("node"), F.lit(centres)).alias("part")
+    picked = members.filter("lead").groupBy("bucket", part).agg(F.max(facts).alias("c")).select("bucket", "c")
     c = lambda name: F.col(f"c.{name}")
-    fits = F.least("n", c("n")) * 100 >= F.greatest("n", c("n")) * percent
-    most = F.least("inside", c("inside")) + F.least("beside", c("beside"))
-    can = ~F.col("pivot").eqNullSafe(c("pivot")) | F.col("pivot").isNull() | (most * 100 >= (F.col("n") + c("n") - most) * percent)
-    pairs = members.join(picked, "bucket").filter((F.col("root") != c("root")) & fits & can)
+    pairs = members.join(picked, "bucket").filter((F.col("root") != c("root")) & can(c))
     one = F.max(F.struct(c("weight").alias("weight"), c("node").alias("a"), F.col("node").alias("b"))).alias("e")
     edges = pairs.groupBy(F.least("node", c("node")).alias("low"), F.greatest("node", c("node")).alias("high")).agg(one)
-    return edges.select("low", "high", "e.a", "e.b", "e.weight"), picked.select("bucket", c("node").alias("node"))
+    return edges.select("low", "high", "e.a", "e.b"), picked.select("bucket", c("node").alias("node"))
 
 
-def _compared(edges: DataFrame, sets: DataFrame, percent: int, rest: bool) -> DataFrame:
-    """Edges with the size of their sets' intersection and whether they are links.
+def _compared(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges with whether their full sets make them links.
 
     The centre's set joins first, while rows are light: a centre of a large
     group is a hot key there, which adaptive execution splits.
     """
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    found = edges.join(left, "a").join(right, "b").withColumn("inside", both)
+    found = edges.join(left, "a").join(right, "b").withColumn("inside", F.size(F.array_intersect("sa", "sb")))
     link = F.col("inside") * 100 >= (F.size("sa") + F.size("sb") - F.col("inside")) * percent
-    more = [F.array_except("sb", "sa").alias("rest"), F.size("sa").alias("na")] if rest else []
-    return found.select("low", "high", "a", "b", "weight", "inside", link.alias("link"), *more)
+    return found.select("low", "high", "a", "b", link.alias("link"))
 
 
-def _pivots(work: Workspace, compared: DataFrame) -> DataFrame:
-    """``(node, pivot, inside, beside)``: of each node the weightiest centre it was compared with.
+def _apart(work: Workspace, members: DataFrame, picked: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members of what open buckets fall into, by how each text differs from the bucket's centre.
 
-    ``inside`` counts the shingles shared with the pivot, ``beside`` those of
-    the others that another node of the same pivot has as well.
+    With ``d`` the number of shingles that only one of a text and the centre
+    has, two texts of ``n`` and ``m`` shingles are alike only if they share
+    ``(d + e - (n + m) * q) / 2`` of these differences, ``q`` being
+    ``(100 - percent) / (100 + percent)``, and one at least unless both are
+    linked to the centre. So, rarest first, the first difference they share
+    stands at most ``n * (100 - percent) / percent`` places behind each
+    one's first (here it becomes their bucket), and at most half of that behind
+    in the one with fewer (which may lead there). Differences of a single text
+    take places, but make no bucket.
     """
-    met = compared.select(F.col("b").alias("node"), F.struct("weight", F.col("a").alias("pivot"), "inside", "rest").alias("p"))
-    own = compared.select(F.col("a").alias("node"), F.struct("weight", F.col("a").alias("pivot"), F.col("na").alias("inside"), F.array().cast("array<bigint>").alias("rest")).alias("p"))
-    best, _ = work.keep(met.union(own).groupBy("node").agg(F.max("p").alias("p")).select("node", "p.pivot", "p.inside", "p.rest"), "pivots")
-    each = best.select("node", "pivot", F.explode("rest").alias("shingle"))
-    common, _ = work.keep(each.groupBy("pivot", "shingle").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k"), "common")
-    beside = each.join(common, ["pivot", "shingle"]).groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("beside"))
-    return best.drop("rest").join(beside, "node", "left").select("node", "pivot", "inside", F.coalesce("beside", F.lit(0)).alias("beside"))
+    centre = F.col("centre")
+    met = members.select("bucket", "node").join(picked.withColumnRenamed("node", "centre"), "bucket").filter(F.col("node") != centre).select("centre", "node").distinct()
+    one = sets.select("node", F.col("shingles").alias("s"))
+    other = sets.select(F.col("node").alias("centre"), F.col("shingles").alias("t"))
+    items = F.concat(F.array_except("s", "t"), F.array_except("t", "s")).alias("items")
+    diffs, _ = work.keep(met.join(other, "centre").join(one, "node").select("centre", "node", items), "differences")
+    each = diffs.select("centre", "node", F.explode("items").alias("item"))
+    common = each.groupBy("centre", "item").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    found = each.join(common, ["centre", "item"]).groupBy("centre", "node").agg(F.array_sort(F.collect_list(F.struct("k", "item"))).alias("found"))
+    rows = found.join(diffs.select("centre", "node", F.size("items").alias("size")), ["centre", "node"])
+    rows = rows.select("centre", "node", "size", (F.col("size") - F.size("found")).alias("alone"), F.posexplode("found").alias("at", "x"))
+    known = members.select("node", "n", "root", "weight").distinct()
+    behind = F.col("alone") + F.col("at")
+    rows = rows.join(known, "node").filter(behind * percent <= F.col("n") * (100 - percent))
+    lead = behind * 2 * percent <= F.col("n") * (100 - percent)
+    out, _ = work.keep(rows.select(F.struct("centre", "x.item").alias("bucket"), "weight", "node", "n", "root", "size", (F.col("size") - behind).alias("ahead"), lead.alias("lead")), "apart")
+    work.drop(diffs)
+    return out
+
+
+def _open(work: Workspace, members: DataFrame) -> tuple[DataFrame, int]:
+    """Members of buckets that hold different components and one that may lead, and their number."""
+    mixed = members.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("lead").alias("any")).filter("x <> y AND any").select("bucket")
+    mixed, some = work.keep(mixed, "mixed")
+    if not some["rows"]:
+        return members, 0
+    found, seen = work.keep(members.join(mixed, "bucket"), "open")
+    work.drop(mixed)
+    work.drop(members)
+    return found, seen["rows"]
 
 
 def links(work: Workspace, docs: DataFrame, signs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -153,27 +183,34 @@ def links(work: Workspace, docs: DataFrame, signs: DataFrame, words: int, percen
     nodes, _ = work.keep(signs.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("keys").alias("keys")), "nodes")
     rows = nodes.select("node", "n", "doc_id", F.explode("keys").alias("bucket"))
     shared, _ = work.keep(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "shared")
-    members, seen = work.keep(rows.join(shared, "bucket").select("bucket", "node", "n", "doc_id", "k"), "members")
-    none = work.spark.createDataFrame([], "node binary, root binary")
+    met, seen = work.keep(rows.join(shared, "bucket").select("bucket", "node", "n", "doc_id", "k"), "members")
+    work.drop(nodes)
+    work.drop(shared)
+    roots = work.spark.createDataFrame([], "node binary, root binary")
     if not seen["rows"]:
-        return none
-    wanted, _ = work.keep(members.groupBy("node").agg(F.first("doc_id").alias("of"), F.sum("k").alias("weight")), "wanted")
+        return roots
+    wanted, _ = work.keep(met.groupBy("node").agg(F.first("doc_id").alias("of"), F.sum("k").alias("weight")), "wanted")
     sets, _ = work.keep(full_sets(docs.join(wanted.select("of"), docs["doc_id"].eqNullSafe(F.col("of")), "left_semi"), words), "sets")
-    unknown = [F.lit(None).cast("binary").alias("pivot"), F.lit(None).cast("int").alias("inside"), F.lit(None).cast("int").alias("beside")]
-    members, _ = work.keep(members.join(wanted.select("node", "weight"), "node").select("bucket", "node", "n", F.col("node").alias("root"), "weight", *unknown), "open")
-    roots, tested, centres = none, None, 1
+    members, _ = work.keep(met.join(wanted.select("node", "weight"), "node").select("bucket", "weight", "node", "n", F.col("node").alias("root"), F.lit(True).alias("lead")), "open")
+    work.drop(met)
+    work.drop(wanted)
+
+    def sizes(c):
+        return F.least("n", c("n")) * 100 >= F.greatest("n", c("n")) * percent
+
+    def enough(c):
+        shared = 2 * F.least("ahead", c("ahead"))
+        return sizes(c) & (shared * (100 + percent) >= (F.col("size") + c("size")) * (100 + percent) - (F.col("n") + c("n")) * (100 - percent))
+
+    tested, centres, can = None, 1, sizes
     while True:
-        edges, picked = _stars(members, centres, percent)
+        edges, picked = _stars(members, centres, can)
         picked, _ = work.keep(picked, "picked")
         if tested is not None:
             edges = edges.join(tested, ["low", "high"], "left_anti")
         edges, some = work.keep(edges, "edges")
-        moved = None
         if some["rows"]:
-            compared, found = work.keep(_compared(edges, sets, percent, tested is None), "compared", links=F.count_if("link"))
-            if tested is None:
-                pivots, _ = work.keep(_pivots(work, compared), "known")
-                members = members.drop("pivot", "inside", "beside").join(pivots, "node", "left").select(*members.columns)
+            compared, found = work.keep(_compared(edges, sets, percent), "compared", links=F.count_if("link"))
             seen_now = compared.select("low", "high")
             tested = seen_now if tested is None else tested.union(seen_now)
             if found["links"]:
@@ -184,15 +221,19 @@ def links(work: Workspace, docs: DataFrame, signs: DataFrame, words: int, percen
                 moved = new.select(F.col("node").alias("of"), F.col("root").alias("to"))
                 later = roots.join(moved, F.col("root") == F.col("of"), "left").select("node", F.coalesce("to", "root").alias("root"))
                 roots, _ = work.keep(later.union(new.join(roots.select("node"), "node", "left_anti").select("node", "root")), "roots")
-                members = members.join(moved, F.col("root") == F.col("of"), "left").withColumn("root", F.coalesce("to", "root")).drop("of", "to")
+                columns = members.columns
+                members = members.join(moved, F.col("root") == F.col("of"), "left").withColumn("root", F.coalesce("to", "root")).select(*columns)
+        work.drop(edges)
         # Centres have met every other member of their bucket; a bucket of one component is done.
         left, _ = work.keep(members.join(picked, ["bucket", "node"], "left_anti"), "left")
-        mixed = left.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("bucket")
-        mixed, some = work.keep(mixed, "mixed")
-        if not some["rows"]:
+        members, some = _open(work, left)
+        if some and can is sizes:
+            members, some = _open(work, _apart(work, members, picked, sets, percent))
+            can, centres = enough, 2
+        work.drop(picked)
+        if not some:
             return roots
-        members, _ = work.keep(left.join(mixed, "bucket"), "open")
-        centres *= 4
+        centres *= 8
 
 
 def near_duplicates(

@@ -73,6 +73,68 @@ def test_a_crowd_of_unlike_texts_in_shared_buckets(spark, draw, monkeypatch):
     assert got == brute(texts, 2)
 
 
+def crowd(draw, size, edits, words=60):
+    """Edits of one text, each at places and with words of its own; the text itself is not there."""
+    base, texts = prose(draw, words, 5000).split(), []
+    for _ in range(size):
+        w = list(base)
+        for at in draw.sample(range(words), draw.choice(edits)):
+            w[at] = f"z{draw.randrange(10**9)}"
+        texts.append(" ".join(w))
+    return texts
+
+
+def test_crowds_on_the_edge_of_likeness(spark, draw):
+    """Without the text that they come from, some are links, most are not quite."""
+    texts = crowd(draw, 60, [1, 2, 3]) + crowd(draw, 60, [3]) + crowd(draw, 40, [2, 4, 8]) + crowd(draw, 40, [1, 2], 25)
+    for k, bands, rows in ((2, 48, 5), (5, 60, 1)):
+        got = sorted(tuple(r) for r in minhash.near_duplicates(documents(spark, texts), words=k, bands=bands, rows=rows).collect())
+        assert got == brute(texts, k)
+
+
+def test_differences_bring_alike_texts_together(draw):
+    """The bound itself, over random sets: alike ones meet in a difference where one may lead, or are linked to the centre."""
+    for percent in (60, 80, 90):
+        for _ in range(1500):
+            base = set(range(draw.randrange(4, 40)))
+            c, a, b = (frozenset((base - set(draw.sample(sorted(base), draw.randrange(0, 4)))) | {draw.randrange(100, 112) for _ in range(draw.randrange(4))}) for _ in range(3))
+            if not (a and b and c and len({a, b, c}) == 3):
+                continue
+
+            def alike(x, y):
+                return 100 * len(x & y) >= percent * len(x | y)
+
+            def place(x, item):
+                return sorted(x ^ c, reverse=True).index(item)
+
+            if alike(a, b) and not (alike(a, c) and alike(b, c)):
+                shared = (a ^ c) & (b ^ c)
+                assert shared
+                first = max(shared)
+                assert all(place(x, first) * percent <= len(x) * (100 - percent) for x in (a, b))
+                assert any(place(x, first) * 2 * percent <= len(x) * (100 - percent) for x in (a, b))
+                ahead = min(len(x ^ c) - place(x, first) for x in (a, b))
+                assert 2 * ahead * (100 + percent) >= (len(a ^ c) + len(b ^ c)) * (100 + percent) - (len(a) + len(b)) * (100 - percent)
+
+
+def test_comparisons_grow_no_faster_than_a_crowd_of_unlike_texts(spark, draw, monkeypatch):
+    kept, compared = Workspace.keep, []
+
+    def keep(self, df, name="step", **metrics):
+        found = kept(self, df, name, **metrics)
+        if name == "compared":
+            compared.append(found[1]["rows"])
+        return found
+
+    monkeypatch.setattr(Workspace, "keep", keep)
+    sums = []
+    for size in (100, 400):
+        compared.clear()
+        minhash.near_duplicates(documents(spark, crowd(draw, size, [8])), words=2).collect()
+        sums.append(sum(compared))
+    assert sums[1] <= 6 * sums[0]
+
+
 def test_densified_bins_agree_as_often_as_sets(draw):
     look = minhash.orders(240)
     agree = []
