@@ -177,6 +177,49 @@ def _(spark, d):
     return sources.read_mtx_edges(spark, _mtx(spark, d), orientation="upper")
 
 
+# ---- rejected lines set aside
+
+
+def _flawed_edges(spark, d):
+    number = F.col("l_linenumber")
+    line = (
+        F.when(number == 1, F.col(P).cast("string"))
+        .when(number == 2, F.concat(_plain(" "), F.lit(" x")))
+        .when(number == 3, F.concat_ws(" ", P, F.lit("x")))
+        .when(number == 4, F.concat_ws(" ", F.lit("x"), S))
+        .otherwise(_plain(" ")))
+    return sources.quarantine_edges(spark, _lines(spark, d, line), Workspace(spark).path("split"), id_type="bigint")
+
+
+@query("quarantine_good", "SELECT l_partkey AS src, l_suppkey AS dst FROM lineitem WHERE l_linenumber > 4")
+def _(spark, d):
+    return _flawed_edges(spark, d)[0]
+
+
+@query("quarantine_bad", """SELECT reason, count(*) AS lines, count(*) AS with_file, sum(length(line))::BIGINT AS chars FROM (
+  SELECT CASE l_linenumber WHEN 1 THEN '1 fields, not 2' WHEN 2 THEN '3 fields, not 2'
+      WHEN 3 THEN 'dst is no bigint' ELSE 'src is no bigint' END AS reason,
+    CASE l_linenumber WHEN 1 THEN l_partkey::VARCHAR WHEN 2 THEN l_partkey || ' ' || l_suppkey || ' x'
+      WHEN 3 THEN l_partkey || ' x' ELSE 'x ' || l_suppkey END AS line
+  FROM lineitem WHERE l_linenumber <= 4) GROUP BY reason""")
+def _(spark, d):
+    bad = _flawed_edges(spark, d)[1]
+    return bad.groupBy("reason").agg(
+        F.count(F.lit(1)).alias("lines"), F.count("file").alias("with_file"), F.sum(F.length("line")).alias("chars"))
+
+
+@query("quarantine_links_bad", """SELECT 'p' || l_partkey || ' s' || l_suppkey || ' many' AS line, 'score is no int' AS reason
+  FROM lineitem WHERE l_linenumber = 1 UNION ALL
+  SELECT 'p' || l_partkey || ' s' || l_suppkey || ' ' || l_quantity::INT || ' 9', '4 fields, not 3'
+  FROM lineitem WHERE l_linenumber = 2""")
+def _(spark, d):
+    number = F.col("l_linenumber")
+    score = F.when(number == 1, F.lit("many")).when(number == 2, F.concat(_whole(), F.lit(" 9"))).otherwise(_whole())
+    path = _lines(spark, d, F.concat(F.lit("p"), P, F.lit(" s"), S, F.lit(" "), score))
+    bad = sources.quarantine_links(spark, path, Workspace(spark).path("split"))[1]
+    return bad.select("line", "reason")
+
+
 # ---- sinks
 
 

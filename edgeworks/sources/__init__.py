@@ -1,6 +1,7 @@
 """Readers, generators and writers."""
 
 from edgeworks.sources.generators import edges_for, matrix_for, random_edges, random_matrix
+from edgeworks.sources.quarantine import quarantine_edges, quarantine_links
 from edgeworks.sources.readers import (
     count_rows,
     read_edge_list,
@@ -26,6 +27,8 @@ __all__ = [
     "count_rows",
     "edges_for",
     "matrix_for",
+    "quarantine_edges",
+    "quarantine_links",
     "random_edges",
     "random_matrix",
     "read_edge_list",

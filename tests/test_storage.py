@@ -131,3 +131,29 @@ def test_generators(spark):
     assert all(0 <= c < 1 for c in cells) and len(set(cells)) == 200
     whole = [c for row in sources.random_matrix(spark, 20, 10, scale=100).collect() for c in row["vector"]]
     assert whole == [int(c * 100) for c in cells]
+
+
+def test_bad_edge_lines_are_set_aside_with_file_and_reason(spark, text, path):
+    lines = ["1 2", "3", "", "4 5 6", "x 1", "1 y", "1 2", "99999999999999999999 1"]
+    where = text(*lines)
+    good, bad = sources.quarantine_edges(spark, where, path, id_type="bigint")
+    assert table(good) == table(sources.read_edge_list(spark, where, id_type="bigint")) == [(1, 2), (1, 2)]
+    assert good.dtypes == [("src", "bigint"), ("dst", "bigint")]
+    said = sorted((r.line, r.reason) for r in bad.collect())
+    assert said == [
+        ("", "1 fields, not 2"), ("1 y", "dst is no bigint"), ("3", "1 fields, not 2"), ("4 5 6", "3 fields, not 2"),
+        ("99999999999999999999 1", "src is no bigint"), ("x 1", "src is no bigint")]
+    assert all(r.file.endswith("lines.txt") for r in bad.collect()) and good.count() + bad.count() == len(lines)
+
+
+def test_bad_links_are_set_aside(spark, text, path):
+    where = text("h h h", "a b 200", "a b", "a b 1.5", "a b 1 9", "", "c d 7")
+    good, bad = sources.quarantine_links(spark, where, path, header="h h h")
+    assert table(good) == [("a", "b", 200), ("c", "d", 7)]
+    assert sorted(r.line for r in bad.collect()) == ["", "a b", "a b 1 9", "a b 1.5"]
+
+
+@pytest.mark.parametrize("lines", [(), ("1 2",), ("bad",)])
+def test_quarantine_of_files_without_good_or_bad_lines(spark, text, path, lines):
+    good, bad = sources.quarantine_edges(spark, text(*lines), path)
+    assert (good.count(), bad.count()) == (lines.count("1 2"), lines.count("bad"))
