@@ -197,6 +197,12 @@ def _(spark, d):
     return community.label_propagation(Graph.from_edges(order_parts(spark, d)))
 
 
+@query("labels_by_retraction", f"""WITH {SALES}, {rounds.label_propagation('sales', 8)}
+SELECT id, label FROM l8""")
+def _(spark, d):
+    return community.settling_labels(Graph.from_edges(sales_edges(spark, d)), max_iter=8)[0]
+
+
 TRIANGLES = f"""{SALES}, {rounds.canonical('sales')},
 found AS MATERIALIZED (
   SELECT a.src AS x, a.dst AS y, b.dst AS z FROM pairs a

@@ -318,6 +318,32 @@ def _(spark, d):
     return _rounded(sources.append_rows(spark, path, embedding_matrix(spark, d)))
 
 
+# Three appends, of which one is lost before its commit.
+LOGGED = f"""WITH {EMBEDDING_CELLS}, grown AS (
+  SELECT index, col, value FROM embedding_cells UNION ALL
+  SELECT index + (SELECT max(vec_id) + 1 FROM embeddings), col, value FROM embedding_cells)"""
+
+
+def _logged(spark, d: str) -> sources.MatrixLog:
+    log = sources.MatrixLog(spark, Workspace(spark).path("matrix"))
+    log.append(embedding_matrix(spark, d))
+    log.stage(embedding_matrix(spark, d))
+    log.append(embedding_matrix(spark, d))
+    return log
+
+
+@query("append_logged", f"{LOGGED} SELECT index, col, round(value, 6) AS value FROM grown")
+def _(spark, d):
+    return _rounded(_logged(spark, d).read())
+
+
+@query("append_log", """SELECT "first", "first" + n AS "next", total AS rows, width AS cols FROM (
+  SELECT max(vec_id) + 1 AS n, count(*) AS total, max(len(embedding)) AS width FROM embeddings),
+  LATERAL (SELECT unnest([0, n]) AS "first")""")
+def _(spark, d):
+    return _logged(spark, d).log().select("first", "next", "rows", "cols")
+
+
 @query("table_shape", "SELECT count(*) AS rows, max(len(embedding)) AS cols FROM embeddings")
 def _(spark, d):
     path = Workspace(spark).path("matrix")

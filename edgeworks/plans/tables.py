@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from edgeworks.operators import tables
+from edgeworks.operators import balance, tables
 from edgeworks.plans.inputs import table
 from edgeworks.plans.registry import query
 
@@ -52,3 +52,13 @@ def _(spark, d):
     orders = table(spark, d, "orders")
     none, every = (tables.is_empty(x) for x in (orders.filter("o_totalprice < 0"), orders))
     return orders.agg(F.lit(none).alias("none"), F.lit(every).alias("all_rows"))
+
+
+# Where tasks run depends on the cluster; the rows of all machines do not.
+@query("rows_per_host", "SELECT count(*)::BIGINT AS rows, true AS hosts, true AS tasks FROM lineitem")
+def _(spark, d):
+    found = balance.rows_per_host(table(spark, d, "lineitem"))
+    return found.agg(
+        F.sum("rows").alias("rows"),
+        F.bool_and(F.length("host") > 0).alias("hosts"),
+        (F.sum("tasks") >= F.count(F.lit(1))).alias("tasks"))

@@ -1,5 +1,6 @@
 """Readers, generators and writers."""
 
+from edgeworks.sources.appends import MatrixLog
 from edgeworks.sources.generators import edges_for, matrix_for, random_edges, random_matrix
 from edgeworks.sources.quarantine import quarantine_edges, quarantine_links
 from edgeworks.sources.readers import (
@@ -23,6 +24,7 @@ from edgeworks.sources.writers import (
 )
 
 __all__ = [
+    "MatrixLog",
     "append_rows",
     "count_rows",
     "edges_for",

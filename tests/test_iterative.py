@@ -7,7 +7,7 @@ import pytest
 from data import PARTS, TINY, edges, random_rows, table, undirected
 from pyspark.sql import functions as F
 
-from edgeworks.operators.community import label_propagation
+from edgeworks.operators.community import label_propagation, settling_labels
 from edgeworks.operators.graph import Graph
 from edgeworks.operators.rank import pagerank
 from edgeworks.operators.triangles import clustering_coefficient, triangle_count
@@ -79,6 +79,28 @@ def test_labels(spark, hot):
     assert got == labels_by_hand(rows, 3)
 
 
+@HOT
+@pytest.mark.parametrize("few", [0.0, 0.5, 1.0])
+def test_labels_by_retraction(spark, hot, few):
+    rows = random_rows(13)
+    got, told = settling_labels(Graph.from_edges(edges(spark, rows)), max_iter=6, few=few, min_hot_rows=hot)
+    assert dict(table(got)) == labels_by_hand(rows, 6)
+    assert len(told) <= 6
+
+
+def test_fewer_messages_as_labels_settle(spark):
+    # Two dense groups and a path between them, with copies.
+    rows = [(a, b) for a, b in combinations(range(12), 2)] + [(a, b) for a, b in combinations(range(20, 32), 2)]
+    rows += [(11, 40), (40, 41), (41, 42), (42, 43), (43, 20), (0, 1), (0, 1)]
+    got, told = settling_labels(Graph.from_edges(edges(spark, rows)), max_iter=30)
+    assert dict(table(got)) == labels_by_hand(rows, len(told))
+    few = [t for t in told if t["sent"] <= 7]
+    # Each label that changed takes a vote and adds one at a neighbour, at most 13 here.
+    assert few and all(t["messages"] <= 2 * 13 * t["sent"] for t in few) and few[-1]["messages"] < told[0]["messages"] / 10
+    assert told[-1]["changed"] == 0
+    assert table(settling_labels(Graph.from_edges(edges(spark, [])))[0]) == []
+
+
 def test_isolated_vertices_keep_their_state(spark):
     e = edges(spark, [(1, 2)])
     g = Graph(spark.createDataFrame([(1,), (2,), (7,)], "id bigint"), e)

@@ -5,7 +5,7 @@ from data import links, table
 from pyspark.sql import functions as F
 
 from edgeworks.loop import Workspace, iterate, sized_shuffles
-from edgeworks.operators import scores, tables
+from edgeworks.operators import balance, scores, tables
 
 
 def test_word_count_keeps_empty_words_and_case(spark):
@@ -93,3 +93,12 @@ def test_small_loops_use_few_partitions_for_a_while(spark):
     finally:
         spark.conf.set(name, usual)
     assert Counter([spark.conf.get(name)]) == Counter([usual])
+
+
+def test_rows_per_host(spark):
+    df = spark.range(0, 1000, 1, 7)
+    by_task = balance.rows_by_task(df)
+    assert sorted(r["rows"] for r in by_task.collect()) == [142, 143, 143, 143, 143, 143, 143]
+    assert balance.rows_by_task(df.filter("id < 0")).collect() == []
+    found = balance.rows_per_host(df).collect()
+    assert sum(r["rows"] for r in found) == 1000 and sum(r["tasks"] for r in found) == 7
