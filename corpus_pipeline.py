@@ -38,6 +38,8 @@ WORDS, PERCENT = 5, 80
 #: Half of op8's ratio, which lies on the rate of the corpus' own boilerplate: at sf0.1 one line stands on
 #: 43 to 66 of each source's 500 documents (8.6 to 13.2%), over a tenth in 11 of 20 sources only.
 LINE_RATIO = 0.05
+# Different texts that must share a line: in a small source two near copies alone are over the ratio.
+LINE_VOTES = 5
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -54,7 +56,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _packed(docs).select("row", F.col("row.source").alias("site"), lines.text_lines(F.col("text")).alias("lines"))
-    done = lines.drop_boilerplate(rows, ratio=LINE_RATIO, by_text=True)
+    done = lines.drop_boilerplate(rows, ratio=LINE_RATIO, min_pages=LINE_VOTES, by_text=True)
     changed = F.size("kept") < F.size("lines")
     text = F.when(changed, F.array_join("kept", "\n")).otherwise(F.col("row.text"))
     done = done.select("row", "kept", text.alias("text"), changed.alias("changed"))
