@@ -1,8 +1,8 @@
 """Operator 8: line deduplication by the frequency of a line within its site.
 
 Pages are grouped by site (the host of their address). A line that stands on
-more than ``RATIO`` of a site's pages, and on ``MIN_PAGES`` at least, is
-boilerplate there and is dropped from all of the site's pages; the same line is
+more than ``RATIO`` of a site's pages is boilerplate there, unless it stands on
+a single page (``MIN_PAGES`` is 2; callers may ask for more), and is dropped from all of the site's pages; the same line is
 kept on sites where it is rare.
 
 Each page offers a line once, as a digest, and counts are summed before the
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from edgeworks.loop import Workspace
 
 RATIO = 0.1
-MIN_PAGES = 5
+MIN_PAGES = 2
 BROADCAST_LINES = 50_000
 
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]+)"
@@ -107,7 +107,7 @@ totals AS (SELECT site, count(*) AS total FROM lined WHERE site IS NOT NULL GROU
 counts AS (SELECT site, line, count(*) AS n
   FROM (SELECT site, unnest(list_distinct(lines)) AS line FROM lined WHERE site IS NOT NULL) GROUP BY site, line),
 dropped AS (SELECT site, list(line) AS gone FROM counts JOIN totals USING (site)
-  WHERE n >= 5 AND n > total * 0.1::DOUBLE GROUP BY site),
+  WHERE n >= 2 AND n > total * 0.1::DOUBLE GROUP BY site),
 done AS (SELECT page_id, site, lines, CASE WHEN gone IS NULL THEN lines
     ELSE list_filter(lines, lambda x: NOT list_contains(gone, x)) END AS kept
   FROM lined LEFT JOIN dropped USING (site))

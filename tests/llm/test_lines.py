@@ -42,3 +42,9 @@ def test_columns_of_any_name_are_kept(spark):
     docs = spark.createDataFrame([(i, "s", ["menu", str(i)], "x", "y", "z") for i in range(9)], "doc_id long, site string, lines array<string>, __dropped string, dropped_0 string, kept string")
     got = lines.drop_boilerplate(docs).collect()
     assert all((r["__dropped"], r.dropped_0, r.kept) == ("x", "y", [str(r.doc_id)]) for r in got) and len(got) == 9
+
+
+def test_a_small_site_goes_by_the_ratio_alone(spark):
+    docs = spark.createDataFrame([(i, "s", ["menu", str(i)]) for i in range(4)] + [(9, "t", ["alone"])], "doc_id long, site string, lines array<string>")
+    assert sorted((r.doc_id, r.kept) for r in lines.drop_boilerplate(docs).collect()) == [(i, [str(i)]) for i in range(4)] + [(9, ["alone"])]
+    assert all("menu" in r.kept for r in lines.drop_boilerplate(docs, min_pages=5).filter("site = 's'").collect())
