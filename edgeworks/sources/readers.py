@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,10 +139,21 @@ def read_matrix_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def table_shape(spark: SparkSession, path: str, read=read_matrix_csv) -> DataFrame:
-    """Rows and columns of a saved matrix; 0, 0 when it cannot be read."""
+    """Rows and columns of a saved matrix; 0, 0 when it cannot be read.
+
+    A missing path, one without a matrix, and a file that is no Parquet file
+    cannot be read, also when only the scan finds that out; so the one row is
+    counted here. Any other failure of the job is raised.
+    """
+    shape = "rows bigint, cols bigint"
+    cols = F.coalesce(F.max(F.size("vector")), F.lit(0)).cast("bigint")
     try:
-        matrix = read(spark, path)
+        found = read(spark, path).agg(F.count(F.lit(1)).alias("rows"), cols.alias("cols")).first()
     except AnalysisException:
-        return spark.createDataFrame([(0, 0)], "rows bigint, cols bigint")
-    cols = F.coalesce(F.max(F.size("vector")), F.lit(0)).cast("bigint")
-    return matrix.agg(F.count(F.lit(1)).alias("rows"), cols.alias("cols"))
+        return spark.createDataFrame([(0, 0)], shape)
+    except (PySparkException, Py4JJavaError) as error:
+        # The first when the schema is read, the second when only the scan meets the file.
+        if not any(sign in str(error) for sign in ("CANNOT_READ_FILE_FOOTER", "is not a Parquet file")):
+            raise
+        return spark.createDataFrame([(0, 0)], shape)
+    return spark.createDataFrame([tuple(found)], shape)

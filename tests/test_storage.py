@@ -116,6 +116,17 @@ def test_matrix_files(spark, path):
     assert table(sources.table_shape(spark, path + "-missing")) == [(0, 0)]
 
 
+def test_shape_of_a_file_that_is_no_matrix(spark, path, tmp_path):
+    m = spark.createDataFrame([(0, [1.0, 2.0])], "index bigint, vector array<double>")
+    sources.write_parquet(m, path)
+    assert table(sources.table_shape(spark, path, sources.read_matrix_parquet)) == [(1, 2)]
+    # One bad file among good ones, and a bad file alone.
+    for folder in (path, str(tmp_path)):
+        with open(f"{folder}/part-z.parquet", "wb") as bad:
+            bad.write(b"no parquet at all" * 10)
+        assert table(sources.table_shape(spark, f"{folder}/*.parquet", sources.read_matrix_parquet)) == [(0, 0)]
+
+
 def test_integer_matrix_as_csv(spark, path):
     m = spark.createDataFrame([(0, [1, 99])], "index bigint, vector array<bigint>")
     sources.write_matrix_csv(m, path)
