@@ -3,14 +3,17 @@
 Vertices are hashed to ``c`` colours. A cell is a choice of three colours, and
 each edge goes to the ``c`` cells that have both of its ends' colours, so a
 triangle has all of its edges in exactly one cell that matches its colours:
-what is shuffled is ``c`` times the edges, whatever lists the vertices have. In
+what is shuffled is ``c`` times the edges, whatever lists the vertices have.
+Edges travel in blocks, one for each two colours: a block is made once, its
+edges sorted, as differences and packed (two or three bytes an edge), and it is
+blocks that are copied to the cells. In
 a cell, edges are turned from lower to higher degree, which bounds every list of
 neighbours by the square root of twice the cell's edges, and the lists stand
 sorted side by side; an edge is closed by looking the shorter of its ends' lists
 up among the edges of the other end.
 
 ``c`` grows with the square root of the edges, so that a cell holds about
-``CELL_EDGES``. A vertex with more than an eighth of that is a hub: it would
+``PACKED_EDGES``. A vertex with more than ``CELL_EDGES / 8`` edges is a hub: it would
 make all cells of its colour hot. Triangles with a hub are counted apart, by the
 lists of hubs next to the two ends of each edge; there are few hubs (fewer than
 16 times the edges by ``CELL_EDGES``), so these lists are short.
@@ -19,18 +22,22 @@ lists of hubs next to the two ends of each edge; there are few hubs (fewer than
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgeworks.loop import Workspace
 from edgeworks.operators.graph import Graph, canonical_edges, degrees
 from edgeworks.operators.skew import hot_keys, spread_join
 
-#: Edges of a cell, about; a cell is not made smaller than the second for the sake of more tasks.
+#: Edges of a cell of rows, about; a cell is not made smaller than the second for the sake of more tasks.
 CELL_EDGES, SMALL_CELL = 2_000_000, 100_000
+#: Edges of a cell of packed blocks, about.
+PACKED_EDGES = 12_000_000
 #: Candidates that are looked up at a time in a cell.
 LOOKED_UP = 1 << 21
 
@@ -47,35 +54,111 @@ def colours_for(edges: int, tasks: int, cell_edges: int = CELL_EDGES, small_cell
     return max(1, needed, min(wide, sensible))
 
 
-def colour_cells(edges: DataFrame, colours: int) -> DataFrame:
-    """``cell, src, dst, a, b``: every edge once in each cell that has its ends' colours ``a`` and ``b``.
+def _coloured(edges: DataFrame, colours: int) -> DataFrame:
+    """``src, dst`` with the colours ``a`` and ``b`` of the ends."""
+    n = F.lit(colours).cast("bigint")
+    return edges.select("src", "dst", *(F.pmod(F.xxhash64(side), n).cast("int").alias(name) for side, name in (("src", "a"), ("dst", "b"))))
 
-    The cell of the colours x <= y <= z is numbered ``(x * colours + y) * colours + z``.
-    """
+
+def _each_cell(rows: DataFrame, colours: int) -> tuple[DataFrame, Column]:
+    """Rows of two colours ``a`` and ``b``, once for each third ``c``, and the number of the cell."""
     n = F.lit(colours).cast("bigint")
-    a, b = (F.pmod(F.xxhash64(side), n).cast("int").alias(name) for side, name in (("src", "a"), ("dst", "b")))
     third = F.explode(F.sequence(F.lit(0), F.lit(colours - 1))).alias("c")
-    rows = edges.select("src", "dst", a, b).select("*", third)
     low, high = F.least("a", "b", "c"), F.greatest("a", "b", "c")
     middle = F.col("a") + F.col("b") + F.col("c") - low - high
-    return rows.select(((low * n + middle) * n + high).alias("cell"), "src", "dst", "a", "b")
+    return rows.select("*", third), ((low * n + middle) * n + high).alias("cell")
+
+
+def colour_cells(edges: DataFrame, colours: int) -> DataFrame:
+    """``cell, src, dst, a, b``: every edge once in each cell that has its ends' colours ``a`` and ``b``.
+
+    The cell of the colours x <= y <= z is numbered ``(x * colours + y) * colours + z``.
+    """
+    rows, cell = _each_cell(_coloured(edges, colours), colours)
+    return rows.select(cell, "src", "dst", "a", "b")
+
+
+#: A block: the colours, how many ids have the first of them, the ids of either colour in order, the edges.
+BLOCK = "a bigint, b bigint, n_first bigint, ids binary, edges binary"
+
+
+def _packer():
+    """The function that packs the edges of one block; made here, so that workers need not have this package."""
+
+    def packed(values: np.ndarray) -> bytes:
+        # Differences, lowest bytes of all first: the high ones are zeros nearly everywhere.
+        gaps = np.diff(values.astype(np.int64), prepend=0)
+        return zlib.compress(gaps.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
+    def stored(ids: pa.Array) -> bytes:
+        if pa.types.is_integer(ids.type):
+            return packed(ids.to_numpy(zero_copy_only=False))
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, pa.schema([("id", ids.type)])) as writer:
+            writer.write_table(pa.table([ids], ["id"]))
+        return zlib.compress(sink.getvalue().to_pybytes(), 1)
 
-def _closer(colours: int, looked_up: int = LOOKED_UP):
+    def pack(rows: pa.Table) -> pa.Table:
+        a, b = rows["a"][0].as_py(), rows["b"][0].as_py()
+        sides = [rows["src"].chunks, rows["dst"].chunks]
+        kind = rows["src"].type
+        if a == b:
+            every = [pa.chunked_array(sides[0] + sides[1], kind)] * 2
+        else:
+            every = [pa.chunked_array(side, kind) for side in sides]
+        lists = []
+        for values in every[: 1 if a == b else 2]:
+            ids = pc.unique(values)
+            lists.append(ids.take(pc.sort_indices(ids)))
+        u, v = (pc.index_in(rows[name], value_set=lists[i % len(lists)]).to_numpy().astype(np.int64) for i, name in enumerate(("src", "dst")))
+        if a == b:
+            u, v = np.minimum(u, v), np.maximum(u, v)
+        ids = pa.concat_arrays(lists)
+        return pa.table(
+            [pa.array([x]) for x in (a, b, len(lists[0]), stored(ids), packed(np.sort(u * len(lists[-1]) + v)))],
+            ["a", "b", "n_first", "ids", "edges"])
+
+    return pack
+
+
+def _closer(colours: int, kind: str, looked_up: int = LOOKED_UP):
     """The function that closes the triangles of one cell; made here, so that workers need not have this package."""
 
+    integers = {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64()}.get(kind)
+
+    def unpacked(data: bytes) -> np.ndarray:
+        planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(8, -1)
+        return np.cumsum(np.ascontiguousarray(planes.T).view(np.int64).ravel())
+
+    def listed(data: bytes) -> pa.Array:
+        if integers is not None:
+            return pa.array(unpacked(data)).cast(integers)
+        return pa.ipc.open_stream(zlib.decompress(data)).read_all()["id"].combine_chunks()
+
     def close(rows: pa.Table) -> pa.Table:
-        cell, m = rows["cell"][0].as_py(), rows.num_rows
-        coded = pa.chunked_array(rows["src"].chunks + rows["dst"].chunks).combine_chunks().dictionary_encode()
-        ids, ends = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        cell = rows["cell"][0].as_py()
+        blocks = rows.select(["a", "b", "n_first", "ids", "edges"]).to_pylist()
+        lists = [listed(block["ids"]) for block in blocks]
+        coded = pa.chunked_array(lists).combine_chunks().dictionary_encode()
+        ids, places = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
         n = len(ids)
-        colour = np.zeros(n, np.int64)
-        colour[ends] = np.concatenate([rows["a"].to_numpy(), rows["b"].to_numpy()])
-        by_degree = np.argsort(np.bincount(ends, minlength=n), kind="stable")
+        colour, us, vs, begin = np.zeros(n, np.int64), [], [], 0
+        for block, known in zip(blocks, lists):
+            own, first = places[begin:begin + len(known)], block["n_first"]
+            begin += len(known)
+            # Where both ends have one colour there is one list of ids.
+            second = own[first:] if block["a"] != block["b"] else own
+            colour[second], colour[own[:first]] = block["b"], block["a"]
+            u, v = np.divmod(unpacked(block["edges"]), len(second))
+            us.append(own[u])
+            vs.append(second[v])
+        u, v = np.concatenate(us), np.concatenate(vs)
+        m = len(u)
+        by_degree = np.argsort(np.bincount(u, minlength=n) + np.bincount(v, minlength=n), kind="stable")
         place = np.empty(n, np.int64)
         place[by_degree] = np.arange(n)
         colour = colour[by_degree]
-        u, v = place[ends[:m]], place[ends[m:]]
+        u, v = place[u], place[v]
         codes = np.sort(np.minimum(u, v) * n + np.maximum(u, v))
         low, high = codes // n, codes % n
         start = np.searchsorted(low, np.arange(n + 1))
@@ -115,9 +198,15 @@ def _in_cells(edges: DataFrame, n_edges: int, cell_edges: int) -> DataFrame:
     tasks = edges.sparkSession.sparkContext.defaultParallelism
     colours = colours_for(n_edges, tasks, cell_edges, min(SMALL_CELL, cell_edges))
     kind = edges.schema["src"].dataType.simpleString()
-    # Small in bytes, a cell is much work: cells are not to be put together again.
-    cells = colour_cells(edges, colours).repartition(min(math.comb(colours + 2, 3), 4 * tasks), "cell")
-    return cells.groupBy("cell").applyInArrow(_closer(colours), f"id {kind}, n bigint")
+    # An edge between two colours stands in their block with the lower one first.
+    rows, turned = _coloured(edges, colours), F.col("a") > F.col("b")
+    rows = rows.select(*(F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("src", "dst"), ("dst", "src"), ("a", "b"), ("b", "a"))))
+    # Small in bytes, a block or cell is much work: they are not to be put together again.
+    most = max(4 * tasks, n_edges // SMALL_CELL)
+    blocks = rows.repartition(min(math.comb(colours + 1, 2), most), "a", "b").groupBy("a", "b").applyInArrow(_packer(), BLOCK)
+    copies, cell = _each_cell(blocks, colours)
+    cells = copies.select(cell, "a", "b", "n_first", "ids", "edges").repartition(min(math.comb(colours + 2, 3), most), "cell")
+    return cells.groupBy("cell").applyInArrow(_closer(colours, kind), f"id {kind}, n bigint")
 
 
 def _with_hubs(work: Workspace, marked: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -147,11 +236,12 @@ def _with_hubs(work: Workspace, marked: DataFrame, hubs: DataFrame) -> DataFrame
 
 def _counted(graph: Graph, min_hot_rows: int | None, cell_edges: int | None) -> tuple[DataFrame, DataFrame]:
     """``id, triangles`` for vertices in triangles, and all degrees."""
-    cell_edges = CELL_EDGES if cell_edges is None else cell_edges
+    hub_rows = max(1, (CELL_EDGES if cell_edges is None else cell_edges) // 8) if min_hot_rows is None else min_hot_rows
+    cell_edges = PACKED_EDGES if cell_edges is None else cell_edges
     work = Workspace(graph.edges.sparkSession)
     edges, seen = work.keep(canonical_edges(graph.edges), "edges")
     degree, _ = work.keep(degrees(edges), "degrees")
-    hubs = hot_keys(degree, "id", min_rows=max(1, cell_edges // 8) if min_hot_rows is None else min_hot_rows, count="degree")
+    hubs = hot_keys(degree, "id", min_rows=hub_rows, count="degree")
     if hubs is None:
         credits = _in_cells(edges, seen["rows"], cell_edges)
     else:

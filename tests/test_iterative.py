@@ -168,3 +168,22 @@ def test_rank_moves_the_links_once(spark):
         plan = sent._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
     assert plan.count("Exchange hashpartitioning") == 1
     state.unpersist()
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "string", "double"])
+def test_blocks_of_edges_are_small_and_give_every_triangle(spark, kind):
+    """An edge travels in a packed block, as few bytes, and ids of any type come back as they were."""
+    from edgeworks.operators.triangles import BLOCK, _packer
+
+    rows = random_rows(31, vertices=60, count=600)
+    as_id = {"string": "ä{}".format, "double": lambda x: x / 3}.get(kind, int)
+    named = [(as_id(a), as_id(b)) for a, b in rows]
+    g = Graph.from_edges(edges(spark, named, kind))
+    want = {as_id(x): n for x, n in triangles_by_hand(rows)[0].items()}
+    assert dict(table(triangle_count(g, cell_edges=40, min_hot_rows=50))) == want
+
+    dense = [(a, 10**9 + b, 0, 1) for a in range(100) for b in range(a, a + 100)]
+    packed = spark.createDataFrame(dense, f"src {kind}, dst {kind}, a int, b int") if kind in ("bigint", "int") else None
+    if packed is not None:
+        block = packed.groupBy("a", "b").applyInArrow(_packer(), BLOCK).first()
+        assert block["n_first"] == 100 and len(block["edges"]) + len(block["ids"]) < 4 * len(dense)
