@@ -225,3 +225,26 @@ def test_degree_over_all_links(spark):
     assert both[0] != both[1]
     with pytest.raises(ValueError):
         scored_matching(links(spark, rows), degrees_of="some")
+
+
+def test_one_round_of_choices_uses_as_many_partitions_as_the_edges_need(spark, monkeypatch):
+    """With a fixed number of partitions a task's sorts and hash tables grew with the edges."""
+    from edgeworks import loop
+    from edgeworks.operators.matching import mutual_edges, unmatched_edges, validate_maximal, with_priority
+
+    usual, widths = spark.conf.get(loop.SHUFFLE_PARTS), []
+    write = loop.Workspace._write
+    monkeypatch.setattr(loop, "ROWS_PER_PART", 20)
+    monkeypatch.setattr(loop.Workspace, "_write", lambda work, *args, **kw: (
+        widths.append(int(work.spark.conf.get(loop.SHUFFLE_PARTS))), write(work, *args, **kw))[1])
+    pairs = undirected(random_rows(41, vertices=60, count=300))
+    queue = with_priority(edges(spark, pairs), 0)
+    chosen = mutual_edges(queue)
+    left = validate_maximal(chosen, queue)
+    other = unmatched_edges(queue, chosen)
+    assert widths and min(widths) >= len(pairs) // 20
+    assert spark.conf.get(loop.SHUFFLE_PARTS) == usual
+    ends = {x for pair in table(chosen) for x in pair}
+    assert table(chosen) and len(ends) == 2 * chosen.count()
+    assert table(left) == [(a, b) for a, b in pairs if a not in ends and b not in ends]
+    assert table(other.select("src", "dst")) == sorted(set(pairs) - set(table(chosen)))
