@@ -37,7 +37,7 @@ from edgeworks.operators.skew import hot_keys, spread_join
 #: Edges of a cell of rows, about; a cell is not made smaller than the second for the sake of more tasks.
 CELL_EDGES, SMALL_CELL = 2_000_000, 100_000
 #: Edges of a cell of packed blocks, about.
-PACKED_EDGES = 12_000_000
+PACKED_EDGES = 6_000_000
 #: Candidates that are looked up at a time in a cell.
 LOOKED_UP = 1 << 21
 
