@@ -3,14 +3,19 @@
 Every vertex starts at 1. A vertex divides its rank over its out-edges,
 parallel edges counting each time; what a sink holds goes nowhere. At the end
 the ranks are scaled to sum to the number of vertices.
+
+Graphs with many links a vertex go through a grid of packed links, where a round
+moves arrays; sparse ones through routes, where it moves a row for each message.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edgeworks.loop import Workspace, iterate
+from edgeworks.loop import Workspace, iterate, wide_shuffles
+from edgeworks.operators import grid
 from edgeworks.operators.graph import Graph
 from edgeworks.operators.routes import routes_over
 
@@ -34,8 +39,18 @@ def pagerank(
     With ``tol``, vertices whose rank last grew by more than ``tol`` send that
     growth on, until there are none; ``max_iter`` is not used then.
     """
-    work = Workspace(graph.edges.sparkSession)
-    with routes_over(links_of(graph), graph, min_hot_rows) as routes:
+    spark = graph.edges.sparkSession
+    work, links = Workspace(spark), links_of(graph)
+    if graph.derived and _has_plain_ids(links):
+        with wide_shuffles(spark, graph.edges.count()):
+            links = links.persist(StorageLevel.MEMORY_AND_DISK)
+            n_links = links.count()
+            vertices, seen = work.keep(_senders(links, sums_come=tol is None and max_iter > 0), "vertices")
+        parts = grid.parts_for(n_links, seen["rows"], spark.sparkContext.defaultParallelism)
+        if grid.pays(n_links, seen["rows"], parts):
+            return _in_grid(links, vertices, seen["rows"], parts, work, reset, max_iter, tol, cut_every)
+        work.drop(vertices)
+    with routes_over(links, graph, min_hot_rows) as routes:
         if tol is None:
             state, seen = _fixed(routes, work, reset, max_iter, cut_every)
         else:
@@ -44,6 +59,48 @@ def pagerank(
     return state.select("id", (F.col("rank") * F.lit(factor)).alias("pagerank"))
 
 
+def _has_plain_ids(links: DataFrame) -> bool:
+    kinds = {links.schema[x].dataType.simpleString() for x in ("src", "dst")}
+    return len(kinds) == 1 and kinds <= {"int", "bigint", "string"}
+
+
+def _senders(links: DataFrame, sums_come: bool) -> DataFrame:
+    """``id`` and the ``out`` copies of its links.
+
+    A null id sends nothing; where new ranks are sums, it has one only if a link
+    leads to it.
+    """
+    told = F.col("src").isNotNull()
+    ends = links.select(F.inline(F.array(
+        F.struct(F.col("src").alias("id"), F.col("copies").alias("out"), F.lit(False).alias("told")),
+        F.struct(F.col("dst").alias("id"), F.lit(0).cast("bigint").alias("out"), told.alias("told")))))
+    found = ends.groupBy("id").agg(F.sum("out").alias("out"), F.max("told").alias("told"))
+    return (found.filter("id IS NOT NULL OR told") if sums_come else found).select("id", "out")
+
+
+def _in_grid(links, vertices, n, parts, work, reset, max_iter, tol, cut_every):
+    # What is not summed, growth, does not reach a null id.
+    met = links.filter("src IS NOT NULL" if tol is None else "src IS NOT NULL AND dst IS NOT NULL")
+    with grid.Grid(met, vertices, parts) as blocks:
+        links.unpersist()
+        seen = {"total": F.sum("total"), "sending": F.sum("sending")}
+        if tol is None:
+            state = blocks.start(1.0)
+            if max_iter:
+                state, seen, _ = iterate(work, state, lambda x, _: blocks.round(x, reset), max_iter, cut_every=cut_every, **seen)
+            else:
+                state, seen = work.keep(state, **seen)
+        else:
+            # Rounds after the last that sends change nothing, so it is enough to look now and then.
+            state, seen, _ = iterate(
+                work, blocks.start(float(reset), float(reset)), lambda x, _: blocks.round(x, reset, tol), None,
+                stop=lambda seen: not seen.get("sending"), cut_every=cut_every, **seen)
+        ranks, _ = work.keep(blocks.rows(state, "value" if tol is None else "held", "rank"), "ranks")
+    work.clear(ranks)
+    factor = n / seen["total"] if seen.get("total") else 1.0
+    return ranks.select("id", (F.col("rank") * F.lit(factor)).alias("pagerank"))
+
+
 def _kept(column: str):
     """What the own link says about the vertex itself."""
     return F.max(F.when(F.col("own"), F.col(column))).alias(column)

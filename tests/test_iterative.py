@@ -187,3 +187,44 @@ def test_blocks_of_edges_are_small_and_give_every_triangle(spark, kind):
     if packed is not None:
         block = packed.groupBy("a", "b").applyInArrow(_packer(), BLOCK).first()
         assert block["n_first"] == 100 and len(block["edges"]) + len(block["ids"]) < 4 * len(dense)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+@pytest.mark.parametrize("tol", [None, 0.1], ids=["rounds", "tolerance"])
+def test_rank_of_a_dense_graph_sends_arrays(spark, monkeypatch, kind, tol):
+    """With a row for each message a round's shuffle grew to one row a link."""
+    from edgeworks.operators import grid, rank
+
+    rows = [(a, b) for a, b in random_rows(19, vertices=30, count=400)] + [(0, 1)] * 5 + [(7, 99), (99, 99)]
+    text = [(str(a), str(b)) for a, b in rows]
+    e = spark.createDataFrame(rows if kind == "bigint" else text, f"src {kind}, dst {kind}")
+    monkeypatch.setattr(grid, "pays", lambda *_: False)
+    want = dict(table(pagerank(Graph.from_edges(e), tol=tol)))
+    assert len(want) == 31
+    monkeypatch.undo()
+    # Many parts, chunks and pieces of blocks.
+    for name, value in (("CHUNK", 50), ("BLOCK_LINKS", 30), ("parts_for", lambda *_: 2), ("pays", lambda *_: True)):
+        monkeypatch.setattr(grid, name, value)
+    monkeypatch.setattr(rank, "routes_over", None)
+    assert dict(table(pagerank(Graph.from_edges(e), tol=tol))) == pytest.approx(want, abs=1e-9)
+
+
+@pytest.mark.parametrize("options", [{"max_iter": 2}, {"max_iter": 0}, {"tol": 0.1}], ids=str)
+@pytest.mark.parametrize("rows", [
+    [(1, 2), (1, 2), (2, 1), (2, None), (1, 3), (3, 1)], [(1, 2), (2, 1), (None, 1), (None, None), (None, 3)]], ids=["to", "from"])
+def test_rank_with_null_ends_is_that_of_the_routes(spark, monkeypatch, options, rows):
+    from edgeworks.operators import grid
+
+    found = []
+    for pays in (False, True):
+        monkeypatch.setattr(grid, "pays", lambda *_, pays=pays: pays)
+        ranks = pagerank(Graph.from_edges(spark.createDataFrame(rows, "src bigint, dst bigint")), **options)
+        found.append({r["id"]: r["pagerank"] for r in ranks.collect()})
+    assert found[0] == pytest.approx(found[1], abs=1e-9)
+
+
+def test_what_a_round_sends_does_not_grow_with_the_links(spark):
+    from edgeworks.operators import grid
+
+    assert grid.parts_for(96_000_000, 2_160_000, 12) == grid.parts_for(576_000_000, 12_960_000, 12) == 4
+    assert grid.pays(96_000_000, 2_160_000, 4) and not grid.pays(2_000, 1_500, 1)
