@@ -170,6 +170,16 @@ def test_a_greedy_round_shuffles_no_edge(spark):
     layout.table.unpersist()
 
 
+def test_the_first_round_tells_no_neighbour(spark):
+    """All edges take part, so the first of each vertex is found where its edges lie; only the pairs move."""
+    layout = laid_out(spark, random_rows(36))
+    found = layout.decided(None)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0]
+    assert plan.split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
+    layout.table.unpersist()
+
+
 @pytest.mark.parametrize("hot", [None, 4], ids=["plain", "divided"])
 def test_laid_out_anew_the_live_edges_remain(spark, hot):
     rows = random_rows(32)
