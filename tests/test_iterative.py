@@ -7,6 +7,8 @@ import pytest
 from data import PARTS, TINY, edges, random_rows, table, undirected
 from pyspark.sql import functions as F
 
+from edgeworks.loop import Workspace
+from edgeworks.operators import community, grid, votes
 from edgeworks.operators.community import label_propagation, settling_labels
 from edgeworks.operators.graph import Graph
 from edgeworks.operators.rank import pagerank
@@ -101,6 +103,29 @@ def test_fewer_messages_as_labels_settle(spark):
     assert table(settling_labels(Graph.from_edges(edges(spark, [])))[0]) == []
 
 
+@pytest.mark.parametrize("few", [0.0, 0.25, 1.0])
+@pytest.mark.parametrize("kind", ["bigint", "int"])
+def test_label_rounds_write_no_row_for_a_vote(spark, monkeypatch, few, kind):
+    # Copies, loops, both directions and null ends; several parts, slices and chunks of links.
+    rows = random_rows(17) + [(5, 5), (5, 5), (None, 3), (4, None), (None, None), (1000, None)]
+    graph = Graph.from_edges(spark.createDataFrame(rows, f"src {kind}, dst {kind}"))
+    for module, name, value in ((grid, "SMALL_BLOCK", 20), (grid, "CHUNK", 7), (votes, "CHUNK", 7), (votes, "SLICE_LINKS", 25)):
+        monkeypatch.setattr(module, name, value)
+    monkeypatch.setattr(grid, "pays", lambda *sizes: True)
+    written, keep = [], Workspace.keep
+
+    def kept(self, df, name="step", **metrics):
+        written.append(name)
+        return keep(self, df, name, **metrics)
+
+    monkeypatch.setattr(Workspace, "keep", kept)
+    got, told = settling_labels(graph, max_iter=6, few=few)
+    assert "votes" not in written and "corrections" not in written
+    want, said = community._by_routes(graph, 6, few, None)
+    assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr) and got.schema == want.schema
+    assert [(t["sent"], t["changed"]) for t in told] == [(t["sent"], t["changed"]) for t in said]
+
+
 def test_isolated_vertices_keep_their_state(spark):
     e = edges(spark, [(1, 2)])
     g = Graph(spark.createDataFrame([(1,), (2,), (7,)], "id bigint"), e)
