@@ -7,7 +7,7 @@ from data import PARTS, edges, links, random_rows, table, undirected
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from edgeworks.operators import matching
+from edgeworks.operators import grid, matching, mates
 from edgeworks.operators.matching import (
     maximal_matching,
     scored_matching,
@@ -258,3 +258,40 @@ def test_one_round_of_choices_uses_as_many_partitions_as_the_edges_need(spark, m
     assert table(chosen) and len(ends) == 2 * chosen.count()
     assert table(left) == [(a, b) for a, b in pairs if a not in ends and b not in ends]
     assert table(other.select("src", "dst")) == sorted(set(pairs) - set(table(chosen)))
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int"])
+@pytest.mark.parametrize("options", [
+    {"method": "greedy"},
+    {"rounds": None, "stop": "unchanged", "p": 0.5, "k": 1},
+    {"rounds": None, "stop": "degree_one", "p": 0.5, "k": 1},
+    {"rounds": "log_edges_p", "k_rounding": "ceil"},
+], ids=["greedy", "unchanged", "degree_one", "log_edges_p"])
+def test_greedy_rounds_in_a_grid_lay_no_edges_out(spark, monkeypatch, kind, options):
+    rows = random_rows(5, vertices=60, count=300) + [(None, 3), (4, None), (None, None)]
+    e = edges(spark, rows, kind)
+    want = maximal_matching(e, seed=2, **options)
+    for module, name, value in ((grid, "SMALL_BLOCK", 40), (grid, "CHUNK", 16), (mates, "LEAST_EDGES", 0), (mates, "BLOCK_EDGES", 50), (matching, "_Layout", None)):
+        monkeypatch.setattr(module, name, value)
+    got = maximal_matching(e, seed=2, **options)
+    assert got.schema["src"].dataType == want.schema["src"].dataType and got.dtypes == want.dtypes
+    assert table(got) == table(want)
+    if options == {"method": "greedy"}:
+        assert pairs(got) == greedy_by_hand(rows[:-3], 2)
+
+
+@pytest.mark.parametrize("stop", ["unchanged", "degree_one"])
+def test_a_large_sample_is_drawn_from_what_is_left(spark, monkeypatch, stop):
+    rows = random_rows(6, vertices=200, count=900)
+    scanned, draw = [], matching._Job.draw
+
+    def drawn(self, left, rounds, *rest):
+        scanned.append((len(rounds), left.count()))
+        return draw(self, left, rounds, *rest)
+
+    monkeypatch.setattr(matching._Job, "draw", drawn)
+    # Probability and parts are given, so no degree decides.
+    monkeypatch.setattr(matching, "matching_params", None)
+    found = maximal_matching(edges(spark, rows), rounds=None, stop=stop, p=0.5, k=1, seed=1)
+    check(found, rows, edges(spark, rows))
+    assert all(n == 1 for n, _ in scanned) and scanned[1][1] < scanned[0][1] / 2
