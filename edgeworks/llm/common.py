@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,28 @@ def per_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sch
     return df.mapInArrow(run, schema)
 
 
+#: Rows that go to Python at once in jobs that run inside ``small_batches``.
+SMALL_BATCH = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Fewer rows go to Python at once, so that an executor and its workers hold less of their texts.
+
+    For jobs that run inside the block. The setting of the session is never raised, and is back at the end.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+    if 0 < int(usual) <= SMALL_BATCH:
+        yield
+        return
+    spark.conf.set(name, str(SMALL_BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
 def vocabulary_path(name: str) -> str:
     """Where a public vocabulary file lies, unless its path was given."""
     if os.sep in name:

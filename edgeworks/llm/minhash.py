@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edgeworks.llm.common import per_batch, texts
+from edgeworks.llm.common import per_batch, small_batches, texts
 from edgeworks.llm.components import components
 from edgeworks.llm.shingles import folded, shingle_set
 from edgeworks.loop import Workspace
@@ -190,7 +190,8 @@ def links(work: Workspace, docs: DataFrame, signs: DataFrame, words: int, percen
     if not seen["rows"]:
         return roots
     wanted, _ = work.keep(met.groupBy("node").agg(F.first("doc_id").alias("of"), F.sum("k").alias("weight")), "wanted")
-    sets, _ = work.keep(full_sets(docs.join(wanted.select("of"), docs["doc_id"].eqNullSafe(F.col("of")), "left_semi"), words), "sets")
+    with small_batches(work.spark):
+        sets, _ = work.keep(full_sets(docs.join(wanted.select("of"), docs["doc_id"].eqNullSafe(F.col("of")), "left_semi"), words), "sets")
     members, _ = work.keep(met.join(wanted.select("node", "weight"), "node").select("bucket", "weight", "node", "n", F.col("node").alias("root"), F.lit(True).alias("lead")), "open")
     work.drop(met)
     work.drop(wanted)
@@ -242,7 +243,8 @@ def near_duplicates(
     """``(doc_id, n_shingles, component_id, kept)`` of every document."""
     work = Workspace(docs.sparkSession)
     said = texts(docs, id_col, text_col)
-    signs, _ = work.keep(signatures(said, words, bands, rows), "signatures")
+    with small_batches(work.spark):
+        signs, _ = work.keep(signatures(said, words, bands, rows), "signatures")
     roots = links(work, said, signs, words, percent)
     light = signs.select("doc_id", "n", "node")
     first = light.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("first"))

@@ -8,7 +8,7 @@ import xxhash
 #: Odd constants of a common 64-bit mixing function (fixed values).
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 #: Words whose hashes a worker remembers.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
 
 
 class _WordHashes(dict):

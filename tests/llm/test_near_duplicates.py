@@ -164,3 +164,21 @@ def test_components_of_a_long_path(spark, draw):
 def test_shingles_ignore_case_of_ascii_alone():
     assert set(shingles.shingle_set("A b", 2)) == set(shingles.shingle_set("a\tB", 2)) != set(shingles.shingle_set("É b", 2))
     assert len(shingles.shingle_set("one two", 5)) == 1 and len(shingles.shingle_set(None, 5)) == 0
+
+
+def test_python_gets_few_rows_at_once(spark, monkeypatch):
+    name, sizes = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    usual, keep = spark.conf.get(name), Workspace.keep
+
+    def kept(self, df, step="step", **metrics):
+        if step in ("signatures", "sets"):
+            sizes.append(int(spark.conf.get(name)))
+        return keep(self, df, step, **metrics)
+
+    monkeypatch.setattr(Workspace, "keep", kept)
+    rows = [(i, " ".join(f"w{x}" for x in range(60)) + f" end{i // 2}") for i in range(6)]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2, percent=80)
+    assert [x.component_id for x in found.collect()] == [0] * 6
+    assert len(sizes) == 2 and all(x <= 1000 for x in sizes) and spark.conf.get(name) == usual
+    # A worker of a corpus with millions of words remembers some tens of MB of them.
+    assert shingles.REMEMBERED <= 1 << 17
