@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 _ONE = np.uint64(1)
+#: Suffixes of an interval whose codes before are looked at one by one; wider ones are counted in the wavelet tree.
+NARROW = 4
 
 
 class Bits:
@@ -74,7 +76,8 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         where = np.flatnonzero(tied)
         moved = order[where]
         after = ranks[np.minimum(moved + step, n + depth)]
-        sort = np.lexsort((after, groups[where]))
+        # Both are below 2^31.
+        sort = np.argsort(groups[where] << 32 | after)
         order[where] = moved[sort]
         after = after[sort]
         new = np.flatnonzero((np.diff(groups[where], prepend=-1) != 0) | (np.diff(after, prepend=-1) != 0))
@@ -95,12 +98,39 @@ class FMIndex:
         self.smaller = np.zeros(top + 2, np.int64)
         np.cumsum(np.bincount(text, minlength=top + 1), out=self.smaller[1:])
         self.last = WaveletMatrix(text[self.order - 1], max(1, top.bit_length()))
+        #: Where in the order each suffix stands that is longer by the code before.
+        self.longer = np.empty(self.n, np.int32)
+        ranks = np.empty(self.n, np.int32)
+        ranks[self.order] = np.arange(self.n, dtype=np.int32)
+        self.longer[:] = ranks[self.order - 1]
 
     def extend(self, low: np.ndarray, high: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Backward search: the suffixes that start with a code before each interval's pattern."""
-        both = np.concatenate([codes, codes])
-        at = self.smaller[both] + self.last.rank(both, np.concatenate([low, high]))
-        return at[:len(codes)], at[len(codes):]
+        """Backward search: the suffixes that start with a code before each interval's pattern.
+
+        No interval is empty. Each different wide interval and code is counted
+        once. The suffixes of a narrow one that follow the code are those whose
+        longer suffix starts with it; together these are the new interval.
+        """
+        new_low, new_high = np.empty_like(low), np.empty_like(high)
+        wide = high - low > NARROW
+        at = np.flatnonzero(wide)
+        if len(at):
+            _, first, back = np.unique(low[at] * len(self.smaller) + codes[at], return_index=True, return_inverse=True)
+            pick = at[first]
+            both = np.concatenate([codes[pick], codes[pick]])
+            found = self.smaller[both] + self.last.rank(both, np.concatenate([low[pick], high[pick]]))
+            new_low[at], new_high[at] = found[:len(pick)][back], found[len(pick):][back]
+        at = np.flatnonzero(~wide)
+        if len(at):
+            sizes = high[at] - low[at]
+            head = np.cumsum(sizes) - sizes
+            longer = self.longer[np.repeat(low[at] - head, sizes) + np.arange(int(sizes.sum()))]
+            bottom, top = self.smaller[codes[at]], self.smaller[codes[at] + 1]
+            follows = (longer >= np.repeat(bottom, sizes)) & (longer < np.repeat(top, sizes))
+            # Without any, the interval is empty.
+            least = np.minimum.reduceat(np.where(follows, longer, self.n), head)
+            new_low[at], new_high[at] = least, least + np.add.reduceat(follows, head, dtype=np.int64)
+        return new_low, new_high
 
     def matching_statistics(self, text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """How far back from each end a pattern occurs at least twice, ``depth`` codes at most.
@@ -114,7 +144,8 @@ class FMIndex:
         high = np.full(len(ends), self.n, np.int64)
         alive = np.arange(len(ends))
         for step in range(self.depth):
-            lo, hi = self.extend(low[alive], high[alive], text[ends[alive] - step])
+            codes = text[ends[alive] - step]
+            lo, hi = self.extend(low[alive], high[alive], codes) if step else (self.smaller[codes], self.smaller[codes + 1])
             more = hi - lo > 1
             alive, low_now, high_now = alive[more], lo[more], hi[more]
             low[alive], high[alive], length[alive] = low_now, high_now, step + 1

@@ -15,7 +15,7 @@ and not sent, so a common passage leaves a batch once.
 
 In a shard the records, in order of (doc_id, start), are the text of an
 FM-index. They are streamed through it: matching statistics by backward search
-over the wavelet tree tell for each window whether it occurs elsewhere in the
+over the wavelet tree (narrow intervals by their suffixes) tell for each window whether it occurs elsewhere in the
 shard, and the least text position among its suffixes whether earlier.
 Intervals above the threshold go back to the documents.
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from edgeworks.llm.common import per_batch, sliced, texts
 from edgeworks.llm.fm_index import FMIndex
-from edgeworks.llm.shingles import folded, mixed, word_hashes
+from edgeworks.llm.shingles import folded, mixed
 from edgeworks.loop import Workspace
 
 WINDOW, GRAM = 20, 4
@@ -48,32 +48,64 @@ SHARD_RECORDS, HOT, HOT_SHARE = 1 << 15, 2_000, 1 << 20
 BATCH_BYTES = 4 << 20
 _END = b"\xff"
 _TOP = np.uint64(1 << 63)
+#: Words hashed together; their bytes fit a core's cache.
+HASHED = 1 << 14
+_SPACES = np.isin(np.arange(256), [*range(9, 14), 32])
+with np.errstate(over="ignore"):
+    _BYTES = np.where(_SPACES, np.uint64(0), mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+
+
+def spaced(said: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a text with one space between, as bytes, and where each begins."""
+    text = np.frombuffer(said, np.uint8)
+    gap = _SPACES[text]
+    stays = ~gap
+    stays[1:] |= stays[:-1] & gap[1:]
+    if gap.any():
+        text = np.where(gap, np.uint8(32), text)[stays]
+    at = np.flatnonzero(text == 32) + 1
+    return text, np.append(0, at) if len(text) else at
+
+
+def hashed(text: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """A hash of each word; equal words have equal ones."""
+    out, edge = np.empty(len(begin), np.uint64), np.append(begin, len(text))
+    for at in range(0, len(begin), HASHED):
+        some = edge[at:at + HASHED + 1]
+        sizes = np.diff(some)
+        by_place = mixed(np.arange(1, int(sizes.max()) + 1, dtype=np.uint64) << np.uint64(8)) | np.uint64(1)
+        place = np.arange(some[0], some[-1]) - np.repeat(some[:-1], sizes)
+        with np.errstate(over="ignore"):
+            out[at:at + HASHED] = np.add.reduceat(_BYTES[text[some[0]:some[-1]]] * by_place[place], some[:-1] - some[0])
+    return mixed(out)
 
 
 class Cut:
     """The words of a batch of documents and the keys of their windows.
 
     ``start`` and ``key`` are those of the windows; ``owner`` is the document
-    of each word and ``begins`` where a document's words begin.
+    of each word and ``begins`` where a document's words begin. ``grams`` are
+    the hashes of the grams, and a window has so many: ``width``.
     """
 
     def __init__(self, said: list[str], window: int, gram: int, hot: np.ndarray | None):
         # No text in UTF-8 holds the byte that ends a document here.
-        self.words = b" ".join(x.encode() + b" " + _END for x in said).split()
-        self.hashes = word_hashes(self.words)
-        over = self.hashes == word_hashes([_END])
+        self.text, self.begin = spaced(b" ".join(x.encode() + b" " + _END for x in said))
+        self.hashes = hashed(self.text, self.begin)
+        over = self.text[self.begin] == _END[0]
         passed = np.concatenate([[0], np.cumsum(over)])
         self.owner = passed[:-1]
         self.begins = np.concatenate([[0], np.flatnonzero(over)[:-1] + 1])
-        n = len(self.words) - window + 1
+        n = len(self.begin) - window + 1
         if n < 1:
             self.start, self.key = np.zeros(0, np.int64), np.zeros(0, np.uint64)
             return
-        m = len(self.words) - gram + 1
+        self.width = window - gram + 1
+        m = len(self.begin) - gram + 1
         key = mixed(folded([self.hashes[i:i + m] for i in range(gram)])) >> np.uint64(1)
         if hot is not None and len(hot):
             key |= np.where(hot[np.minimum(np.searchsorted(hot, key), len(hot) - 1)] == key, _TOP, np.uint64(0))
-        span, width = 1, window - gram + 1
+        self.grams, span, width = key, 1, self.width
         while 2 * span <= width:
             key, span = np.minimum(key[:-span], key[span:]), 2 * span
         if width > span:
@@ -88,6 +120,24 @@ class Cut:
         fresh[1:] = (np.diff(self.start) != 1) | (self.key[1:] != self.key[:-1]) | alone[1:] | alone[:-1]
         return np.flatnonzero(fresh)
 
+    def twice(self, head: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Records of several windows that hold the gram of their key twice; no other repeats a window of its own."""
+        out = np.zeros(len(head), bool)
+        many = np.flatnonzero(count > 1)
+        if len(many):
+            sizes = count[many] + self.width - 1
+            first = np.cumsum(sizes) - sizes
+            at = np.repeat(self.start[head[many]] - first, sizes) + np.arange(int(sizes.sum()))
+            same = self.grams[at] == np.repeat(self.key[head[many]], sizes)
+            out[many] = np.add.reduceat(same, first, dtype=np.int64) > 1
+        return out
+
+    def said(self, first: np.ndarray, length: np.ndarray) -> list[bytes]:
+        """The words of some stretches, joined by one space."""
+        text, begin = self.text.tobytes(), self.begin[first]
+        end = np.append(self.begin[1:], len(text) + 1)[first + length - 1] - 1
+        return [text[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+
 
 def hot_grams(work: Workspace, rows: DataFrame, window: int, gram: int, least: int = HOT, share: int = HOT_SHARE) -> tuple[np.ndarray, int]:
     """Sorted hot grams, and the number of records.
@@ -117,19 +167,19 @@ def hot_grams(work: Workspace, rows: DataFrame, window: int, gram: int, least: i
     return np.sort(found.astype(np.int64).view(np.uint64)), total
 
 
-def packed(docs: np.ndarray, starts: np.ndarray, counts: np.ndarray, keys: np.ndarray, said: bytes) -> bytes:
-    """Records in one compressed blob: places, numbers of windows, half of the keys, words."""
-    parts = [np.int64(len(docs)), docs, starts.astype(np.int32), counts.astype(np.int32), keys.astype(np.uint32)]
+def packed(docs: np.ndarray, starts: np.ndarray, counts: np.ndarray, keys: np.ndarray, twice: np.ndarray, said: bytes) -> bytes:
+    """Records in one compressed blob: places, numbers of windows, half of the keys, whether they hold a key's gram twice, words."""
+    parts = [np.int64(len(docs)), docs, starts.astype(np.int32), counts.astype(np.int32), keys.astype(np.uint32), twice]
     return zstandard.ZstdCompressor(level=3).compress(b"".join(x.tobytes() for x in parts) + said)
 
 
-def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
+def unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
     n, at, out = int(np.frombuffer(raw, np.int64, 1)[0]), 8, []
-    for kind in (np.int64, np.int32, np.int32, np.uint32):
+    for kind in (np.int64, np.int32, np.int32, np.uint32, np.bool_):
         out.append(np.frombuffer(raw, kind, n, at))
         at += n * np.dtype(kind).itemsize
-    return out[0], out[1].astype(np.int64), out[2].astype(np.int64), out[3], raw[at:]
+    return out[0], out[1].astype(np.int64), out[2].astype(np.int64), out[3], out[4], raw[at:]
 
 
 def records(cut: Cut, ids: np.ndarray, window: int, shards: int) -> Iterator[tuple[int, bytes]]:
@@ -138,26 +188,23 @@ def records(cut: Cut, ids: np.ndarray, window: int, shards: int) -> Iterator[tup
         return
     head = cut.heads()
     count = np.diff(head, append=len(cut.start))
-    start, key = cut.start[head], cut.key[head]
+    start, key, twice = cut.start[head], cut.key[head], cut.twice(head, count)
     alone = (key & _TOP) != 0
     if alone.any():
         key[alone] = folded([cut.hashes[start[alone] + i] for i in range(window)])
     owner = cut.owner[start]
     local = start - cut.begins[owner]
     order = np.lexsort((local, ids[owner]))
-    words, seen, settled = cut.words, {}, np.zeros(len(head), bool)
-    said: list[bytes] = [b""] * len(head)
-    first, length = start.tolist(), (count + window - 1).tolist()
+    seen, settled, said = {}, np.zeros(len(head), bool), cut.said(start, count + window - 1)
     places = list(zip(ids[owner].tolist(), local.tolist(), strict=True))
     for r in order.tolist():
-        text = said[r] = b" ".join(words[first[r]:first[r] + length[r]])
-        settled[r] = seen.setdefault(text, places[r]) < places[r]
+        settled[r] = seen.setdefault(said[r], places[r]) < places[r]
     to = np.where(settled, mixed(ids[owner].astype(np.uint64)), mixed(key)) % np.uint64(shards)
     by = np.lexsort((settled, to))
     fresh = (np.diff(to[by].astype(np.int64), prepend=-1) != 0) | (np.diff(settled[by].astype(np.int8), prepend=-1) != 0)
     for group in np.split(by, np.flatnonzero(fresh)[1:]):
         text = b"" if settled[group[0]] else b"\n".join(said[r] for r in group.tolist())
-        yield int(to[group[0]]), packed(ids[owner[group]], local[group], count[group], key[group], text)
+        yield int(to[group[0]]), packed(ids[owner[group]], local[group], count[group], key[group], twice[group], text)
 
 
 class _Codes(dict):
@@ -203,27 +250,23 @@ def runs(group: np.ndarray, doc: np.ndarray, place: np.ndarray, window: int) ->
     return doc[head], place[head], place[tail] + window
 
 
-def _may_repeat(record: bytes, window: int) -> bool:
-    words = record.split(b" ")
-    return len(set(words)) <= len(words) - window
-
-
 def _shard(group: pa.Table, window: int) -> pa.Table:
-    out, docs, starts, keys, said = [], [], [], [], []
+    out, docs, starts, keys, own, said = [], [], [], [], [], []
     for blob in group["blob"]:
-        doc, start, count, key, words = unpacked(blob.as_py())
+        doc, start, count, key, twice, words = unpacked(blob.as_py())
         if not words:
             out.append((doc, start, start + count + window - 1))
             continue
         docs.append(doc)
         starts.append(start)
         keys.append(key)
+        own.append(twice)
         said += words.split(b"\n")
     if docs:
-        # A record whose key stands alone shares no window with another; its own repeat only if so many of its words do.
+        # A record whose key stands alone shares no window with another; its own repeat only if the gram of its key does.
         key, doc, start = np.concatenate(keys), np.concatenate(docs), np.concatenate(starts)
         _, back, times = np.unique(key, return_inverse=True, return_counts=True)
-        keep = np.flatnonzero([n > 1 or _may_repeat(x, window) for n, x in zip(times[back].tolist(), said, strict=True)])
+        keep = np.flatnonzero((times[back] > 1) | np.concatenate(own))
         if len(keep):
             out.append(repeated_windows(doc[keep], start[keep], [said[r] for r in keep.tolist()], window))
     columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3

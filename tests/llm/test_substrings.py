@@ -90,3 +90,38 @@ def test_rank_over_the_wavelet_tree():
     for c in range(11):
         at = np.arange(301)
         assert tree.rank(np.full(301, c), at).tolist() == [int((codes[:i] == c).sum()) for i in at]
+
+
+def test_narrow_intervals_are_not_counted_in_the_tree(monkeypatch):
+    rng = np.random.default_rng(3)
+    once = rng.integers(1, 400, 600)
+    text = np.concatenate([once, [0], once, [0], np.tile(rng.integers(1, 400, 40), 30), [0]])
+    index, asked, rank = fm_index.FMIndex(text, 20), [], fm_index.WaveletMatrix.rank
+    monkeypatch.setattr(fm_index.WaveletMatrix, "rank", lambda tree, codes, at: asked.append(len(codes)) or rank(tree, codes, at))
+    ends = np.arange(19, 600)
+    reach, low, high = index.matching_statistics(text, ends)
+    assert (reach == 20).all() and (high - low == 2).all()
+    ends = np.arange(1202 + 19, 1202 + 1200)
+    reach, low, high = index.matching_statistics(text, ends)
+    assert (reach == 20).all() and (high - low >= 29).all()
+    # Each different interval once: 40 places of a period, 20 steps, two ends.
+    assert sum(asked) < 2 * 2 * 40 * 20
+
+
+def test_words_of_a_batch_and_their_hashes():
+    said = ["a  b\tc\n", "", " ", "\x0bx\x0c\x0dy  é\x1cz q ", "w" * 70000 + " a", "ab ba"]
+    cut = substrings.Cut(said, 3, 2, None)
+    want = b" ".join(x.encode() + b" " + b"\xff" for x in said).split()
+    got = cut.said(np.arange(len(want)), np.ones(len(want), np.int64))
+    assert got == want and cut.said(np.array([0]), np.array([3])) == [b"a b c"]
+    known = dict(zip(got, cut.hashes.tolist(), strict=True))
+    assert len(set(known.values())) == len(known) and all(known[w] == h for w, h in zip(got, cut.hashes.tolist(), strict=True))
+
+
+def test_only_records_with_a_gram_twice_may_repeat_their_own_windows():
+    base = " ".join(f"u{i}" for i in range(15))
+    cut = substrings.Cut([" ".join(f"v{i}" for i in range(90)), f"{base} {base} {base} {base}", "a " * 60], 20, 4, None)
+    head = cut.heads()
+    count = np.diff(head, append=len(cut.start))
+    twice, of = cut.twice(head, count), cut.owner[cut.start[head]]
+    assert not twice[of == 0].any() and twice[of == 1].any() and twice[of == 2].all()
