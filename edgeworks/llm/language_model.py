@@ -30,6 +30,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -63,8 +64,7 @@ class Vocabulary:
         self.unknown = max(1, unknown)
 
     def encode(self, words: list[bytes]) -> np.ndarray:
-        ids = self.ids
-        return np.fromiter((ids.get(w, OTHER) for w in words), np.int64, len(words))
+        return np.fromiter(map(self.ids.get, words, repeat(OTHER)), np.int64, len(words))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -110,64 +110,93 @@ class Network:
         if flat is None:
             draw = np.random.default_rng(3)
             flat = np.concatenate([(draw.standard_normal(int(np.prod(s))) * (0.3 if len(s) > 1 else 0.0)).astype(np.float32) if k not in ("classes", "members", "member_bias") else np.zeros(int(np.prod(s)), np.float32) for k, s in self.SHAPES.items()])
-        self.flat, at = flat.astype(np.float32), 0
-        for name, shape in self.SHAPES.items():
-            size = int(np.prod(shape))
-            setattr(self, name, self.flat[at:at + size].reshape(shape))
-            at += size
+        self.flat = flat.astype(np.float32)
+        self._view(self.flat)
+        #: A gradient and what it is computed from, made when first needed.
+        self.grad: Network | None = None
+        self.room: np.ndarray | None = None
         self.sums = np.full_like(self.flat, 1e-6)
         #: How many places were targets, by round.
         self.learned: list[int] = []
 
-    def hidden(self, around: np.ndarray) -> np.ndarray:
-        x = self.embed[around].reshape(len(around), -1) @ self.mix.reshape(-1, WIDTH) + self.bias
+    def _view(self, flat: np.ndarray) -> None:
+        at = 0
+        for name, shape in self.SHAPES.items():
+            size = int(np.prod(shape))
+            setattr(self, name, flat[at:at + size].reshape(shape))
+            at += size
+
+    def hidden(self, seen: np.ndarray) -> np.ndarray:
+        """From the embeddings of the words around each place, side by side."""
+        x = seen @ self.mix.reshape(-1, WIDTH) + self.bias
         return np.tanh(x, out=x)
 
+    def within(self, h: np.ndarray, classes: list[tuple[int, int, int]], group: np.ndarray) -> np.ndarray:
+        """What the softmax within the class is made of, for places in the order of their classes."""
+        q = np.empty((len(h), CLASS), np.float32)
+        for c, a, b in classes:
+            np.matmul(h[a:b], self.members[c], out=q[a:b])
+        q += self.member_bias[group]
+        return q
+
     def log_probs(self, around: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Logarithm of the probability of each target given the words around it."""
-        h = self.hidden(around)
+        h = self.hidden(self.embed[around].reshape(len(around), -1))
         group = targets // CLASS
         out = _picked(h @ self.classes + self.class_bias, group)
-        for rows in _by(group):
-            c = group[rows[0]]
-            out[rows] += _picked(h[rows] @ self.members[c] + self.member_bias[c], targets[rows] % CLASS)
+        order, classes = _by(group)
+        out[order] += _picked(self.within(h[order], classes, group[order]), targets[order] % CLASS)
         return out
 
     def learn(self, around: np.ndarray, targets: np.ndarray, rate: float) -> None:
         """One step of gradient descent, scaled by what each weight has moved (Adagrad)."""
-        h, n, group = self.hidden(around), len(targets), targets // CLASS
-        grad = np.zeros_like(self.flat)
-        g = Network.__new__(Network)
-        at = 0
-        for name, shape in self.SHAPES.items():
-            size = int(np.prod(shape))
-            setattr(g, name, grad[at:at + size].reshape(shape))
-            at += size
-        p = _error(h @ self.classes + self.class_bias, group) / n
+        if self.grad is None:
+            self.grad, self.room = Network.__new__(Network), np.empty_like(self.flat)
+            self.grad.flat = np.empty_like(self.flat)
+            self.grad._view(self.grad.flat)
+        g, grad, n, group = self.grad, self.grad.flat, len(targets), targets // CLASS
+        grad.fill(0)
+        seen = self.embed[around].reshape(n, -1)
+        h = self.hidden(seen)
+        p = _error(h @ self.classes + self.class_bias, group)
+        p /= n
         g.classes += h.T @ p
         g.class_bias += p.sum(0)
         back = p @ self.classes.T
-        for rows in _by(group):
-            c = group[rows[0]]
-            q = _error(h[rows] @ self.members[c] + self.member_bias[c], targets[rows] % CLASS) / n
-            g.members[c] += h[rows].T @ q
-            g.member_bias[c] += q.sum(0)
-            back[rows] += q @ self.members[c].T
+        order, classes = _by(group)
+        inner, below = h[order], np.empty_like(h)
+        q = _error(self.within(inner, classes, group[order]), targets[order] % CLASS)
+        q /= n
+        for c, a, b in classes:
+            np.matmul(inner[a:b].T, q[a:b], out=g.members[c])
+            np.add.reduce(q[a:b], axis=0, out=g.member_bias[c])
+            np.matmul(q[a:b], self.members[c].T, out=below[a:b])
+        back[order] += below
         back *= 1 - h * h
         g.bias += back.sum(0)
         for j in range(len(_PLACES)):
-            g.mix[j] += self.embed[around[:, j]].T @ back
-            ids, moved = around[:, j], back @ self.mix[j].T
+            np.matmul(seen[:, j * WIDTH:(j + 1) * WIDTH].T, back, out=g.mix[j])
+            moved = back @ self.mix[j].T
+            # Numbers of 16 bits are sorted by counting.
+            ids = around[:, j].astype(np.uint16)
             order = np.argsort(ids, kind="stable")
-            first = np.flatnonzero(np.diff(ids[order], prepend=-1))
-            g.embed[ids[order][first]] += np.add.reduceat(moved[order], first)
-        self.sums += grad * grad
-        self.flat -= rate * grad / np.sqrt(self.sums)
+            ids = ids[order]
+            first = np.append(0, np.flatnonzero(ids[1:] != ids[:-1]) + 1)
+            g.embed[ids[first]] += np.add.reduceat(moved[order], first)
+        np.multiply(grad, grad, out=self.room)
+        self.sums += self.room
+        np.sqrt(self.sums, out=self.room)
+        grad *= rate
+        grad /= self.room
+        self.flat -= grad
 
 
-def _by(group: np.ndarray) -> list[np.ndarray]:
-    order = np.argsort(group, kind="stable")
-    return np.split(order, np.flatnonzero(np.diff(group[order])) + 1) if len(group) else []
+def _by(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order by class, and in it each class with where it begins and ends."""
+    order = np.argsort(group.astype(np.uint8), kind="stable")
+    of = group[order]
+    first = np.append(0, np.flatnonzero(of[1:] != of[:-1]) + 1) if len(of) else np.zeros(0, np.int64)
+    return order, list(zip(of[first].tolist(), first.tolist(), np.append(first[1:], len(of)).tolist(), strict=True)) if len(of) else []
 
 
 def _picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -187,12 +216,22 @@ def _error(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return e
 
 
-def around(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """All words of some documents, and the words around each."""
+def laid(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Some documents in one row, with gaps between, and where their words lie in it."""
     gap = np.full(SIDE, BEYOND, np.int64)
     row = np.concatenate([gap, *(x for doc in ids for x in (doc, gap))])
-    where = np.flatnonzero(row != BEYOND)
-    return row[where], np.stack([row[where + p] for p in _PLACES], 1)
+    return row, np.flatnonzero(row != BEYOND)
+
+
+def near(row: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """The words around some places of a row."""
+    return row[where[:, None] + np.array(_PLACES)]
+
+
+def around(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """All words of some documents, and the words around each."""
+    row, where = laid(ids)
+    return row[where], near(row, where)
 
 
 def turns(docs: list[bytes], sizes: list[int], rounds: int) -> np.ndarray:
@@ -222,12 +261,12 @@ def train(docs: DataFrame, words: Vocabulary, rounds: int = ROUNDS, rate: float
             for batch in sliced(batches, 1 << 20):
                 said = batch["text"].to_pylist()
                 docs = [known.value.encode(split(x)) for x in said]
-                targets, near = around(docs)
+                row, where = laid(docs)
                 due = turns([x.encode() for x in said], list(map(len, docs)), rounds)
-                masked = draw.permutation(np.flatnonzero(due == turn))
+                masked = where[draw.permutation(np.flatnonzero(due == turn))]
                 for at in range(0, len(masked), BATCH):
                     pick = masked[at:at + BATCH]
-                    own.learn(near[pick], targets[pick], rate / (1 + turn))
+                    own.learn(near(row, pick), row[pick], rate / (1 + turn))
                 seen += len(masked)
             if seen:
                 blocks = range(0, size, BLOCK)
@@ -266,10 +305,10 @@ def score(docs: DataFrame, net: Network, words: Vocabulary, counts: DataFrame |
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         model, share = Network(flat.value), math.log(known.value.unknown) if even else 0.0
         ids = [known.value.encode(split(x)) for x in batch["text"].to_pylist()]
-        targets, near = around(ids)
-        said = np.zeros(len(targets))
+        row, where = laid(ids)
+        targets, said = row[where], np.zeros(len(where))
         for at in range(0, len(targets), CHUNK):
-            said[at:at + CHUNK] = model.log_probs(near[at:at + CHUNK], targets[at:at + CHUNK])
+            said[at:at + CHUNK] = model.log_probs(near(row, where[at:at + CHUNK]), targets[at:at + CHUNK])
         said[targets == OTHER] -= share
         n = np.array(list(map(len, ids)), np.int64)
         # Summed document by document, so that the words of others in the batch change nothing.

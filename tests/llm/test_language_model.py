@@ -121,3 +121,25 @@ def test_no_rows_and_no_words(spark):
     assert lm.score_documents(documents(spark, [])).collect() == []
     row = lm.score_documents(documents(spark, [None])).first()
     assert (row.n_tokens, row.log_likelihood, row.mean_log_prob) == (0, 0.0, None)
+
+
+def test_a_step_learns_the_same_with_few_calls(monkeypatch):
+    rng, net, calls, error = np.random.default_rng(5), lm.Network(), [], lm._error
+    monkeypatch.setattr(lm, "_error", lambda logits, at: calls.append(len(at)) or error(logits, at))
+    near, targets = rng.integers(0, lm.WORDS + 1, (500, len(lm._PLACES))), rng.integers(0, lm.WORDS, 500)
+    before = net.flat.copy()
+    net.learn(near, targets, 0.1)
+    # Once for the classes, once for the words within all of them.
+    assert calls == [500, 500]
+    # Against the members' gradient of one class, row by row.
+    c = targets[0] // lm.CLASS
+    start = lm.Network(before)
+    h = start.hidden(start.embed[near].reshape(500, -1))
+    want = np.zeros((lm.WIDTH, lm.CLASS))
+    for i in np.flatnonzero(targets // lm.CLASS == c):
+        e = np.exp(h[i] @ start.members[c] + start.member_bias[c])
+        e /= e.sum()
+        e[targets[i] % lm.CLASS] -= 1
+        want += np.outer(h[i], e) / 500
+    moved = 0.1 * want / np.sqrt(1e-6 + want * want)
+    assert np.allclose(start.members[c] - net.members[c], moved, atol=1e-4)
