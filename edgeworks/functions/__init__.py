@@ -13,6 +13,7 @@ from edgeworks.functions.columns import (
     scaled_int,
     tokens,
     uniform,
+    uniform_below,
     vertex_part,
 )
 
@@ -29,5 +30,6 @@ __all__ = [
     "scaled_int",
     "tokens",
     "uniform",
+    "uniform_below",
     "vertex_part",
 ]

@@ -295,3 +295,63 @@ def test_a_large_sample_is_drawn_from_what_is_left(spark, monkeypatch, stop):
     found = maximal_matching(edges(spark, rows), rounds=None, stop=stop, p=0.5, k=1, seed=1)
     check(found, rows, edges(spark, rows))
     assert all(n == 1 for n, _ in scanned) and scanned[1][1] < scanned[0][1] / 2
+
+
+def test_few_rounds_are_drawn_before_it_is_known_what_they_leave(spark, monkeypatch):
+    """Every edge used to be hashed for the rounds to come, though the first ones leave next to nothing."""
+    rows = [(a, 100 + b) for a in range(12) for b in range(60)]
+    e, scanned, draw = edges(spark, rows), [], matching._Job.draw
+
+    def drawn(self, left, rounds, *rest):
+        scanned.append((len(rounds), left.count()))
+        return draw(self, left, rounds, *rest)
+
+    monkeypatch.setattr(matching._Job, "draw", drawn)
+    found = table(maximal_matching(e, p=0.05, k=1, rounds=40, seed=3))
+    assert sum(n * left for n, left in scanned) <= 4 * len(rows)
+    monkeypatch.setattr(matching, "FIRST_DRAWN", 10**6)
+    scanned.clear()
+    assert table(maximal_matching(e, p=0.05, k=1, rounds=40, seed=3)) == found
+    assert scanned[0] == (20, len(rows))
+
+
+def test_a_sample_takes_the_partitions_of_its_own_edges(spark, monkeypatch):
+    parts, of = [], matching._Layout.of
+    monkeypatch.setattr(matching._Layout, "of", staticmethod(lambda edges, n, hot: (parts.append(n), of(edges, n, hot))[1]))
+    job = matching._Job(spark)
+    job.parts = 50
+    e = matching.with_priority(edges(spark, undirected(random_rows(9))), 0)
+    job.greedy(e, 1, 10)
+    assert parts == [PARTS]
+
+
+@pytest.mark.parametrize("hot", [None, 2], ids=["plain", "divided"])
+def test_unmatched_edges_travel_once(spark, hot):
+    """Nulls are ends like others, copies stay, and no edge is shuffled with a second copy of its ends."""
+    e = edges(spark, [(1, 2), (1, 2), (1, 2), (None, 3), (None, 3), (4, None), (5, 6)])
+    left = matching.unmatched_edges(e, edges(spark, [(None, 3), (5, 6)]), hot)
+    assert sorted(map(str, map(tuple, left.collect()))) == ["(1, 2)"] * 3 + ["(4, None)"]
+
+
+def test_unmatched_edges_are_not_copied_for_the_join(spark, monkeypatch):
+    plans, kept = [], matching.kept_wide
+    monkeypatch.setattr(matching, "kept_wide", lambda df, *a: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), kept(df, *a))[1])
+    matching.unmatched_edges(edges(spark, [(1, 2), (3, 4)]), edges(spark, [(1, 2)]))
+    assert "struct" not in plans[0] and "Aggregate" not in plans[0]
+
+
+@pytest.mark.parametrize("p", [-1.0, 0.0, 1e-9, 0.0073, 0.5, 1 - 2**-53, 1.0, 1.5])
+def test_hex_digits_tell_what_numbers_do(spark, p):
+    from edgeworks.functions import uniform, uniform_below
+
+    rows = spark.range(2000)
+    assert rows.filter((uniform("x", "id") < p) != uniform_below(p, "x", "id")).count() == 0
+
+
+def test_hex_digits_at_the_value_itself(spark):
+    from edgeworks.functions import uniform, uniform_below
+
+    for row in spark.range(5).select("id", uniform("x", "id").alias("u")).collect():
+        one = spark.range(row["id"], row["id"] + 1)
+        for p in (row["u"], row["u"] + 2**-53):
+            assert one.filter(uniform_below(p, "x", "id")).count() == (row["u"] < p)
