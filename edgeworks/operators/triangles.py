@@ -6,7 +6,8 @@ triangle has all of its edges in exactly one cell that matches its colours:
 what is shuffled is ``c`` times the edges, whatever lists the vertices have.
 Edges travel in blocks, one for each two colours: a block is made once, its
 edges sorted, as differences and packed (two or three bytes an edge), and it is
-blocks that are copied to the cells. In
+blocks that are copied to the cells, some of the cells after the others, so that
+the copies on disk at a time are about ``COPIED_EDGES`` at most. In
 a cell, edges are turned from lower to higher degree, which bounds every list of
 neighbours by the square root of twice the cell's edges, and the lists stand
 sorted side by side; an edge is closed by looking the shorter of its ends' lists
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +33,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edgeworks.loop import Workspace
-from edgeworks.operators.graph import Graph, canonical_edges, degrees
-from edgeworks.operators.skew import hot_keys, spread_join
+from edgeworks.operators.graph import Graph, canonical_edges, degrees, hot_vertices
+from edgeworks.operators.skew import spread_join
 
 #: Edges of a cell of rows, about; a cell is not made smaller than the second for the sake of more tasks.
 CELL_EDGES, SMALL_CELL = 2_000_000, 100_000
 #: Edges of a cell of packed blocks, about.
-PACKED_EDGES = 6_000_000
+PACKED_EDGES = 10_000_000
+#: Copies of edges, two or three bytes each, that lie in shuffle files at a time.
+COPIED_EDGES = 2_000_000_000
 #: Candidates that are looked up at a time in a cell.
 LOOKED_UP = 1 << 21
 
@@ -121,9 +125,8 @@ def _packer():
     return pack
 
 
-def _closer(colours: int, kind: str, looked_up: int = LOOKED_UP):
-    """The function that closes the triangles of one cell; made here, so that workers need not have this package."""
-
+def _unpackers(kind: str):
+    """Functions that unpack edges and lists of ids."""
     integers = {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64()}.get(kind)
 
     def unpacked(data: bytes) -> np.ndarray:
@@ -133,14 +136,23 @@ def _closer(colours: int, kind: str, looked_up: int = LOOKED_UP):
     def listed(data: bytes) -> pa.Array:
         if integers is not None:
             return pa.array(unpacked(data)).cast(integers)
-        return pa.ipc.open_stream(zlib.decompress(data)).read_all()["id"].combine_chunks()
+        ids = pa.ipc.open_stream(zlib.decompress(data)).read_all()["id"].combine_chunks()
+        return pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
+
+    return unpacked, listed
+
+
+def _closer(colours: int, kind: str, looked_up: int = LOOKED_UP):
+    """The function that closes the triangles of one cell; made here, so that workers need not have this package."""
+    unpacked, listed = _unpackers(kind)
 
     def close(rows: pa.Table) -> pa.Table:
         cell = rows["cell"][0].as_py()
         blocks = rows.select(["a", "b", "n_first", "ids", "edges"]).to_pylist()
         lists = [listed(block["ids"]) for block in blocks]
         coded = pa.chunked_array(lists).combine_chunks().dictionary_encode()
-        ids, places = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        # Places and edges of a cell fit 32 bits, which halves what a worker holds.
+        ids, places = coded.dictionary, coded.indices.to_numpy().astype(np.int32)
         n = len(ids)
         colour, us, vs, begin = np.zeros(n, np.int64), [], [], 0
         for block, known in zip(blocks, lists):
@@ -153,18 +165,24 @@ def _closer(colours: int, kind: str, looked_up: int = LOOKED_UP):
             us.append(own[u])
             vs.append(second[v])
         u, v = np.concatenate(us), np.concatenate(vs)
+        del us, vs, blocks, lists
         m = len(u)
         by_degree = np.argsort(np.bincount(u, minlength=n) + np.bincount(v, minlength=n), kind="stable")
-        place = np.empty(n, np.int64)
-        place[by_degree] = np.arange(n)
+        place = np.empty(n, np.int32)
+        place[by_degree] = np.arange(n, dtype=np.int32)
         colour = colour[by_degree]
         u, v = place[u], place[v]
-        codes = np.sort(np.minimum(u, v) * n + np.maximum(u, v))
-        low, high = codes // n, codes % n
-        start = np.searchsorted(low, np.arange(n + 1))
+        codes = np.minimum(u, v).astype(np.int64)
+        codes *= n
+        codes += np.maximum(u, v)
+        del u, v
+        codes.sort()
+        low = (codes // n).astype(np.int32)
+        high = (codes - np.multiply(low, n, dtype=np.int64)).astype(np.int32)
+        start = np.searchsorted(low, np.arange(n + 1, dtype=np.int32))
         out = np.diff(start)
         near = np.where(out[low] < out[high], low, high)
-        edge = np.flatnonzero(out[near])
+        edge = np.flatnonzero(out[near]).astype(np.int32)
         total = np.cumsum(out[near[edge]])
         counts, at = np.zeros(n, np.int64), 0
         wanted = sorted((cell // colours // colours, cell // colours % colours, cell % colours))
@@ -176,7 +194,7 @@ def _closer(colours: int, kind: str, looked_up: int = LOOKED_UP):
             size = out[lists]
             first = np.repeat(start[lists] - np.cumsum(size) + size, size)
             w = high[first + np.arange(len(first))]
-            other = np.repeat(x + y - lists, size)
+            other = np.repeat(x + y - lists, size).astype(np.int64)
             key = other * n + w
             hit = codes[np.minimum(np.searchsorted(codes, key), m - 1)] == key
             x, y, w = np.repeat(x, size)[hit], np.repeat(y, size)[hit], w[hit]
@@ -193,20 +211,52 @@ def _closer(colours: int, kind: str, looked_up: int = LOOKED_UP):
     return close
 
 
-def _in_cells(edges: DataFrame, n_edges: int, cell_edges: int) -> DataFrame:
-    """``id, n``: triangles of the vertices, cell by cell."""
-    tasks = edges.sparkSession.sparkContext.defaultParallelism
-    colours = colours_for(n_edges, tasks, cell_edges, min(SMALL_CELL, cell_edges))
-    kind = edges.schema["src"].dataType.simpleString()
+def _in_blocks(edges: DataFrame, n_edges: int, colours: int) -> DataFrame:
+    """The edges packed in blocks, one for each two colours, as ``BLOCK`` says."""
     # An edge between two colours stands in their block with the lower one first.
     rows, turned = _coloured(edges, colours), F.col("a") > F.col("b")
     rows = rows.select(*(F.when(turned, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("src", "dst"), ("dst", "src"), ("a", "b"), ("b", "a"))))
-    # Small in bytes, a block or cell is much work: they are not to be put together again.
-    most = max(4 * tasks, n_edges // SMALL_CELL)
-    blocks = rows.repartition(min(math.comb(colours + 1, 2), most), "a", "b").groupBy("a", "b").applyInArrow(_packer(), BLOCK)
-    copies, cell = _each_cell(blocks, colours)
-    cells = copies.select(cell, "a", "b", "n_first", "ids", "edges").repartition(min(math.comb(colours + 2, 3), most), "cell")
-    return cells.groupBy("cell").applyInArrow(_closer(colours, kind), f"id {kind}, n bigint")
+    parts = min(math.comb(colours + 1, 2), _most_tasks(edges, n_edges))
+    return rows.repartition(parts, "a", "b").groupBy("a", "b").applyInArrow(_packer(), BLOCK)
+
+
+def _most_tasks(rows: DataFrame, n_edges: int) -> int:
+    """Small in bytes, a block or cell is much work: they are not to be put together again."""
+    return max(4 * rows.sparkSession.sparkContext.defaultParallelism, n_edges // SMALL_CELL)
+
+
+def _in_cells(work: Workspace, blocks: DataFrame, n_edges: int, colours: int, kind: str) -> DataFrame:
+    """``id, n``: triangles of the vertices, cell by cell; each pass over the written blocks takes a share of the cells."""
+    passes = max(1, -(-n_edges * colours // COPIED_EDGES))
+    parts = min(-(-math.comb(colours + 2, 3) // passes), _most_tasks(blocks, n_edges))
+    found = None
+    for number in range(passes):
+        copies, cell = _each_cell(blocks, colours)
+        cells = copies.select(cell, "a", "b", "n_first", "ids", "edges")
+        if passes > 1:
+            cells = cells.filter(F.pmod(F.xxhash64("cell"), F.lit(passes).cast("bigint")) == number)
+        credits = cells.repartition(parts, "cell").groupBy("cell").applyInArrow(_closer(colours, kind), f"id {kind}, n bigint")
+        if passes > 1:
+            credits, _ = work.keep(credits.groupBy("id").agg(F.sum("n").alias("n")), "credits")
+        found = credits if found is None else found.unionAll(credits)
+    return found
+
+
+def _counter(kind: str):
+    """The function that counts the edges of the vertices of packed blocks; made here, so that workers need not have this package."""
+    unpacked, listed = _unpackers(kind)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in batch.to_pylist():
+                ids, first = listed(block["ids"]), block["n_first"]
+                # Where both ends have one colour there is one list of ids.
+                same = block["a"] == block["b"]
+                u, v = np.divmod(unpacked(block["edges"]), first if same else len(ids) - first)
+                n = np.bincount(np.concatenate([u, v if same else v + first]), minlength=len(ids))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64())], ["id", "n"])
+
+    return count
 
 
 def _with_hubs(work: Workspace, marked: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -234,17 +284,18 @@ def _with_hubs(work: Workspace, marked: DataFrame, hubs: DataFrame) -> DataFrame
     return met.select(F.inline(credit))
 
 
-def _counted(graph: Graph, min_hot_rows: int | None, cell_edges: int | None) -> tuple[DataFrame, DataFrame]:
-    """``id, triangles`` for vertices in triangles, and all degrees."""
+def _counted(
+    graph: Graph, min_hot_rows: int | None, cell_edges: int | None, with_degrees: bool = False
+) -> tuple[DataFrame, DataFrame | None]:
+    """``id, triangles`` for vertices in triangles, and all degrees if asked for."""
     hub_rows = max(1, (CELL_EDGES if cell_edges is None else cell_edges) // 8) if min_hot_rows is None else min_hot_rows
     cell_edges = PACKED_EDGES if cell_edges is None else cell_edges
     work = Workspace(graph.edges.sparkSession)
     edges, seen = work.keep(canonical_edges(graph.edges), "edges")
-    degree, _ = work.keep(degrees(edges), "degrees")
-    hubs = hot_keys(degree, "id", min_rows=hub_rows, count="degree")
-    if hubs is None:
-        credits = _in_cells(edges, seen["rows"], cell_edges)
-    else:
+    kind, n_edges = edges.schema["src"].dataType.simpleString(), seen["rows"]
+    colours = colours_for(n_edges, work.spark.sparkContext.defaultParallelism, cell_edges, min(SMALL_CELL, cell_edges))
+    hubs, plain, degree = hot_vertices(edges, min_rows=hub_rows), edges, None
+    if hubs is not None:
         marked = edges
         for side in ("src", "dst"):
             flag = hubs.select(F.col("id").alias(side), F.lit(True).alias(f"{side}_hub"))
@@ -252,9 +303,18 @@ def _counted(graph: Graph, min_hot_rows: int | None, cell_edges: int | None) ->
         marked = marked.na.fill(False, ["src_hub", "dst_hub"]).select("src", "dst", "src_hub", "dst_hub")
         marked, _ = work.keep(marked, "marked")
         plain = marked.filter("NOT src_hub AND NOT dst_hub").select("src", "dst")
-        credits = _in_cells(plain, seen["rows"], cell_edges).unionAll(_with_hubs(work, marked, hubs))
+    blocks, _ = work.keep(_in_blocks(plain, n_edges, colours), "blocks")
+    if with_degrees:
+        # A block has one row for each of its vertices to add, not one for each end of an edge.
+        ends = degrees(edges).withColumnRenamed("degree", "n") if hubs is not None else blocks.mapInArrow(
+            _counter(kind), f"id {kind}, n bigint")
+        degree, _ = work.keep(ends.groupBy("id").agg(F.sum("n").alias("degree")), "degrees")
+    work.drop(edges)
+    credits = _in_cells(work, blocks, n_edges, colours, kind)
+    if hubs is not None:
+        credits = credits.unionAll(_with_hubs(work, marked, hubs))
     found, _ = work.keep(credits.groupBy("id").agg(F.sum("n").alias("triangles")), "triangles")
-    work.clear(degree, found)
+    work.clear(*(x for x in (degree, found) if x is not None))
     return found, degree
 
 
@@ -269,7 +329,7 @@ def triangle_count(graph: Graph, min_hot_rows: int | None = None, cell_edges: in
 def clustering_coefficient(graph: Graph, min_hot_rows: int | None = None, cell_edges: int | None = None) -> DataFrame:
     """``id, coefficient``: which share of the pairs of neighbours is joined;
     0 for a vertex with fewer than two neighbours."""
-    found, degree = _counted(graph, min_hot_rows, cell_edges)
+    found, degree = _counted(graph, min_hot_rows, cell_edges, with_degrees=True)
     d, t = F.col("degree"), F.coalesce("triangles", F.lit(0))
     share = F.when(d > 1, 2.0 * t / (d * (d - 1))).otherwise(F.lit(0.0))
     joined = graph.vertices.select("id").join(degree, "id", "left").join(found, "id", "left")

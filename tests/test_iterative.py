@@ -253,3 +253,24 @@ def test_what_a_round_sends_does_not_grow_with_the_links(spark):
 
     assert grid.parts_for(96_000_000, 2_160_000, 12) == grid.parts_for(576_000_000, 12_960_000, 12) == 4
     assert grid.pays(96_000_000, 2_160_000, 4) and not grid.pays(2_000, 1_500, 1)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_cells_are_closed_in_passes(spark, monkeypatch, kind):
+    """All copies of the edges lay on disk at once; now those of a share of the cells do."""
+    from edgeworks.operators import triangles
+
+    as_id = str if kind == "string" else int
+    rows = random_rows(44, vertices=40, count=250)
+    g = Graph.from_edges(edges(spark, [(as_id(a), as_id(b)) for a, b in rows], kind))
+    count, near = triangles_by_hand(rows)
+    passes, keep = [], triangles.Workspace.keep
+    monkeypatch.setattr(triangles.Workspace, "keep", lambda work, df, name="step", **kw: (
+        passes.append(name), keep(work, df, name, **kw))[1])
+    monkeypatch.setattr(triangles, "COPIED_EDGES", 500)
+    assert dict(table(triangle_count(g, cell_edges=40, min_hot_rows=1000))) == {as_id(x): n for x, n in count.items()}
+    assert passes.count("credits") > 2 and "degrees" not in passes
+    shares = dict(table(clustering_coefficient(g, cell_edges=40, min_hot_rows=1000)))
+    for x, n in count.items():
+        pairs = len(near[x]) * (len(near[x]) - 1)
+        assert shares[as_id(x)] == pytest.approx(2 * n / pairs if pairs else 0.0)
